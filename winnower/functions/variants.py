@@ -1,0 +1,53 @@
+"""Typed look into JSON documents held as variants."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+_NUMBER_TYPES = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
+
+
+@dataclass(frozen=True)
+class Property:
+    """Columns that describe one top-level property of a document."""
+
+    present: Column
+    number: Column  # null unless the value is a JSON number
+    text: Column  # null unless the value is a JSON string
+
+    @property
+    def integral(self) -> Column:
+        return self.number == F.floor(self.number)
+
+
+def property_names(document: Column) -> Column:
+    """Names of the top-level properties; null when the document is not an object."""
+    return F.map_keys(F.try_variant_get(document, "$", "map<string,variant>"))
+
+
+def unfold(df: DataFrame, document: str, names: Sequence[str]) -> tuple[DataFrame, dict[str, Property]]:
+    """Give each property columns of its own, so that checks refer to them instead of repeating the look-up.
+
+    The layers are separate projections on purpose: a value that several expressions use is computed once.
+    """
+    kinds = {n: f"_type_{i}" for i, n in enumerate(names)}
+    numbers = {n: f"_number_{i}" for i, n in enumerate(names)}
+    texts = {n: f"_text_{i}" for i, n in enumerate(names)}
+    typed = df.withColumns({
+        kinds[n]: F.schema_of_variant(F.try_variant_get(document, f"$.{n}", "variant")) for n in names
+    })
+    split = typed.withColumns({
+        **{
+            numbers[n]: F.when(F.col(kinds[n]).rlike(_NUMBER_TYPES), F.try_variant_get(document, f"$.{n}", "double"))
+            for n in names
+        },
+        **{
+            texts[n]: F.when(F.col(kinds[n]) == "STRING", F.try_variant_get(document, f"$.{n}", "string"))
+            for n in names
+        },
+    })
+    return split, {n: Property(F.col(kinds[n]).isNotNull(), F.col(numbers[n]), F.col(texts[n])) for n in names}
