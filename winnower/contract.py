@@ -125,10 +125,20 @@ class Contract:
         return T.StructType([T.StructField(f.name, f.spark_type) for f in self.fields])
 
     def message_struct(self, policy: Policy, extra: Iterable[T.StructField] = ()) -> T.StructType:
-        """Schema a JSON message is parsed with, keeping text that is not a document at all."""
-        text = T.StringType()
-        fields = [T.StructField(f.name, f.spark_type if policy.typed_parse else text) for f in self.fields]
-        return T.StructType([*fields, *extra, T.StructField(MALFORMED, text)])
+        """Schema a JSON message is parsed with, keeping the text of a record that does not fit it.
+
+        Unless the policy parses straight into the contract's types, numbers are read in double precision
+        and moments as text.
+        """
+        def loose(f: Field) -> T.DataType:
+            return T.DoubleType() if f.numeric else T.StringType()
+
+        fields = [T.StructField(f.name, f.spark_type if policy.typed_parse else loose(f)) for f in self.fields]
+        return T.StructType([*fields, *extra, T.StructField(MALFORMED, T.StringType())])
+
+    def text_struct(self) -> T.StructType:
+        """Schema that reads any value as text."""
+        return T.StructType([T.StructField(n, T.StringType()) for n in [*self.names, MALFORMED]])
 
     def in_force_from(self, moment: str) -> Contract:
         return replace(self, valid_from=moment)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from winnower.contract import MALFORMED, STRICT, Contract, Policy
-from winnower.functions.cleaning import row_identity
+from winnower.functions.cleaning import number_from_text, row_identity
 
 # Columns of a message envelope.
 ENVELOPE = T.StructType([
@@ -23,12 +23,42 @@ ENVELOPE = T.StructType([
 ])
 COORDINATES = ("topic", "partition", "offset", "timestamp")
 
+_KEEP_MALFORMED = {"columnNameOfCorruptRecord": MALFORMED}
 _CARRIED = (
     T.StructField("retry_count", T.IntegerType()),
     T.StructField("message_id", T.StringType()),
 )
 
 
+def _parse_into_types(parsed: DataFrame, contract: Contract, keep: Sequence[str]) -> DataFrame:
+    # A single field of the wrong type marks the record too; it is malformed only if nothing was read.
+    nothing = F.coalesce(*[F.col(f"data.{n}").cast("string") for n in contract.names]).isNull()
+    malformed = F.col("data").isNull() | (F.col(f"data.{MALFORMED}").isNotNull() & nothing)
+    return parsed.select(*keep, "payload", malformed.alias("malformed"), "data.*").drop(MALFORMED)
+
+
+def _parse_and_clean(parsed: DataFrame, contract: Contract, keep: Sequence[str]) -> DataFrame:
+    """Numbers come straight from the parser. Only a record that did not fit is parsed again as text, and the
+    text of its numbers is cleaned; a lambda does that for all fields so the generated code stays small.
+    """
+    numeric = [f.name for f in contract.fields if f.numeric]
+    texts = F.when(
+        F.col(f"data.{MALFORMED}").isNotNull(), F.from_json("payload", contract.text_struct(), _KEEP_MALFORMED)
+    )
+    cleaned = F.when(
+        F.col("texts").isNotNull(), F.transform(F.array(*[F.col(f"texts.{n}") for n in numeric]), number_from_text)
+    )
+    malformed = F.col("data").isNull() | F.col(f"texts.{MALFORMED}").isNotNull()
+    fields = [
+        F.coalesce(F.col(f"data.{n}"), F.get("cleaned", F.lit(numeric.index(n)))).alias(n)
+        if n in numeric else F.col(f"data.{n}")
+        for n in contract.names
+    ]
+    return parsed.withColumn("texts", texts).withColumn("cleaned", cleaned).select(
+        *keep, "payload", malformed.alias("malformed"), *fields, *[F.col(f"data.{f.name}") for f in _CARRIED]
+    )
+
+
 def parse_messages(
     messages: DataFrame,
     contract: Contract,
@@ -41,18 +71,9 @@ def parse_messages(
     The original text stays in ``payload`` and ``malformed`` tells whether it was no document at all.
     """
     schema = contract.message_struct(policy, _CARRIED)
-    payload = F.col(text).cast("string")
-    parsed = messages.select(
-        *keep,
-        payload.alias("payload"),
-        F.from_json(payload, schema, {"columnNameOfCorruptRecord": MALFORMED}).alias("data"),
-    )
-    broken = F.col(f"data.{MALFORMED}").isNotNull()
-    if policy.typed_parse:
-        # A single field of the wrong type marks the record too; it is malformed only if nothing was read.
-        broken = broken & F.coalesce(*[F.col(f"data.{n}").cast("string") for n in contract.names]).isNull()
-    malformed = F.col("data").isNull() | broken
-    return parsed.select(*keep, "payload", malformed.alias("malformed"), "data.*").drop(MALFORMED)
+    payload = F.col(text).cast("string").alias("payload")
+    parsed = messages.select(*keep, payload).withColumn("data", F.from_json("payload", schema, _KEEP_MALFORMED))
+    return (_parse_into_types if policy.typed_parse else _parse_and_clean)(parsed, contract, keep)
 
 
 def identify(df: DataFrame, key: str | None = None) -> DataFrame:

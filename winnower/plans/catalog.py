@@ -445,7 +445,7 @@ def raw_landing(spark: SparkSession, folder: str) -> DataFrame:
     again = files.read_landed_csv(spark, landed["csv"], events.schema).unionByName(
         spark.read.schema(events.schema).parquet(landed["parquet"])
     )
-    return plain(again)
+    return plain(again, *events.columns)
 
 
 @register

@@ -74,7 +74,6 @@ OK_BUT_RATE_CODE = "COALESCE(" + " AND ".join(v for k, v in HOLDS.items() if k !
 BRANCH = f"CASE WHEN {OK} THEN 'valid' WHEN NOT {OK} THEN 'dead' ELSE 'undetermined' END"
 STRICT_BRANCH = f"CASE WHEN {STRICT_OK} THEN 'valid' ELSE 'dead' END"
 BROKEN = ", ".join(f"CASE WHEN NOT COALESCE({v}, FALSE) THEN '{k}' END" for k, v in HOLDS.items())
-BROKEN_COMPAT = ", ".join(f"CASE WHEN NOT COALESCE({v}, TRUE) THEN '{k}' END" for k, v in HOLDS.items())
 ERROR = f"CONCAT_WS(',', CASE WHEN malformed THEN 'malformed' END, {BROKEN})"
 
 # Messages: trips of which every 97th is no document and so has no field at all.
@@ -117,10 +116,10 @@ COUNTED = f"SELECT * REPLACE (COALESCE(retry_count, 0) + 1 AS retry_count) FROM
 MCOUNTED = f"SELECT * REPLACE (COALESCE(retry_count, 0) + 1 AS retry_count) FROM mfixed"
 
 
-def _listed(conditions: dict[str, str]) -> str:
-    """Expands to one row per violated condition."""
+def _listed(keys: str, conditions: dict[str, str], source: str) -> str:
+    """One row per violated condition."""
     cases = ", ".join(f"CASE WHEN {v} THEN '{k}' END" for k, v in conditions.items())
-    return f"UNNEST(list_filter([{cases}], x -> x IS NOT NULL)) AS rule"
+    return f"SELECT * FROM (SELECT {keys}, UNNEST([{cases}]) AS rule FROM {source}) WHERE rule IS NOT NULL"
 
 
 LINEITEM_BROKEN = {
@@ -223,10 +222,10 @@ ORACLE: dict[str, str] = {
     "invalid_rows": f"{WITH} SELECT {ROW} FROM fixed WHERE NOT {OK}",
     "undetermined_rows": f"{WITH} SELECT {ROW} FROM fixed WHERE {OK} IS NULL",
     "invalid_rows_default": f"{WITH} SELECT {ROW} FROM fixed WHERE NOT {STRICT_OK}",
-    "rule_violations": f"""{WITH} SELECT event_id, UNNEST(list_filter([{BROKEN}], x -> x IS NOT NULL)) AS rule
-        FROM fixed""",
-    "rule_violations_compat": f"""{WITH}
-        SELECT event_id, UNNEST(list_filter([{BROKEN_COMPAT}], x -> x IS NOT NULL)) AS rule FROM fixed""",
+    "rule_violations": WITH + _listed(
+        "event_id", {k: f"NOT COALESCE({v}, FALSE)" for k, v in HOLDS.items()}, "fixed"
+    ),
+    "rule_violations_compat": WITH + _listed("event_id", {k: f"NOT ({v})" for k, v in HOLDS.items()}, "fixed"),
     "rule_violation_summary": f"{WITH} " + " UNION ALL ".join(
         f"SELECT '{k}' AS rule, COUNT(*) FILTER (WHERE NOT COALESCE({v}, FALSE)) AS violations FROM fixed"
         for k, v in HOLDS.items()
@@ -265,11 +264,11 @@ ORACLE: dict[str, str] = {
         FROM fixed WHERE {OK}""",
     "contract_violations": f"""{WITH}
         SELECT event_id, 'not_an_object' AS rule FROM trips WHERE event_id % 97 = 0
-        UNION ALL SELECT event_id, {_listed(TEXT_DOCUMENT_BROKEN)} FROM trips
-          WHERE event_id % 97 <> 0 AND event_id % 59 = 0
-        UNION ALL SELECT event_id, {_listed(DOCUMENT_BROKEN)} FROM trips
-          WHERE event_id % 97 <> 0 AND event_id % 59 <> 0""",
-    "contract_lineitem": f"SELECT l_orderkey, l_linenumber, l_partkey, {_listed(LINEITEM_BROKEN)} FROM lineitem",
+        UNION ALL {_listed('event_id', TEXT_DOCUMENT_BROKEN,
+                           'trips WHERE event_id % 97 <> 0 AND event_id % 59 = 0')}
+        UNION ALL {_listed('event_id', DOCUMENT_BROKEN,
+                           'trips WHERE event_id % 97 <> 0 AND event_id % 59 <> 0')}""",
+    "contract_lineitem": _listed("l_orderkey, l_linenumber, l_partkey", LINEITEM_BROKEN, "lineitem"),
     "contract_lineitem_summary": " UNION ALL ".join(
         f"SELECT '{k}' AS rule, COUNT(*) FILTER (WHERE {v}) AS violations FROM lineitem"
         for k, v in LINEITEM_BROKEN.items()
@@ -277,13 +276,13 @@ ORACLE: dict[str, str] = {
     "unknown_keys": "SELECT event_id, UNNEST(json_keys(props)) AS property FROM events",
     "contract_in_force": f"""{WITH} SELECT event_id, '1.3.0' AS schema_version FROM trips
         WHERE tpep_pickup_datetime >= TIMESTAMP '2024-01-10 00:00:00'""",
-    "table_constraints": "SELECT event_id AS id, " + _listed({
+    "table_constraints": _listed("event_id AS id", {
         "message_id:required": "event_id % 211 = 0",
         "topic:length": "length(event_type) * user_id > 255",
         "offset:required": "event_id % 223 = 0",
         "payload:required": "event_id % 97 = 0",
         "status:length": "length(event_type) * (user_id % 12) > 50",
-    }) + " FROM events",
+    }, "events"),
     "inject_plan": f"""SELECT event_id, CAST(fault_hit AS INT) AS fault_hit, fault_kind, fault_field
         FROM (SELECT event_id, {_fault(0.01)} FROM events)""",
     "inject_apply": f"""SELECT event_id, {FAULT_OUT} FROM (

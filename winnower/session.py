@@ -17,6 +17,8 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     # A fan-out write keeps one open file per destination instead of sorting each task by destination.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
+    # The JVM does not compile methods above this size; larger stages run as split projections instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Keyed state lives off-heap and spills to disk, so its size is not bound by executor memory.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -128,7 +128,7 @@ def read_landed_csv(spark: SparkSession, folder: str, schema: T.StructType) -> D
 
 def read_text_objects(spark: SparkSession, path: str) -> DataFrame:
     """One row per object: its path and its whole text. An object must fit in a task's memory."""
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
 def read_text_object(spark: SparkSession, path: str) -> DataFrame | None:

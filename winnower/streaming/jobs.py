@@ -42,6 +42,20 @@ def record_struct(contract: Contract) -> Column:
     return F.struct(*contract.names, "retry_count", "message_id", "is_valid")
 
 
+def _routed(df: DataFrame, route: Column, ways: Mapping[str, tuple[str, Column]]) -> DataFrame:
+    """One message per row that has a way out.
+
+    Rows without one are dropped by an empty expansion: a filter would be pushed below the parser and parse
+    every message a second time.
+    """
+    topic = value = None
+    for name, (destination, document) in ways.items():
+        topic = (F if topic is None else topic).when(route == name, F.lit(destination))
+        value = (F if value is None else value).when(route == name, document)
+    message = F.struct(F.col("message_id").alias("key"), value.alias("value"), topic.alias("topic"))
+    return df.select(F.inline(F.when(route.isin(*ways), F.array(message))))
+
+
 def first_pass_outbound(split: DataFrame, contract: Contract, names: TopicNames, policy: Policy = STRICT) -> DataFrame:
     """Messages a split produces: an event for each valid row, a letter for each dead one.
 
@@ -51,12 +65,8 @@ def first_pass_outbound(split: DataFrame, contract: Contract, names: TopicNames,
     record = record_struct(contract)
     letter = to_document(record if policy.typed_parse else F.struct(*retry.dead_letter_columns()), policy)
     branch = F.col("branch")
-    return split.select(
-        F.col("message_id").alias("key"),
-        F.when(branch == VALID, event_document(record, "stream_processing", "record accepted"))
-        .when(branch == DEAD, letter).alias("value"),
-        F.when(branch == VALID, F.lit(names.events)).when(branch == DEAD, F.lit(names.dead)).alias("topic"),
-    ).where(F.col("topic").isNotNull())
+    event = event_document(record, "stream_processing", "record accepted")
+    return _routed(split, branch, {VALID: (names.events, event), DEAD: (names.dead, letter)})
 
 
 def retry_outbound(routed: DataFrame, contract: Contract, names: TopicNames, policy: Policy = STRICT) -> DataFrame:
@@ -67,12 +77,9 @@ def retry_outbound(routed: DataFrame, contract: Contract, names: TopicNames, pol
     else:
         record = to_document(F.struct(*contract.names, "retry_count", "message_id"))
         letter = to_document(F.struct(*retry.failed_letter_columns()))
-    return routed.select(
-        F.col("message_id").alias("key"),
-        F.when(route == retry.RETRYABLE, record).when(route == retry.TERMINAL, letter).alias("value"),
-        F.when(route == retry.RETRYABLE, F.lit(names.main))
-        .when(route == retry.TERMINAL, F.lit(names.failed)).alias("topic"),
-    ).where(F.col("topic").isNotNull())
+    return _routed(routed, route, {
+        retry.RETRYABLE: (names.main, record), retry.TERMINAL: (names.failed, letter)
+    })
 
 
 def start_first_pass(
