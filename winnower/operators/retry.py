@@ -11,7 +11,7 @@ from winnower.contract import STRICT, Contract, Policy, Rule
 from winnower.contracts import DEAD_LETTER_TABLE
 from winnower.operators.correct import correct
 from winnower.operators.messages import COORDINATES, identify, parse_messages
-from winnower.operators.validate import error_text, judge
+from winnower.operators.validate import DEAD, VALID, error_text, judge, pick
 
 MAX_RETRIES = 3
 RETRYABLE, TERMINAL, LOST = "retryable", "terminal", "lost"
@@ -130,8 +130,8 @@ def failed_letter_columns() -> list[Column]:
 
 
 def dead_letter_rows(split: DataFrame, status: Column | None = None) -> DataFrame:
-    """Rows of the dead-letter table, the original text included."""
-    return split.select(*dead_letter_columns(status))
+    """The dead rows of a split as rows of the dead-letter table, the original text included."""
+    return pick(split, F.col("branch") == DEAD, *dead_letter_columns(status))
 
 
 def open_letters(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -146,15 +146,21 @@ def open_letters(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def processed_rows(split: DataFrame) -> DataFrame:
-    return split.select(
+    """The valid rows of a split as rows of the table of processed messages."""
+    return pick(
+        split,
+        F.col("branch") == VALID,
         F.xxhash64("message_id").alias("id"),
         "message_id", "topic", "partition", "offset",
         F.current_timestamp().alias("processed_at"),
     )
 
 
-def failed_rows(split: DataFrame) -> DataFrame:
-    return split.select(
+def failed_rows(routed: DataFrame) -> DataFrame:
+    """The terminal rows of a retry as rows of the table of failed messages."""
+    return pick(
+        routed,
+        F.col("route") == TERMINAL,
         F.xxhash64("message_id").alias("id"),
         "message_id", "topic", "partition", "offset",
         _error_or_exhausted(),

@@ -37,6 +37,15 @@ def judge(df: DataFrame, rules: Sequence[Rule], policy: Policy = STRICT) -> Data
     return df.withColumn("is_valid", validity(rules, policy)).withColumn("branch", branch_of(F.col("is_valid")))
 
 
+def pick(df: DataFrame, condition: Column, *columns: str | Column) -> DataFrame:
+    """Rows that meet the condition, projected to the columns.
+
+    For conditions that are costly to evaluate, such as those on parsed messages. A plain filter would be
+    pushed below the parser, which would then run a second time; an empty expansion stays where it is.
+    """
+    return df.select(F.inline(F.when(condition, F.array(F.struct(*(columns or df.columns))))))
+
+
 def valid_rows(judged: DataFrame) -> DataFrame:
     return judged.where(F.col("is_valid"))
 

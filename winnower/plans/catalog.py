@@ -379,7 +379,7 @@ def dedupe_first_delivery(spark: SparkSession, folder: str) -> DataFrame:
 def csv_backup_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Letters with quotes, commas and documents inside, exported and read back."""
     split = retry.split_messages(envelopes(events_of(spark, folder)), TRIP, TRIP_RULES)
-    letters = retry.dead_letter_rows(validate.dead_rows(split))
+    letters = retry.dead_letter_rows(split)
     copy = files.backup_to_csv(letters, fresh_folder(spark, "backup"))
     restored = files.read_backup(spark, copy, DEAD_LETTER_TABLE.struct())
     fare = F.get_json_object("payload", "$.fare_amount").cast("double")
@@ -466,7 +466,7 @@ def dlq_tables(spark: SparkSession, folder: str) -> DataFrame:
     base = fresh_folder(spark, "tables")
     name = f"winnower_letters_{uuid.uuid4().hex}"
     split = retry.split_messages(envelopes(events_of(spark, folder)), TRIP, TRIP_RULES)
-    letters = retry.dead_letter_rows(validate.dead_rows(split)).drop(
+    letters = retry.dead_letter_rows(split).drop(
         "retry_count", "status", "created_at", "updated_at"
     )
     tables.create_table(spark, DEAD_LETTER_TABLE, name, base)
@@ -635,8 +635,8 @@ def stream_branch_tables(spark: SparkSession, folder: str) -> DataFrame:
         envelopes(table_stream(spark, folder, "events")), TRIP, TRIP_RULES, keep=["event_id"]
     )
     sink = sinks.branch_tables([
-        sinks.TableBranch(validate.VALID, retry.processed_rows, f"{base}/processed"),
-        sinks.TableBranch(validate.DEAD, retry.dead_letter_rows, f"{base}/letters", ("status",)),
+        sinks.TableBranch(retry.processed_rows, f"{base}/processed"),
+        sinks.TableBranch(retry.dead_letter_rows, f"{base}/letters", ("status",)),
     ])
     jobs.start_batches(split, sink, "branches", f"{base}/state", once=True).awaitTermination()
     shape = T.StructType([f for f in DEAD_LETTER_TABLE.struct().fields if f.name in ("message_id", "topic", "offset")])
@@ -657,9 +657,8 @@ def stream_event_log(spark: SparkSession, folder: str) -> DataFrame:
         envelopes(table_stream(spark, folder, "events")), TRIP, TRIP_RULES, keep=["event_id"]
     )
     document = event_document(jobs.record_struct(TRIP), "stream_processing", "record accepted")
-    jobs.start_batches(
-        validate.valid_rows(split), sinks.event_log(f"{base}/log", document), "event_log", f"{base}/state", once=True
-    ).awaitTermination()
+    sink = sinks.event_log(f"{base}/log", document, F.col("branch") == validate.VALID)
+    jobs.start_batches(split, sink, "event_log", f"{base}/state", once=True).awaitTermination()
     lines = spark.read.schema("value string").text(f"{base}/log")
     action = F.col("value") == '{"index":{}}'
     return lines.agg(

@@ -13,7 +13,7 @@ from winnower.contract import STRICT, Contract, Policy, Rule
 from winnower.operators import retry
 from winnower.operators.messages import event_document, to_document
 from winnower.operators.metrics import routing_counts
-from winnower.operators.validate import DEAD, VALID
+from winnower.operators.validate import DEAD, VALID, pick
 from winnower.sources.topics import Topics
 from winnower.streaming.sinks import BatchSink
 
@@ -43,17 +43,14 @@ def record_struct(contract: Contract) -> Column:
 
 
 def _routed(df: DataFrame, route: Column, ways: Mapping[str, tuple[str, Column]]) -> DataFrame:
-    """One message per row that has a way out.
-
-    Rows without one are dropped by an empty expansion: a filter would be pushed below the parser and parse
-    every message a second time.
-    """
+    """One message per row that has a way out."""
     topic = value = None
     for name, (destination, document) in ways.items():
         topic = (F if topic is None else topic).when(route == name, F.lit(destination))
         value = (F if value is None else value).when(route == name, document)
-    message = F.struct(F.col("message_id").alias("key"), value.alias("value"), topic.alias("topic"))
-    return df.select(F.inline(F.when(route.isin(*ways), F.array(message))))
+    return pick(
+        df, route.isin(*ways), F.col("message_id").alias("key"), value.alias("value"), topic.alias("topic")
+    )
 
 
 def first_pass_outbound(split: DataFrame, contract: Contract, names: TopicNames, policy: Policy = STRICT) -> DataFrame:

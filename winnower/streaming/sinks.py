@@ -8,9 +8,9 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from winnower.operators.messages import bulk_lines
+from winnower.operators.validate import pick
 
 log = logging.getLogger(__name__)
 
@@ -19,16 +19,15 @@ BatchSink = Callable[[DataFrame, int], None]
 
 @dataclass(frozen=True)
 class TableBranch:
-    """Where the rows of one branch go and what they look like there."""
+    """Where the rows of one branch go and how they are picked and shaped."""
 
-    name: str
     rows: Callable[[DataFrame], DataFrame]
     folder: str
     partition_by: Sequence[str] = ()
 
 
-def branch_tables(branches: Sequence[TableBranch], column: str = "branch") -> BatchSink:
-    """Write each branch to its own Parquet table, each batch to its own folder.
+def branch_tables(branches: Sequence[TableBranch]) -> BatchSink:
+    """Write each branch to its own Parquet table, each batch to its own folder. ``rows`` picks a branch's rows.
 
     For branches with different columns. The batch is computed once and held while it is written; a lost
     executor's share is computed again from the source.
@@ -38,8 +37,7 @@ def branch_tables(branches: Sequence[TableBranch], column: str = "branch") -> Ba
         held = batch.persist()
         try:
             for branch in branches:
-                rows = branch.rows(held.where(F.col(column) == branch.name))
-                rows.write.mode("overwrite").partitionBy(*branch.partition_by).parquet(
+                branch.rows(held).write.mode("overwrite").partitionBy(*branch.partition_by).parquet(
                     f"{branch.folder}/batch={batch_id}"
                 )
         finally:
@@ -48,11 +46,16 @@ def branch_tables(branches: Sequence[TableBranch], column: str = "branch") -> Ba
     return write
 
 
-def event_log(folder: str, document: Column) -> BatchSink:
-    """Write bulk lines (action, document) as text on the executors, one folder per batch."""
+def _lines(batch: DataFrame, document: Column, condition: Column | None) -> DataFrame:
+    lines = bulk_lines(document).alias("value")
+    return batch.select(lines) if condition is None else pick(batch, condition, lines)
+
+
+def event_log(folder: str, document: Column, condition: Column | None = None) -> BatchSink:
+    """Write bulk lines (action, document) of the rows that meet the condition as text, one folder per batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select(bulk_lines(document).alias("value")).write.mode("overwrite").text(f"{folder}/batch={batch_id}")
+        _lines(batch, document, condition).write.mode("overwrite").text(f"{folder}/batch={batch_id}")
 
     return write
 
@@ -82,6 +85,7 @@ def bulk_endpoint(
     endpoint: str,
     index: str,
     document: Column,
+    condition: Column | None = None,
     limit: int = 5_000_000,
     timeout: float = 10,
     fail: bool = False,
@@ -104,6 +108,6 @@ def bulk_endpoint(
                 log.error("bulk request of %d bytes failed: %s", len(body), problem)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.select(bulk_lines(document).alias("value")).foreachPartition(send)
+        _lines(batch, document, condition).foreachPartition(send)
 
     return write
