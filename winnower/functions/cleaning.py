@@ -51,11 +51,8 @@ def truncate_to_int(number: Column) -> Column:
 
 def saturate_to_int(number: Column) -> Column:
     """Drop the fraction; values that do not fit become the nearest int."""
-    return (
-        F.when(number >= F.lit(float(2**31)), F.lit(INT_MAX))
-        .when(number < F.lit(float(INT_MIN)), F.lit(INT_MIN))
-        .otherwise(number.try_cast("int"))
-    )
+    nearest = F.when(number > 0, F.lit(INT_MAX)).when(number < 0, F.lit(INT_MIN).cast("int"))
+    return F.coalesce(number.try_cast("int"), nearest)
 
 
 def fill_null(value: Column, default) -> Column:

@@ -20,7 +20,6 @@ LANDED_SUFFIXES = ("csv", "parquet")
 _CSV_QUOTING = {
     "quote": '"',
     "escape": '"',
-    "emptyValue": '""',
     "nullValue": "",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",

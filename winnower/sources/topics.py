@@ -25,7 +25,8 @@ PRODUCER_OPTIONS: Mapping[str, str] = {
     "kafka.compression.type": "lz4",
     "kafka.linger.ms": "500",
 }
-_OFFSET_BITS = 33
+# Rows a task may write per batch; a batch number of seconds since the epoch still fits above them.
+_OFFSET_BITS = 32
 
 
 @dataclass(frozen=True)
