@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from winnower.contract import Contract
 from winnower.operators.union import union_by_name
 
+_EMPTY = "\x01"
 LANDED_SUFFIXES = ("csv", "parquet")
 
 # Quotes inside a value are doubled and moments keep their microseconds, so any value survives a round trip.
@@ -155,7 +156,13 @@ def backup_to_csv(df: DataFrame, root: str, stamp: str | None = None, rows_per_f
 
 
 def read_backup(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(header=True, multiLine=True, **_CSV_QUOTING).csv(folder)
+    """Read a backup, telling an empty text (quoted) from a null (nothing) by way of a marker."""
+    options = {**_CSV_QUOTING, "header": True, "multiLine": True, "emptyValue": _EMPTY}
+    restored = spark.read.schema(schema).options(**options).csv(folder)
+    return restored.withColumns({
+        f.name: F.when(F.col(f.name) == _EMPTY, F.lit("")).otherwise(F.col(f.name))
+        for f in schema.fields if isinstance(f.dataType, T.StringType)
+    })
 
 
 def daily_logs(lines: DataFrame, moment: str = "timestamp") -> DataFrame:

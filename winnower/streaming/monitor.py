@@ -90,17 +90,23 @@ def watch(
     poll_seconds: int = 60,
     report=print,
 ) -> None:
-    """Run until every query has ended, flushing progress on each poll. A failed query raises here."""
-    while any(q.isActive for q in queries):
-        spark.streams.awaitAnyTermination(poll_seconds)
-        spark.streams.resetTerminated()
-        for line in status_lines(spark):
-            report(line)
+    """Run until every query has ended, flushing progress on each poll. A failed query raises here.
+
+    Other queries of the session, running or failed, do not matter.
+    """
+    try:
+        while active := [q for q in queries if q.isActive]:
+            active[0].awaitTermination(poll_seconds)
+            for failed in filter(None, (q.exception() for q in queries)):
+                raise failed
+            for line in status_lines(spark):
+                report(line)
+            recorder.flush(spark, folder)
+        for q in queries:
+            q.awaitTermination()
+        recorder.wait_for_end(queries)
+    finally:
         recorder.flush(spark, folder)
-    for q in queries:
-        q.awaitTermination()
-    recorder.wait_for_end(queries)
-    recorder.flush(spark, folder)
 
 
 def progress_table(spark: SparkSession, folder: str) -> DataFrame:
