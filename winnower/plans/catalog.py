@@ -22,7 +22,7 @@ from winnower.operators.messages import bulk_lines, event_document, pack_message
 from winnower.operators.union import union_by_name
 from winnower.plans.shape import cents, plain
 from winnower.plans.trips import clean_trips, dirty_documents, envelopes, table, table_stream, trips
-from winnower.session import fresh_folder, scoped_conf
+from winnower.session import fresh_folder, scoped_conf, spread
 from winnower.sources import files, tables
 from winnower.sources.topics import FileTopics
 from winnower.streaming import jobs, monitor, sinks
@@ -41,7 +41,7 @@ def register(query: Query) -> Query:
 
 
 def events_of(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events")
+    return spread(table(spark, folder, "events"))
 
 
 def judged_trips(spark: SparkSession, folder: str, policy: Policy = COMPAT) -> DataFrame:
@@ -306,11 +306,12 @@ def inject_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Broken documents of trips that already lack values, so that a fault can turn null into text."""
     planned = faults.plan_faults(trips(events_of(spark, folder)), "event_id", FAULT_FIELDS, rate=0.3)
     documents = planned.select("event_id", faults.fault_documents(planned, TRIP, FAULT_FIELDS).alias("value"))
-    found = {n: F.get_json_object("value", f"$.{n}") for n in FAULT_FIELDS}
-    return documents.select(
+    shape = T.StructType([T.StructField(n, T.StringType()) for n in FAULT_FIELDS])
+    read = documents.select("event_id", F.from_json("value", shape).alias("d")).select("event_id", "d.*")
+    return read.select(
         "event_id",
-        *[F.round(text.try_cast("double"), 4).alias(n) for n, text in found.items()],
-        *[F.when(text.try_cast("double").isNull(), text).alias(f"{n}_text") for n, text in found.items()],
+        *[F.round(F.col(n).try_cast("double"), 4).alias(n) for n in FAULT_FIELDS],
+        *[F.when(F.col(n).try_cast("double").isNull(), F.col(n)).alias(f"{n}_text") for n in FAULT_FIELDS],
     )
 
 

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
@@ -17,6 +17,8 @@ RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
     # A fan-out write keeps one open file per destination instead of sorting each task by destination.
     "spark.sql.maxConcurrentOutputFileWriters": "16",
+    # Every column expression would otherwise record its Python call site, which costs more than planning it.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # The JVM does not compile methods above this size; larger stages run as split projections instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Keyed state lives off-heap and spills to disk, so its size is not bound by executor memory.
@@ -67,3 +69,13 @@ def shared_root(spark: SparkSession) -> str:
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A path below the shared folder that no other run uses."""
     return f"{shared_root(spark)}/winnower/{purpose}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame, factor: int = 8) -> DataFrame:
+    """Use idle cores when a source has fewer slices than the cluster has cores.
+
+    Meant for work that costs more per row than a shuffle, such as parsing, on few or unsplittable files. A
+    source with enough slices is returned as it is, so nothing moves at scale.
+    """
+    slices, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(min(cores, slices * factor)) if 0 < slices < cores else df
