@@ -21,6 +21,7 @@ RECOMMENDED = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     # The JVM does not compile methods above this size; larger stages run as split projections instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    "spark.sql.streaming.forceDeleteTempCheckpointLocation": "true",
     # Keyed state lives off-heap and spills to disk, so its size is not bound by executor memory.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
