@@ -56,6 +56,30 @@ def test_stream_equals_batch_and_restarts_add_nothing(spark, data, tmp_path, pol
     assert len(stored()) == len(expected) + sum(1 for k, _ in expected if len(k) == 1)
 
 
+def test_a_repeated_batch_is_written_once(spark, tmp_path):
+    """A restart without the last commit runs the batch again; finished folders stay as they are."""
+    topics, state = FileTopics(f"{tmp_path}/t"), f"{tmp_path}/s"
+    publish(spark, topics, messages(spark).withColumn("key", F.col("id")))
+    split = lambda: retry.split_messages(topics.read_stream(spark, NAMES.main), TRIP, TRIP_RULES)
+    sink = sinks.branch_tables([
+        sinks.TableBranch(retry.processed_rows, f"{tmp_path}/processed"),
+        sinks.TableBranch(retry.dead_letter_rows, f"{tmp_path}/letters", ("status",)),
+    ])
+    first_pass(spark, topics, state)
+    jobs.start_batches(split(), sink, "tables", state, once=True).awaitTermination()
+
+    def written():
+        return sorted(str(p) for p in tmp_path.rglob("part-*") if "/s/" not in str(p))
+
+    before = written()
+    for name in ("first_pass", "tables"):
+        for commit in (tmp_path / "s" / name / "commits").iterdir():
+            commit.unlink()
+    first_pass(spark, topics, state)
+    jobs.start_batches(split(), sink, "tables", state, once=True).awaitTermination()
+    assert written() == before
+
+
 def test_counter_survives_the_loop(spark, tmp_path):
     """A message sent back to the main topic is parsed with its counter and its identity."""
     topics, state = FileTopics(f"{tmp_path}/t"), f"{tmp_path}/s"

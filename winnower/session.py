@@ -72,6 +72,12 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/winnower/{purpose}-{uuid.uuid4().hex}"
 
 
+def is_committed(spark: SparkSession, folder: str) -> bool:
+    """Whether a write to the folder went through to its end."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def spread(df: DataFrame, factor: int = 8) -> DataFrame:
     """Use idle cores when a source has fewer slices than the cluster has cores.
 

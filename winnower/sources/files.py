@@ -166,11 +166,12 @@ def read_backup(spark: SparkSession, folder: str, schema: T.StructType) -> DataF
 
 
 def daily_logs(lines: DataFrame, moment: str = "timestamp") -> DataFrame:
-    """Prepare log lines for the daily store: drop transport fields and name the day.
+    """Prepare log lines for the daily store: drop transport fields and name the day, in UTC.
 
     Lines whose time cannot be read are kept under the day ``undated``.
     """
-    day = F.date_format(F.col(moment).try_cast("timestamp"), "yyyy.MM.dd")
+    utc = F.to_utc_timestamp(F.col(moment).try_cast("timestamp"), F.current_timezone())
+    day = F.date_format(utc, "yyyy.MM.dd")
     return lines.drop("@version", "@timestamp").withColumn("log_date", F.coalesce(day, F.lit("undated")))
 
 

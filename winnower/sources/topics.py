@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from winnower.operators.messages import ENVELOPE
+from winnower.session import is_committed
 
 # How the publisher talks to the broker.
 PRODUCER_OPTIONS: Mapping[str, str] = {
@@ -76,8 +77,8 @@ class KafkaTopics:
 class FileTopics:
     """Topics in a shared folder: ``<root>/<producer>/<batch>/topic=<name>/part-*``.
 
-    A batch has its own folder that a repeated batch replaces, so restarts add no rows. Several producers may
-    feed one topic.
+    A batch has its own folder. A stream that repeats a batch after a restart leaves a finished folder alone and
+    replaces an unfinished one, so rows arrive exactly once. Several producers may feed one topic.
     """
 
     root: str
@@ -87,6 +88,9 @@ class FileTopics:
     def _pattern(self, topic: str) -> str:
         return f"{self.root}/*/*/topic={topic}"
 
+    def _folder(self, producer: str, batch: int) -> str:
+        return f"{self.root}/{producer}/{batch:012d}"
+
     def _envelope(self, frame: DataFrame, topic: str) -> DataFrame:
         return frame.withColumn("topic", F.lit(topic)).select(*ENVELOPE.names)
 
@@ -120,12 +124,12 @@ class FileTopics:
             F.current_timestamp().alias("timestamp"),
             F.lit(0).alias("timestampType"),
         )
-        folder = f"{self.root}/{producer}/{batch:012d}"
-        stamped.write.mode("overwrite").partitionBy("topic").format(self.format).save(folder)
+        stamped.write.mode("overwrite").partitionBy("topic").format(self.format).save(self._folder(producer, batch))
 
     def write_stream(self, outbound: DataFrame, producer: str) -> DataStreamWriter:
         def write_batch(rows: DataFrame, batch: int) -> None:
-            self.write(rows, producer, batch)
+            if not is_committed(rows.sparkSession, self._folder(producer, batch)):
+                self.write(rows, producer, batch)
 
         return outbound.writeStream.foreachBatch(write_batch).outputMode("append")
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 
 from winnower.operators.messages import bulk_lines
 from winnower.operators.validate import pick
+from winnower.session import is_committed
 
 log = logging.getLogger(__name__)
 
@@ -30,16 +31,16 @@ def branch_tables(branches: Sequence[TableBranch]) -> BatchSink:
     """Write each branch to its own Parquet table, each batch to its own folder. ``rows`` picks a branch's rows.
 
     For branches with different columns. The batch is computed once and held while it is written; a lost
-    executor's share is computed again from the source.
+    executor's share is computed again from the source. A repeated batch writes only what is not there yet.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        targets = [(b, f"{b.folder}/batch={batch_id}") for b in branches]
+        missing = [(b, folder) for b, folder in targets if not is_committed(batch.sparkSession, folder)]
         held = batch.persist()
         try:
-            for branch in branches:
-                branch.rows(held).write.mode("overwrite").partitionBy(*branch.partition_by).parquet(
-                    f"{branch.folder}/batch={batch_id}"
-                )
+            for branch, folder in missing:
+                branch.rows(held).write.mode("overwrite").partitionBy(*branch.partition_by).parquet(folder)
         finally:
             held.unpersist()
 
@@ -55,7 +56,9 @@ def event_log(folder: str, document: Column, condition: Column | None = None) ->
     """Write bulk lines (action, document) of the rows that meet the condition as text, one folder per batch."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _lines(batch, document, condition).write.mode("overwrite").text(f"{folder}/batch={batch_id}")
+        target = f"{folder}/batch={batch_id}"
+        if not is_committed(batch.sparkSession, target):
+            _lines(batch, document, condition).write.mode("overwrite").text(target)
 
     return write
 
