@@ -44,6 +44,10 @@ def events_of(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "events"))
 
 
+def events_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return spread(table_stream(spark, folder, "events"), measured=table(spark, folder, "events"))
+
+
 def judged_trips(spark: SparkSession, folder: str, policy: Policy = COMPAT) -> DataFrame:
     return validate.judge(correct(trips(events_of(spark, folder)), TRIP, policy), TRIP_RULES, policy)
 
@@ -552,7 +556,7 @@ def stream_split(spark: SparkSession, folder: str) -> DataFrame:
     """Read the table as a stream of messages and split it; what each topic received."""
     base = fresh_folder(spark, "split")
     topics = FileTopics(f"{base}/topics")
-    messages = envelopes(table_stream(spark, folder, "events")).withColumn("key", F.col("event_id").cast("string"))
+    messages = envelopes(events_stream(spark, folder)).withColumn("key", F.col("event_id").cast("string"))
     _first_pass(spark, topics, base, STRICT, messages)
     accepted = topics.read(spark, NAMES.events).select(
         "key", "topic",
@@ -581,7 +585,7 @@ def stream_retry(spark: SparkSession, folder: str) -> DataFrame:
     """Every message treated as a dead record and retried under the three-valued policy."""
     base = fresh_folder(spark, "retry")
     topics = FileTopics(f"{base}/topics")
-    messages = envelopes(table_stream(spark, folder, "events")).withColumn("key", F.col("event_id").cast("string"))
+    messages = envelopes(events_stream(spark, folder)).withColumn("key", F.col("event_id").cast("string"))
     jobs.start_retry(
         messages, topics, TRIP, TRIP_RULES, f"{base}/state", NAMES, COMPAT, once=True
     ).awaitTermination()
@@ -633,7 +637,7 @@ def stream_branch_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Valid rows and letters to tables of their own shapes, from one read of each micro-batch."""
     base = fresh_folder(spark, "branches")
     split = retry.split_messages(
-        envelopes(table_stream(spark, folder, "events")), TRIP, TRIP_RULES, keep=["event_id"]
+        envelopes(events_stream(spark, folder)), TRIP, TRIP_RULES, keep=["event_id"]
     )
     sink = sinks.branch_tables([
         sinks.TableBranch(retry.processed_rows, f"{base}/processed"),
@@ -655,7 +659,7 @@ def stream_event_log(spark: SparkSession, folder: str) -> DataFrame:
     """Bulk lines of the valid rows; every document follows its action line."""
     base = fresh_folder(spark, "events")
     split = retry.split_messages(
-        envelopes(table_stream(spark, folder, "events")), TRIP, TRIP_RULES, keep=["event_id"]
+        envelopes(events_stream(spark, folder)), TRIP, TRIP_RULES, keep=["event_id"]
     )
     document = event_document(jobs.record_struct(TRIP), "stream_processing", "record accepted")
     sink = sinks.event_log(f"{base}/log", document, F.col("branch") == validate.VALID)
@@ -677,7 +681,7 @@ def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
     spark.streams.addListener(recorder)
     try:
         query = jobs.start_first_pass(
-            envelopes(table_stream(spark, folder, "events")),
+            envelopes(events_stream(spark, folder)),
             FileTopics(f"{base}/topics"), TRIP, TRIP_RULES, f"{base}/state", NAMES, COMPAT, once=True,
         )
         monitor.watch(spark, [query], recorder, f"{base}/metrics", poll_seconds=5, report=lambda line: None)

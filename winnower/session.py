@@ -78,11 +78,13 @@ def is_committed(spark: SparkSession, folder: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
-def spread(df: DataFrame, factor: int = 8) -> DataFrame:
+def spread(df: DataFrame, factor: int = 8, measured: DataFrame | None = None) -> DataFrame:
     """Use idle cores when a source has fewer slices than the cluster has cores.
 
     Meant for work that costs more per row than a shuffle, such as parsing, on few or unsplittable files. A
-    source with enough slices is returned as it is, so nothing moves at scale.
+    source with enough slices is returned as it is, so nothing moves at scale. The slices of a stream cannot
+    be counted; give a bounded frame over the same files as ``measured``.
     """
-    slices, cores = df.rdd.getNumPartitions(), df.sparkSession.sparkContext.defaultParallelism
+    slices = (df if measured is None else measured).rdd.getNumPartitions()
+    cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(min(cores, slices * factor)) if 0 < slices < cores else df
