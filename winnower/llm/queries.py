@@ -5,8 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .bpe import decode, encode
+from .exact_names import exact_dedup, normalised
+from .language import identify
 from .near_dedup import near_dedup
+from .packing import pack
+from .quality_rank import rank_quality
+from .quality_rules import quality_rules
+from .repeats import remove_repeats
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -17,8 +25,58 @@ def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup(_read(spark, folder, "documents"))
 
 
+def op2_bradley_terry(spark: SparkSession, folder: str) -> DataFrame:
+    return rank_quality(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
+def op3_pow2_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(_read(spark, folder, "documents")).withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
+
+
+def op4_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(_read(spark, folder, "documents"))
+
+
+def op5_interval_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(_read(spark, folder, "documents")).withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+def op6_block_names(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").withColumn("text_sha256", F.sha2(normalised(F.col("text")).cast("binary"), 256))
+    return exact_dedup(docs, carry=["text_sha256"])
+
+
+def op7_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(_read(spark, folder, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
+def op10_bpe_rounds(spark: SparkSession, folder: str) -> DataFrame:
+    rows = decode(encode(_read(spark, folder, "documents")))
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
+    "op2_bradley_terry": op2_bradley_terry,
+    "op3_pow2_packing": op3_pow2_packing,
+    "op4_mixture": op4_mixture,
+    "op5_interval_tree": op5_interval_tree,
+    "op6_block_names": op6_block_names,
+    "op7_weak_rules": op7_weak_rules,
+    "op10_bpe_rounds": op10_bpe_rounds,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_block_names": r"""
+WITH n AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS t FROM documents
+)
+SELECT doc_id,
+  first_value(doc_id) OVER w AS keep_id,
+  count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER w = 1 AS kept,
+  sha256(t) AS text_sha256
+FROM n
+WINDOW w AS (PARTITION BY t ORDER BY chars DESC, doc_id)
+""",
+}
