@@ -107,7 +107,7 @@ def votes() -> dict[str, Column]:
         "length": _vote(c("n_words") < 30, c("n_words").between(50, 100_000)),
         "word_length": _vote((c("word_chars") < 2 * words) | (c("word_chars") > 14 * words), (c("word_chars") > 3 * words) & (c("word_chars") < 10 * words)),
         "symbols": _vote(10 * c("n_symbols") > words, 50 * c("n_symbols") <= words),
-        "lines": _vote(10 * c("n_dup_lines") > 3 * c("n_lines"), 20 * c("n_dup_lines") <= c("n_lines")),
+        "lines": _vote(10 * c("n_dup_lines") > 5 * c("n_lines"), 20 * c("n_dup_lines") <= c("n_lines")),
         "repeats": _vote(100 * c("n_repeat_words") > 30 * words, 100 * c("n_repeat_words") <= 15 * words),
         "capitals": _vote(10 * c("n_upper") > 3 * letters, 10 * c("n_upper") <= letters),
         "variety": _vote(c("n_distinct") * c("n_distinct") < words, c("n_distinct") * c("n_distinct") >= 4 * words),
@@ -115,17 +115,22 @@ def votes() -> dict[str, Column]:
     }
 
 
-def estimate(patterns: np.ndarray, number: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray, np.ndarray]:
+def posterior(patterns: np.ndarray, share: float, tables: np.ndarray) -> np.ndarray:
+    """Probability of each vote pattern's documents being good."""
+    score = np.einsum("crv,prv->cp", np.log(tables), np.eye(3)[patterns]) + np.log([1 - share, share])[:, None]
+    return 1 / (1 + np.exp(np.clip(score[0] - score[1], -700, 700)))
+
+
+def estimate(patterns: np.ndarray, number: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray]:
     """Expectation-maximisation over vote patterns.
 
-    patterns: a row of votes (0, 1, 2) each; number: how many documents have it. Returns the share of good documents,
-    each rule's vote probabilities by class (class, rule, vote), and each pattern's posterior of being good.
-    The start takes the sign of the majority, with a vote against counting double as rules rarely speak against prose.
+    patterns: a row of votes (0, 1, 2) each; number: how many documents have it. Returns the share of good documents
+    and each rule's vote probabilities by class (class, rule, vote). It starts from bad where any rule votes against,
+    as rules rarely speak against prose.
     """
     rules = patterns.shape[1]
     onehot = np.eye(3)[patterns]
-    against, for_ = (patterns == 0).sum(1), (patterns == 2).sum(1)
-    post = 1 / (1 + np.exp(-(for_ / rules * 2 - 4.0 * against + 1)))
+    post = 1 / (1 + np.exp(4.0 * (patterns == 0).sum(1) - 3))
     # Pseudo-counts: a good document is rarely voted against, a bad one often is.
     prior = np.array([[2.0, 1.0, 1.0], [0.1, 1.0, 4.0]])[:, None, :] * np.ones((2, rules, 1))
     share, tables = 0.5, prior / prior.sum(2, keepdims=True)
@@ -134,13 +139,11 @@ def estimate(patterns: np.ndarray, number: np.ndarray, rounds: int = 200) -> tup
         tables = np.einsum("cp,prv->crv", weight, onehot) + prior
         tables /= tables.sum(2, keepdims=True)
         share = (weight[1].sum() + 1) / (number.sum() + 2)
-        score = np.einsum("crv,prv->cp", np.log(tables), onehot) + np.log([1 - share, share])[:, None]
-        new = 1 / (1 + np.exp(np.clip(score[0] - score[1], -700, 700)))
-        if np.abs(new - post).max(initial=0) < 1e-9:
-            post = new
+        new = posterior(patterns, share, tables)
+        change, post = np.abs(new - post).max(initial=0), new
+        if change < 1e-9:
             break
-        post = new
-    return share, tables, post
+    return share, tables
 
 
 def quality_rules(docs: DataFrame, keep_at: float = 0.5, scratch: Scratch | None = None) -> DataFrame:
@@ -154,11 +157,11 @@ def quality_rules(docs: DataFrame, keep_at: float = 0.5, scratch: Scratch | None
     rules = votes()
     voted = scratch.table(features(docs).withColumns({f"vote_{k}": v for k, v in rules.items()}), "votes")
     code = sum((F.col(f"vote_{k}") * 3 ** i for i, k in enumerate(rules)), F.lit(0)).cast("int")
-    # At most 3 ** 8 patterns, whatever the number of documents.
-    seen = voted.groupBy(code.alias("pattern")).count().toPandas().sort_values("pattern")
+    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    # At most 3 ** 8 patterns, whatever the number of documents. Rules are judged on the documents that pass the base.
+    seen = voted.groupBy(code.alias("pattern")).agg(F.count(F.when(~base, 1)).alias("n")).toPandas().sort_values("pattern")
     patterns = np.array([[p // 3 ** i % 3 for i in range(len(rules))] for p in seen["pattern"]], dtype=np.int64).reshape(len(seen), len(rules))
-    _, _, post = estimate(patterns, seen["count"].to_numpy(dtype=float))
+    post = posterior(patterns, *estimate(patterns, seen["n"].to_numpy(dtype=float)))
     table = spark.createDataFrame([(int(p), float(q)) for p, q in zip(seen["pattern"], post, strict=True)], "pattern int, quality double")
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (voted.withColumn("pattern", code).join(F.broadcast(table), "pattern", "left").withColumn("base_failed", base)
             .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= keep_at)).drop("pattern"))
