@@ -115,35 +115,38 @@ def votes() -> dict[str, Column]:
     }
 
 
-def posterior(patterns: np.ndarray, share: float, tables: np.ndarray) -> np.ndarray:
-    """Probability of each vote pattern's documents being good."""
-    score = np.einsum("crv,prv->cp", np.log(tables), np.eye(3)[patterns]) + np.log([1 - share, share])[:, None]
-    return 1 / (1 + np.exp(np.clip(score[0] - score[1], -700, 700)))
+def posterior(patterns: np.ndarray, share: float, right: np.ndarray) -> np.ndarray:
+    """Probability of each vote pattern's documents being good; an abstention says nothing.
+
+    right[0]: how often a rule's vote on a bad document is against it; right[1]: on a good one, for it.
+    """
+    against, for_ = patterns == 0, patterns == 2
+    odds = for_ @ np.log(right[1] / (1 - right[0])) - against @ np.log(right[0] / (1 - right[1])) + np.log(share / (1 - share))
+    return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
 
 
 def estimate(patterns: np.ndarray, number: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray]:
     """Expectation-maximisation over vote patterns.
 
     patterns: a row of votes (0, 1, 2) each; number: how many documents have it. Returns the share of good documents
-    and each rule's vote probabilities by class (class, rule, vote). It starts from bad where any rule votes against,
-    as rules rarely speak against prose.
+    and the rules' accuracies by class. It starts from bad where any rule votes against, as rules rarely speak against
+    prose.
     """
-    rules = patterns.shape[1]
-    onehot = np.eye(3)[patterns]
-    post = 1 / (1 + np.exp(4.0 * (patterns == 0).sum(1) - 3))
-    # Pseudo-counts: a good document is rarely voted against, a bad one often is.
-    prior = np.array([[2.0, 1.0, 1.0], [0.1, 1.0, 4.0]])[:, None, :] * np.ones((2, rules, 1))
-    share, tables = 0.5, prior / prior.sum(2, keepdims=True)
+    against, for_ = (patterns == 0).astype(float), (patterns == 2).astype(float)
+    post = np.where(against.any(1), 0.05, 0.999)
+    share, right = 0.5, np.full((2, patterns.shape[1]), 0.5)
     for _ in range(rounds):
-        weight = np.stack((1 - post, post)) * number
-        tables = np.einsum("cp,prv->crv", weight, onehot) + prior
-        tables /= tables.sum(2, keepdims=True)
-        share = (weight[1].sum() + 1) / (number.sum() + 2)
-        new = posterior(patterns, share, tables)
+        good, bad = post * number, (1 - post) * number
+        # A rule sees its own kind of bad document only. Its votes against good ones are rare: one in a thousand is
+        # expected, which weighs as much as all documents seen; else a rule that alone speaks up could not be told right.
+        prior = number.sum() + 10
+        right = np.stack(((bad @ against + 1) / (bad @ (against + for_) + 2), (good @ for_ + 0.999 * prior) / (good @ (against + for_) + prior)))
+        share = (good.sum() + 1) / (number.sum() + 2)
+        new = posterior(patterns, share, right)
         change, post = np.abs(new - post).max(initial=0), new
         if change < 1e-9:
             break
-    return share, tables
+    return share, right
 
 
 def quality_rules(docs: DataFrame, keep_at: float = 0.5, scratch: Scratch | None = None) -> DataFrame:
