@@ -52,12 +52,12 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         start = end
 
 
-def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words of a chunk, and the number of the first word of each row."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words of a chunk, and the number of the first word of each row; apart: what parts words."""
     if not len(data):
         empty = np.zeros(0, np.int64)
         return empty, empty, np.zeros(len(offsets), np.int64)
-    space = SPACE[data]
+    space = apart[data]
     before = np.empty(len(data), dtype=bool)
     before[0], before[1:] = True, space[:-1]
     after = np.empty(len(data), dtype=bool)

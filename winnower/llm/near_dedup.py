@@ -185,7 +185,8 @@ def _compare(p: NearDedup):
 
 
 def near_dedup(docs: DataFrame, p: NearDedup = NearDedup(), scratch: Scratch | None = None) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for each row of docs (doc_id long, text string; other columns are ignored).
+    """doc_id, n_shingles, component_id, kept, text_hash for each row of docs (doc_id long, text string; other columns are
+    ignored).
 
     Texts with equal shingle sets are one node. Nodes that share a band meet in a bucket; each is verified first against
     the bucket's most connected node, which settles dense groups with one link a node; then buckets that still hold
@@ -241,6 +242,6 @@ def near_dedup(docs: DataFrame, p: NearDedup = NearDedup(), scratch: Scratch | N
     least = (members.where("row = node").join(final, "node", "left").withColumn("root", F.coalesce("root", "node")))
     names = least.groupBy("root").agg(F.min("least").alias("component_id")).join(least.select("root", "node"), "root").select("node", "component_id")
     of_row = members.select("row", "node").join(names, "node").select("row", "component_id")
-    return (signed.select("row", "doc_id", "n_shingles").join(of_row, "row", "left")
+    return (signed.select("row", "doc_id", "text_hash", "n_shingles").join(of_row, "row", "left")
             .withColumn("component_id", F.coalesce("component_id", "doc_id"))
-            .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))
+            .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "text_hash"))

@@ -7,7 +7,7 @@ being good rather than by passing every rule.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ SYMBOLS = "#*$%&|<>"
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_lower", "n_distinct", "n_bangs")
 
-FEATURES = "doc_id long, row_hash long, " + ", ".join(f"{c} long" for c in COUNTS)
+FEATURES = ", ".join(f"{c} long" for c in COUNTS)
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in SYMBOLS]] = True
@@ -79,18 +79,24 @@ def counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        data, offsets = text_column(batch, "text")
-        for start, end in chunks(offsets):
-            own = offsets[start:end + 1]
-            found = counts(data[own[0]:own[-1]], own - own[0])
-            yield pa.record_batch([batch.column("doc_id").slice(start, end - start), batch.column("row_hash").slice(start, end - start), *map(pa.array, found.T.copy())], names=["doc_id", "row_hash", *COUNTS])
+def _measure(carry: list[str]):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_column(batch, "_text")
+            for start, end in chunks(offsets):
+                own = offsets[start:end + 1]
+                found = counts(data[own[0]:own[-1]], own - own[0])
+                yield pa.record_batch([*(batch.column(c).slice(start, end - start) for c in carry), *map(pa.array, found.T.copy())], names=[*carry, *COUNTS])
 
+    return run
 
-def features(docs: DataFrame) -> DataFrame:
-    """doc_id, a hash of the text and the counts, for each row; null text has zero of everything."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row_hash"), "text").mapInArrow(_measure, FEATURES)
+
+def features(docs: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The carried columns, as _0, _1 ..., and the counts, for each row; null text has zero of everything."""
+    held = [f"_{k}" for k in range(len(carry))]
+    rows = docs.select(*[F.col(c).alias(h) for c, h in zip(carry, held, strict=True)], F.col("text").alias("_text"))
+    kinds = dict(rows.dtypes)
+    return rows.mapInArrow(_measure(held), ", ".join([*(f"{h} {kinds[h]}" for h in held), FEATURES]))
 
 
 def _vote(bad: Column, good: Column) -> Column:
@@ -149,22 +155,31 @@ def estimate(patterns: np.ndarray, number: np.ndarray, rounds: int = 200) -> tup
     return share, right
 
 
-def quality_rules(docs: DataFrame, keep_at: float = 0.5, scratch: Scratch | None = None) -> DataFrame:
-    """doc_id, row_hash, the counts, base_failed, the votes, quality (posterior) and kept, for each row of docs.
+def quality_rules(docs: DataFrame, keep_at: float = 0.5, carry: Sequence[str] = ("doc_id",), scratch: Scratch | None = None) -> DataFrame:
+    """The carried columns, the counts, base_failed, the votes, quality (posterior) and kept, for each row of docs.
 
     base_failed: fewer than 50 words, or over half of the words in repeated three-word windows. kept: not base_failed
     and a posterior of keep_at or more. Null and empty texts have no words and fail. An empty table gives an empty one.
+    Repeated rows count as often as they are there. Carried columns named like a count are left out of the result.
+
+    The first pass counts vote patterns; with more than the id to carry, the second measures the texts again instead of
+    joining them, so no text is shuffled.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "quality-rules")
     rules = votes()
-    voted = scratch.table(features(docs).withColumns({f"vote_{k}": v for k, v in rules.items()}), "votes")
+    ids = [c for c in carry if c not in COUNTS and c != "text"] if len(carry) <= 1 else []
+    slim = scratch.table(features(docs, ids).withColumns({f"vote_{k}": v for k, v in rules.items()}), "votes")
+    voted = slim if len(carry) <= 1 else features(docs, carry).withColumns({f"vote_{k}": v for k, v in rules.items()})
+    names = ids if len(carry) <= 1 else list(carry)
     code = sum((F.col(f"vote_{k}") * 3 ** i for i, k in enumerate(rules)), F.lit(0)).cast("int")
     base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     # At most 3 ** 8 patterns, whatever the number of documents. Rules are judged on the documents that pass the base.
-    seen = voted.groupBy(code.alias("pattern")).agg(F.count(F.when(~base, 1)).alias("n")).toPandas().sort_values("pattern")
+    seen = slim.groupBy(code.alias("pattern")).agg(F.count(F.when(~base, 1)).alias("n")).toPandas().sort_values("pattern")
     patterns = np.array([[p // 3 ** i % 3 for i in range(len(rules))] for p in seen["pattern"]], dtype=np.int64).reshape(len(seen), len(rules))
     post = posterior(patterns, *estimate(patterns, seen["n"].to_numpy(dtype=float)))
     table = spark.createDataFrame([(int(p), float(q)) for p, q in zip(seen["pattern"], post, strict=True)], "pattern int, quality double")
-    return (voted.withColumn("pattern", code).join(F.broadcast(table), "pattern", "left").withColumn("base_failed", base)
-            .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= keep_at)).drop("pattern"))
+    judged = (voted.withColumn("pattern", code).join(F.broadcast(table), "pattern", "left").withColumn("base_failed", base)
+              .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= keep_at)).drop("pattern"))
+    own = {*COUNTS, "base_failed", "quality", "kept", *(f"vote_{k}" for k in rules)}
+    return judged.select(*[F.col(f"_{k}").alias(c) for k, c in enumerate(names) if c not in own], *[c for c in judged.columns if c in own])

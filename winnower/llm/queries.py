@@ -15,6 +15,8 @@ from .packing import pack
 from .quality_rank import rank_quality
 from .quality_rules import quality_rules
 from .repeats import remove_repeats
+from .site_tree import extract
+from .toxicity import score_toxicity
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -50,6 +52,14 @@ def op7_weak_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(_read(spark, folder, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op8_style_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return extract(_read(spark, folder, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def op9_block_max(spark: SparkSession, folder: str) -> DataFrame:
+    return score_toxicity(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
 def op10_bpe_rounds(spark: SparkSession, folder: str) -> DataFrame:
     rows = decode(encode(_read(spark, folder, "documents")))
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -63,6 +73,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_interval_tree": op5_interval_tree,
     "op6_block_names": op6_block_names,
     "op7_weak_rules": op7_weak_rules,
+    "op8_style_tree": op8_style_tree,
+    "op9_block_max": op9_block_max,
     "op10_bpe_rounds": op10_bpe_rounds,
 }
 

@@ -24,9 +24,9 @@ from .scratch import Scratch
 
 @dataclass(frozen=True)
 class Repeats:
-    #: Bytes of a repeat, at least.
+    #: Bytes of a repeat, at least; 8 or more.
     length: int = 200
-    #: Bytes of the hashes that suffixes are dealt out by; at most `length`.
+    #: Bytes of the hashes that suffixes are dealt out by: a power of two, at most `length`.
     gram: int = 32
     #: A hash with more different slices has its suffixes dealt out once more, each by its own first bytes.
     crowd: int = 512
@@ -287,10 +287,7 @@ def repeated_spans(docs: DataFrame, p: Repeats, scratch: Scratch) -> DataFrame:
     return spans.groupBy("row").agg(F.collect_set("span").alias("spans")).join(owners, "row").groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
-KEPT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
-
-
-def _remove(carry: list[str]):
+def _remove(carry: list[str], decode: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_column(batch, "text")
@@ -305,25 +302,27 @@ def _remove(carry: list[str]):
                     kept.append(b"".join(text[a:b].tobytes() for a, b in zip(edges[::2], edges[1::2], strict=True)))
                     removed.append(sum(b - a for a, b in holes))
                     number.append(len(holes))
+                rest = pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if decode else pa.array(kept, pa.binary())
                 yield pa.record_batch([
                     *(batch.column(c).slice(start, end - start) for c in ("doc_id", *carry)),
-                    pa.array(np.diff(offsets[start:end + 1])), pa.array(removed, pa.int64()), pa.array(number, pa.int64()), pa.array(kept, pa.binary()),
+                    pa.array(np.diff(offsets[start:end + 1])), pa.array(removed, pa.int64()), pa.array(number, pa.int64()), rest,
                 ], names=["doc_id", *carry, "n_bytes", "n_removed", "n_spans", "kept"])
 
     return run
 
 
-def remove_repeats(docs: DataFrame, p: Repeats = Repeats(), carry: tuple[str, ...] = (), scratch: Scratch | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, p: Repeats = Repeats(), carry: tuple[str, ...] = (), decode: bool = False, scratch: Scratch | None = None) -> DataFrame:
     """doc_id, the carried columns, n_bytes, n_removed, n_spans and kept (the bytes left), for each row of docs.
 
     Every byte covered by a `length`-byte string that starts in two places goes, in all its places. Texts are UTF-8
     bytes; null and empty texts have none. Repeated rows repeat each other and lose all they have in common; a null
-    doc_id is a name like any other. kept can end within a character where the repeat does.
+    doc_id is a name like any other. A repeat can end within a character; kept holds such bytes as they are, or, with
+    decode, is a string without them.
     """
     scratch = scratch or Scratch(docs.sparkSession, "repeats")
     spans = repeated_spans(docs, p, scratch).withColumnsRenamed({"doc_id": "_doc", "text_hash": "_hash"})
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), F.xxhash64("text").alias("_own"))
     joined = source.join(spans, (F.col("_own") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_doc")), "left").select("doc_id", *carry, "text", "spans")
     kinds = dict(docs.dtypes)
-    schema = ", ".join(["doc_id long", *(f"`{c}` {kinds[c]}" for c in carry), KEPT.removeprefix("doc_id long, ")])
-    return joined.mapInArrow(_remove(list(carry)), schema)
+    schema = ", ".join(["doc_id long", *(f"`{c}` {kinds[c]}" for c in carry), f"n_bytes long, n_removed long, n_spans long, kept {'string' if decode else 'binary'}"])
+    return joined.mapInArrow(_remove(list(carry), decode), schema)
