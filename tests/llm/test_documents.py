@@ -85,8 +85,8 @@ def test_repeats_match_all_windows(table):
     gone = corpora.repeated_bytes([r["text"] for r in rows])
     want = by_id([{"doc_id": r["doc_id"], "kept": bytes(b for b, g in zip((r["text"] or "").encode(), own, strict=True) if not g),
                    "n_removed": sum(own), "n_spans": sum(g and not (k and own[k - 1]) for k, g in enumerate(own))} for r, own in zip(rows, gone, strict=True)])
-    for crowd in (512, 1):
-        got = by_id(remove_repeats(table, Repeats(crowd=crowd), carry=("source",)).collect())
+    for crowd, part in ((1024, 16), (1, 16), (0, 5)):
+        got = by_id(remove_repeats(table, Repeats(crowd=crowd, part=part), carry=("source",)).collect())
         assert got.keys() == want.keys()
         for k in want:
             key = lambda r: (bytes(r["kept"]), r["n_removed"], r["n_spans"])

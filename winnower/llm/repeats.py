@@ -28,8 +28,10 @@ class Repeats:
     length: int = 200
     #: Bytes of the hashes that suffixes are dealt out by: a power of two, at most `length`.
     gram: int = 32
-    #: A hash with more different slices has its suffixes dealt out once more, each by its own first bytes.
-    crowd: int = 512
+    #: A hash with more different slices has them cut and dealt out once more, by longer content.
+    crowd: int = 1024
+    #: Suffixes of a part of such a slice, at most.
+    part: int = 16
     #: Bytes of slices sorted at once in a task.
     sort_bytes: int = 1 << 20
 
@@ -244,18 +246,67 @@ def _trees(p: Repeats):
     return run
 
 
+def _parts(p: Repeats):
+    """Slices cut at fixed distances from their hash's place; a part goes by the bytes that all its suffixes share.
+
+    Equal suffixes lie at the same distance, so they are in parts of the same name, which is now most of their length.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for h, s, n, data in zip(*(batch.column(c).to_pylist() for c in ("hash", "slice", "suffixes", "bytes")), strict=True):
+                place = int(minimal_hashes(np.frombuffer(data, np.uint8), p)[1][0])
+                for j in range((place - n + 1) // p.part, place // p.part + 1):
+                    first, last = max(place - j * p.part - p.part + 1, 0), min(place - j * p.part, n - 1)
+                    if first <= last:
+                        core = data[place - j * p.part:place - j * p.part - p.part + 1 + p.length]
+                        own = data[first:last + p.length]
+                        rows.append((h, s, first, last - first + 1, xxhash.xxh3_64_intdigest(core, j) >> 1, xxhash.xxh3_64_intdigest(own) >> 1, own))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.record_batch([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["hash", "slice", "offset", "suffixes", "core", "part", "bytes"])
+
+    return run
+
+
 def _windows(p: Repeats):
-    """Each suffix of a slice by the 128-bit name of its first bytes."""
+    """Each suffix of a part by the 128-bit name of its first bytes."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for h, s, n, b in zip(*(batch.column(c).to_pylist() for c in ("hash", "slice", "suffixes", "bytes")), strict=True):
-                names = np.array([np.frombuffer(xxhash.xxh3_128_digest(b[k:k + p.length]), np.int64) for k in range(n)]).reshape(n, 2)
-                yield pa.record_batch([pa.array(np.full(n, h)), pa.array(np.full(n, s)), pa.array(np.arange(n, dtype=np.int32)), pa.array(names[:, 0]), pa.array(names[:, 1])], names=["hash", "slice", "low", "name_a", "name_b"])
+            core, part, suffixes = (batch.column(c).to_numpy() for c in ("core", "part", "suffixes"))
+            low = np.concatenate([np.arange(n, dtype=np.int32) for n in suffixes]) if len(suffixes) else np.zeros(0, np.int32)
+            names = [xxhash.xxh3_128_digest(b[k:k + p.length]) for b, n in zip(batch.column("bytes").to_pylist(), suffixes, strict=True) for k in range(n)]
+            pair = np.frombuffer(b"".join(names), np.int64).reshape(-1, 2)
+            yield pa.record_batch([pa.array(np.repeat(core, suffixes)), pa.array(np.repeat(part, suffixes)), pa.array(low), pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["core", "part", "low", "name_a", "name_b"])
 
     return run
 
 
+def _crowded_spans(slices: DataFrame, p: Repeats, scratch: Scratch) -> DataFrame:
+    """hash, slice, low, high of what repeats among the slices of hashes that have too many for one task.
+
+    Parts are dealt by their shared bytes and counted like slices. Where even those have too many different parts, as
+    at the edges of a passage that countless texts hold, each suffix goes by its own first bytes: equal ones are an
+    interval of the tree of just that depth.
+    """
+    parts = scratch.table(slices.mapInArrow(_parts(p), "hash long, slice long, offset int, suffixes int, core long, part long, bytes binary"), "parts")
+    kinds = parts.groupBy("core", "part").agg(F.count("*").alias("m"), F.first("suffixes").alias("suffixes"), F.first("bytes").alias("bytes"))
+    kinds = scratch.table(kinds, "part-kinds")
+    sizes = kinds.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    mixed = kinds.select("core", "part", "suffixes", "bytes").join(sizes, "core")
+    few = mixed.where(F.col("kinds") <= p.crowd).select(F.col("core").alias("hash"), F.col("part").alias("slice"), "bytes")
+    trees = few.repartition("hash").sortWithinPartitions("hash").mapInArrow(_trees(p), SPANS).select(F.col("hash").alias("core"), F.col("slice").alias("part"), "low", "high")
+    placed = mixed.where(F.col("kinds") > p.crowd).select("core", "part", "suffixes", "bytes").mapInArrow(_windows(p), "core long, part long, low int, name_a long, name_b long")
+    twice = placed.groupBy("name_a", "name_b").agg(F.count("*").alias("n")).where("n > 1").select("name_a", "name_b")
+    single = placed.join(twice, ["name_a", "name_b"], "left_semi").select("core", "part", "low", (F.col("low") + p.length).alias("high"))
+    whole = kinds.where("m > 1").select("core", "part", F.lit(0).alias("low"), (F.col("suffixes") + (p.length - 1)).alias("high"))
+    found = trees.union(single).union(whole).groupBy("core", "part").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    return (parts.select("hash", "slice", "offset", "core", "part").join(found, ["core", "part"])
+            .select("hash", "slice", "offset", F.explode("spans").alias("s"))
+            .select("hash", "slice", (F.col("s.low") + F.col("offset")).alias("low"), (F.col("s.high") + F.col("offset")).alias("high")))
+
+
 def repeated_spans(docs: DataFrame, p: Repeats, scratch: Scratch) -> DataFrame:
     """doc_id, text_hash, spans (array of low, high in bytes) of the rows that hold a repeat."""
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("binary").alias("text"))
@@ -274,10 +325,8 @@ def repeated_spans(docs: DataFrame, p: Repeats, scratch: Scratch) -> DataFrame:
     crowds = kinds.groupBy("hash").agg(F.count("*").alias("kinds")).where(F.col("kinds") > p.crowd).select("hash")
     calm = slices.join(crowds, "hash", "left_anti")
     trees = calm.repartition("hash").sortWithinPartitions("hash").select("hash", "slice", "bytes").mapInArrow(_trees(p), SPANS)
-    placed = slices.join(crowds, "hash", "left_semi").mapInArrow(_windows(p), "hash long, slice long, low int, name_a long, name_b long")
-    twice = placed.groupBy("name_a", "name_b").agg(F.count("*").alias("n")).where("n > 1").select("name_a", "name_b")
-    single = placed.join(twice, ["name_a", "name_b"], "left_semi").select("hash", "slice", "low", (F.col("low") + p.length).alias("high"))
-    inside = trees.union(single).groupBy("hash", "slice").agg(F.collect_list(F.struct("low", "high")).alias("inside"))
+    dense = _crowded_spans(slices.join(crowds, "hash", "left_semi"), p, scratch)
+    inside = trees.union(dense).groupBy("hash", "slice").agg(F.collect_list(F.struct("low", "high")).alias("inside"))
     inside = scratch.table(inside, "inside")
 
     whole = F.struct(F.col("start").alias("low"), (F.col("start") + F.col("suffixes") + (p.length - 1)).alias("high"))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, chunks, span_hashes, text_column, word_bounds
+from .arrays import LOWER, chunks, shingles, span_hashes, text_column, word_bounds
 from .language import held_out
 from .scratch import Scratch
 
@@ -31,9 +31,9 @@ class Nearest:
     examples: int = 20_000
     #: Terms of the index, at most: those with the strongest association with the label.
     terms: int = 4096
-    #: Examples of either kind that a term occurs in, at least, and standard errors between its shares in both.
-    least: int = 3
-    strength: float = 4.0
+    #: Families of examples that a term occurs in, at least, and standard errors between its shares in both labels.
+    least: int = 4
+    strength: float = 6.0
     neighbours: int = 16
     #: Examples of a block of the index.
     block: int = 64
@@ -49,15 +49,21 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _term_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each text and term in it, with its count."""
+    """A row for each text and term in it, with its count and the text's family: its least shingle.
+
+    Near copies mostly agree in that, so a text that was copied often does not make its every word look telling.
+    """
     for batch in batches:
         data, offsets = text_column(batch, "text")
         for start, end in chunks(offsets):
             own = offsets[start:end + 1]
             found, first = terms(data[own[0]:own[-1]], own - own[0])
             each = [np.unique(found[a:b], return_counts=True) for a, b in zip(first[:-1], first[1:], strict=True)]
-            row = pa.array(np.repeat(np.arange(start, end), [len(t) for t, _ in each]))
-            yield pa.record_batch([*(batch.column(c).take(row) for c in ("example", "label")), pa.array(np.concatenate([t for t, _ in each])), pa.array(np.concatenate([n for _, n in each]))], names=["example", "label", "term", "tf"])
+            hashes, bounds = shingles(LOWER[data[own[0]:own[-1]]], own - own[0], 5)
+            family = np.array([hashes[a:b].min(initial=np.iinfo(np.uint64).max) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], dtype=np.uint64).view(np.int64)
+            number = [len(t) for t, _ in each]
+            row = pa.array(np.repeat(np.arange(start, end), number))
+            yield pa.record_batch([*(batch.column(c).take(row) for c in ("example", "label")), pa.array(np.concatenate([t for t, _ in each])), pa.array(np.concatenate([n for _, n in each])), pa.array(np.repeat(family, number))], names=["example", "label", "term", "tf", "family"])
 
 
 class Index:
@@ -141,13 +147,14 @@ def build(docs: DataFrame, labels: DataFrame, p: Nearest, scratch: Scratch) -> I
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
     known = known.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(p.examples)
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select(F.col("doc_id").alias("example"), "label", "text")
-    found = scratch.table(sample.mapInArrow(_term_rows, "example long, label int, term long, tf long"), "terms")
+    found = scratch.table(sample.mapInArrow(_term_rows, "example long, label int, term long, tf long, family long"), "terms")
     sizes = scratch.table(sample.select("example", "label"), "examples").orderBy(F.xxhash64("example"), "example", "label").limit(p.examples).toPandas().drop_duplicates("example")
-    total, toxic = max(len(sizes), 1), float(sizes["label"].sum())
+    kinds = found.groupBy("family").agg(F.max("label").alias("label")).agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("t")).first()
+    total, toxic = max(int(kinds["n"]), 1), float(kinds["t"])
     rate = F.col("t") / max(toxic, 1.0) - (F.col("n") - F.col("t")) / max(total - toxic, 1.0)
     # The spread of the difference if the term had nothing to do with the label, one occurrence added to be safe.
     spread = F.sqrt(((F.col("n") + 1) / total) * (1 - F.col("n") / (total + 1)) * (1 / max(toxic, 1.0) + 1 / max(total - toxic, 1.0)))
-    strong = (found.groupBy("term").agg(F.countDistinct("example").alias("n"), F.countDistinct(F.when(F.col("label") == 1, F.col("example"))).alias("t"))
+    strong = (found.groupBy("term").agg(F.countDistinct("family").alias("n"), F.countDistinct(F.when(F.col("label") == 1, F.col("family"))).alias("t"))
               .where(F.col("n") >= p.least).withColumn("z", F.abs(rate) / spread).where(F.col("z") >= p.strength).orderBy(F.desc("z"), "term").limit(p.terms).toPandas().sort_values("term"))
     spark = docs.sparkSession
     chosen = spark.createDataFrame([(int(t),) for t in strong["term"]], "term long")
