@@ -100,3 +100,31 @@ def test_in_force(spark):
 def test_table_contracts_have_the_columns_of_the_tables():
     assert len(DEAD_LETTER_TABLE.names) == 12 and len(PROCESSED_TABLE.names) == 6 and len(FAILED_TABLE.names) == 8
     assert len(TRIP.names) == 19 and len(TRIP.required) == 6
+
+
+def test_unknown_keywords_are_refused():
+    import pytest
+
+    from winnower.contract import contract_from_json_schema
+
+    def schema(**more):
+        return {"schema": {"type": "object", "properties": {"a": {"type": "integer", **more}}}}
+
+    assert contract_from_json_schema("c", schema(minimum=1, description="n")).names == ["a"]
+    for keyword in ("exclusiveMinimum", "const", "minLength"):
+        with pytest.raises(ValueError, match=keyword):
+            contract_from_json_schema("c", schema(**{keyword: 1}))
+    with pytest.raises(ValueError, match="format"):
+        contract_from_json_schema("c", {"schema": {"properties": {"a": {"type": "string", "format": "email"}}}})
+    with pytest.raises(ValueError, match="patternProperties"):
+        contract_from_json_schema("c", {"schema": {"properties": {}, "patternProperties": {}}})
+
+
+def test_a_moment_has_a_date_and_a_time(spark):
+    from winnower.functions.cleaning import whole_moment
+
+    good = ["2015-01-15 19:05:39", "2015-01-15T19:05:39.123456Z", "2015-01-15 19:05", "2015-01-15T19:05:39+02:00"]
+    bad = ["10:00", "2015", "2015-01-15", "bad", "2015-13-15 19:05:39", "", None]
+    frame = spark.createDataFrame([(t,) for t in good + bad], "t string")
+    got = [r.m is not None for r in frame.select(whole_moment(frame.t).alias("m")).collect()]
+    assert got == [True] * len(good) + [False] * len(bad)

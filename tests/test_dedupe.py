@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from winnower.operators.dedupe import dedupe_stream, first_per_key
+from winnower.operators.dedupe import dedupe_stream, first_per_key, split_late
 from winnower.operators.union import union_by_name
 from winnower.streaming.jobs import start_table
 
@@ -24,6 +24,25 @@ def test_first_per_key_against_brute_force(spark):
     assert got == expected
 
 
+def test_a_time_comes_before_none(spark):
+    rows = spark.sql("SELECT * FROM VALUES (1, NULL, 'x'), (1, timestamp'2024-01-01', 'y'), (2, NULL, 'z') t(k, at, v)")
+    assert sorted((r.k, r.v) for r in first_per_key(rows, ["k"], ["at"]).collect()) == [(1, "y"), (2, "z")]
+
+
+def test_every_row_is_in_time_or_late(spark):
+    rows = spark.sql("SELECT * FROM VALUES (1, timestamp'2024-01-01 00:00', timestamp'2024-01-01 01:00'), "
+                     "(2, timestamp'2024-01-01 00:00', timestamp'2024-01-01 01:01'), (3, NULL, timestamp'2024-01-01') t(k, at, got)")
+    in_time, late = split_late(rows, "at", "got", "1 hour")
+    assert ([r.k for r in in_time.collect()], sorted(r.k for r in late.collect())) == ([1], [2, 3])
+
+
+def test_identical_copies_of_a_hot_key_are_dropped(spark, tmp_path):
+    spark.range(4000).selectExpr("'hot' AS k", "timestamp'2024-01-01' AS at").repartition(8).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("k string, at timestamp").parquet(f"{tmp_path}/in")
+    start_table(dedupe_stream(stream, ["k"], "at", "1 day"), f"{tmp_path}/out", "d", f"{tmp_path}/s", once=True).awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 1
+
+
 def test_streams_drop_repeats_of_a_hot_key(spark, tmp_path):
     hot(spark).repartition(6).write.parquet(f"{tmp_path}/in")
     expected = sorted(r.k for r in hot(spark).select("k").distinct().collect())

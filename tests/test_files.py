@@ -34,7 +34,11 @@ def test_ingest_schema_leaves_moments_as_text():
 def test_fallback(spark, tmp_path):
     spark.range(3).write.parquet(f"{tmp_path}/b")
     read = lambda s, p: s.read.parquet(p)
-    found = files.read_first_available(spark, ["nosuch://bucket/x", f"{tmp_path}/a", f"{tmp_path}/b"], read)
+    found = files.read_first_available(spark, [f"{tmp_path}/a", f"{tmp_path}/b"], read)
+    assert found.count() == 3
+    with pytest.raises(Exception, match="nosuch"):
+        files.read_first_available(spark, ["nosuch://bucket/x", f"{tmp_path}/b"], read)
+    found = files.read_first_available(spark, ["nosuch://bucket/x", f"{tmp_path}/b"], read, any_problem=True)
     assert found.count() == 3
     with pytest.raises(FileNotFoundError, match="no source"):
         files.read_first_available(spark, [f"{tmp_path}/a"], read)
@@ -56,6 +60,32 @@ def test_landing_keeps_the_source_file(spark, tmp_path):
     }
 
 
+def test_landing_goes_by_each_files_header(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.csv").write_text('id,code\n1,007\n2,"a\nb"\n')
+    (tmp_path / "in" / "y.csv").write_text("code,id\n008,3\n")
+    (tmp_path / "in" / "z.csv").write_text('id,"odd, name"\n4,x\n')
+    spark.sql("SELECT 1 AS p").coalesce(1).write.parquet(f"{tmp_path}/in/one")
+    spark.sql("SELECT 2 AS p, 'q' AS q, 3.5D AS r").coalesce(1).write.parquet(f"{tmp_path}/in/two")
+    landed = files.land_raw(spark, f"{tmp_path}/in", f"{tmp_path}/out")
+    got = files.read_landed_csv(spark, landed["csv"], ["id", "code", "odd, name", "absent"]).collect()
+    assert sorted(map(tuple, got)) == [
+        ("1", "007", None, None), ("2", "a\nb", None, None), ("3", "008", None, None), ("4", None, "x", None)
+    ]
+    rows = spark.read.parquet(*landed["parquet"]).select("p", "q", "r").collect()
+    assert sorted(map(tuple, rows)) == [(1, None, None), (2, "q", 3.5)]
+
+
+def test_folding_takes_types_from_the_schema(spark, tmp_path):
+    spark.sql("SELECT '007' AS code, 1 AS id").write.option("header", True).csv(f"{tmp_path}/a")
+    spark.sql("SELECT 2 AS id, '008' AS code").write.option("header", True).csv(f"{tmp_path}/b")
+    schema = spark.sql("SELECT 1L AS id, '' AS code").schema
+    folded = files.fold_csv_to_parquet(spark, [f"{tmp_path}/a", f"{tmp_path}/b"], f"{tmp_path}/c", schema)
+    assert sorted(map(tuple, folded.select("id", "code").collect())) == [(1, "007"), (2, "008")]
+    with pytest.raises(ValueError, match="lacks: code"):
+        files.fold_csv_to_parquet(spark, [f"{tmp_path}/a"], f"{tmp_path}/d", spark.sql("SELECT 1L AS id").schema)
+
+
 def test_whole_text(spark, tmp_path):
     (tmp_path / "o.txt").write_text("one\ntwo\n")
     assert [r.value for r in files.read_text_object(spark, f"{tmp_path}/o.txt").collect()] == ["one\ntwo\n"]
@@ -102,7 +132,7 @@ def test_tables_can_be_created_twice(spark, tmp_path, contract):
     name = f"t_{contract.name}"
     for _ in range(2):
         tables.create_table(spark, contract, name, f"{tmp_path}/t")
-    assert set(spark.table(name).columns) == set(contract.names)
+    assert set(spark.table(name).columns) == {*contract.names, "day"}
     spark.sql(f"DROP TABLE {name}")
 
 
@@ -110,6 +140,7 @@ def test_letters_table_defaults_and_pruning(spark, tmp_path):
     name = tables.create_table(spark, DEAD_LETTER_TABLE, "letters_test", f"{tmp_path}/t")
     row = spark.sql("SELECT 1L AS id, 'm' AS message_id, 't' AS topic, 0 AS partition, 5L AS offset, "
                     "timestamp'2024-01-01' AS timestamp, '{}' AS payload")
+    row = tables.with_day(row, DEAD_LETTER_TABLE)
     tables.insert_by_name(row, name)
     tables.insert_by_name(row.withColumn("status", F.lit("FAILED")), name)
     pending = tables.letters_with_status(spark, name, "PENDING")
@@ -117,12 +148,24 @@ def test_letters_table_defaults_and_pruning(spark, tmp_path):
     assert (got.retry_count, got.status) == (0, "PENDING") and got.created_at is not None
     plan = pending._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "PartitionFilters: [isnotnull(status" in plan
+    of_day = spark.table(name).where("day = DATE'2024-01-01'")
+    assert of_day.count() == 2 and spark.table(name).where("day = DATE'2024-01-02'").count() == 0
+    plan = of_day._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    assert "PartitionFilters: [isnotnull(day" in plan
     assert tables.one_per_message(spark.table(name)).count() == 1
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_letters_take_the_status_of_their_latest_attempt(spark):
+    letters = spark.sql("SELECT id AS message_id, 'PENDING' AS status, timestamp'2024-01-01' AS updated_at FROM VALUES ('a'), ('b'), ('c') t(id)")
+    changes = spark.sql("SELECT * FROM VALUES ('a', 'FAILED', timestamp'2024-01-02'), ('a', 'PROCESSED', timestamp'2024-01-03'), "
+                        "('b', 'FAILED', timestamp'2024-01-02') t(message_id, status, updated_at)")
+    got = {r.message_id: r.status for r in tables.move_letters(letters, changes).collect()}
+    assert got == {"a": "PROCESSED", "b": "FAILED", "c": "PENDING"}
+
+
 def test_jdbc_options():
-    options = tables.jdbc_options("jdbc:postgresql://db/x", upper=900, partitions=9)
+    options = tables.jdbc_options("jdbc:postgresql://db/x", 0, 900, partitions=9)
     assert options["partitionColumn"] == "id" and options["numPartitions"] == "9" and options["upperBound"] == "900"
     assert options["dbtable"] == "dlq_messages"
 
@@ -132,6 +175,8 @@ def test_backlog(spark):
     assert metrics.topic_backlog(frame).first().backlog == 30
     holes = metrics.topic_backlog(frame.where("offset <> 12")).first()
     assert (holes.backlog, holes.messages) == (30, 27)
+    queue = metrics.topic_backlog(frame.withColumns({"partition": F.lit(None).cast("int"), "offset": F.lit(None).cast("long")}))
+    assert queue.first().backlog == 30
 
 
 def test_observed_write(spark, tmp_path):

@@ -20,8 +20,8 @@ from winnower.streaming import jobs, monitor, sinks
 NAMES = jobs.TopicNames()
 
 
-def publish(spark, topics, frame, batch=0):
-    topics.write(frame.withColumn("topic", F.lit(NAMES.main)), "publish", batch)
+def publish(spark, topics, frame):
+    topics.write(frame.withColumn("topic", F.lit(NAMES.main)))
 
 
 def first_pass(spark, topics, state, policy=STRICT):
@@ -51,7 +51,7 @@ def test_stream_equals_batch_and_restarts_add_nothing(spark, data, tmp_path, pol
     assert stored() == sorted(expected)
     first_pass(spark, topics, state, policy)
     assert stored() == sorted(expected)
-    publish(spark, topics, keyed.where("event_id < 10").withColumn("key", F.concat(F.lit("again"), "key")), 1)
+    publish(spark, topics, keyed.where("event_id < 10").withColumn("key", F.concat(F.lit("again"), "key")))
     first_pass(spark, topics, state, policy)
     assert len(stored()) == len(expected) + sum(1 for k, _ in expected if len(k) == 1)
 
@@ -142,9 +142,46 @@ def test_bulk_failures_are_logged_or_raised(spark):
         raise OSError("unreachable")
 
     rows = spark.range(5).select(F.to_json(F.struct("id")).alias("doc"))
-    sinks.bulk_endpoint("http://nowhere", "idx", F.col("doc"), post=refuse)(rows, 0)
-    with pytest.raises(Exception, match="unreachable"):
-        sinks.bulk_endpoint("http://nowhere", "idx", F.col("doc"), fail=True, post=refuse)(rows, 0)
+    counted = []
+    sink = dict(post=refuse, pause=0.0, report=lambda spark, batch, refused: counted.append((batch, refused)))
+    sinks.bulk_endpoint("http://nowhere", "idx", F.col("doc"), fail=False, **sink)(rows, 0)
+    with pytest.raises(sinks.DeliveryError, match="5 events of batch 7"):
+        sinks.bulk_endpoint("http://nowhere", "idx", F.col("doc"), **sink)(rows, 7)
+    assert counted == [(0, 5), (7, 5)]
+
+
+def test_only_refused_items_are_sent_again():
+    seen = []
+
+    def post(body):
+        seen.append(body)
+        items = [{"index": {"error": "full"} if b"bad" in line else {}} for line in body.splitlines()[1::2]]
+        return json.dumps({"errors": any(i["index"] for i in items), "items": items}).encode()
+
+    body = b'{"index":{}}\n{"a":"good"}\n{"index":{}}\n{"a":"bad"}\n'
+    assert sinks.deliver(body, post, 2, 0.0) == (1, "full")
+    assert [b.count(b"\n") for b in seen] == [4, 2, 2]
+    tries = iter([OSError("down"), None])
+
+    def shaky(body):
+        if problem := next(tries):
+            raise problem
+
+    assert sinks.deliver(body, shaky, 1, 0.0) == (0, "")
+
+
+def test_refusals_reach_the_table_of_deliveries(spark, tmp_path):
+    def refuse(url, body, headers, timeout):
+        return json.dumps({"errors": True, "items": [{"index": {"error": "no"}}] * (body.count(b"\n") // 2)}).encode()
+
+    spark.range(4).select(F.to_json(F.struct("id")).alias("doc")).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema("doc string").parquet(f"{tmp_path}/in")
+    sink = sinks.bulk_endpoint(
+        "http://nowhere", "i", F.col("doc"), retries=0, post=refuse, report=sinks.delivery_table(f"{tmp_path}/deliveries")
+    )
+    with pytest.raises(StreamingQueryException, match="4 events of batch 0"):
+        jobs.start_batches(stream, sink, "bulk", f"{tmp_path}/s", once=True).awaitTermination()
+    assert spark.read.parquet(f"{tmp_path}/deliveries").first()["refused"] == 4
 
 
 def test_grouping_into_bodies():
@@ -189,11 +226,10 @@ def test_jobs_from_the_command_line(spark, data, tmp_path, capsys):
     assert 0 < counts[NAMES.dead] == counts[NAMES.failed]
     assert monitor.progress_table(spark, f"{state}/metrics").where("input_rows > 0").count() >= 2
     main(["load", "--source", csv, csv, "--target", f"{tmp_path}/parquet"])
-    assert spark.read.parquet(f"{tmp_path}/parquet").count() == 2000
-    letters = topics.read(spark, NAMES.dead).select(
-        F.from_json("value", retry.DEAD_LETTER_TABLE.struct()).alias("l")
-    ).select("l.*")
-    letters.write.parquet(f"{tmp_path}/letters")
-    main(["backup", "--source", f"{tmp_path}/letters", "--target", str(tmp_path)])
+    loaded = spark.read.parquet(f"{tmp_path}/parquet")
+    assert loaded.count() == 2000 and loaded.schema["fare_amount"].dataType == TRIP.struct()["fare_amount"].dataType
+    stored = [*common, "--tables", f"{tmp_path}/tables"]
+    main(["split", *stored])
+    main(["daily", *stored, "--target", str(tmp_path), "--repair", "1:store_and_fwd_flag=coalesce(store_and_fwd_flag, 'N')"])
     folder = capsys.readouterr().out.strip().splitlines()[-1]
     assert files.read_backup(spark, folder, retry.DEAD_LETTER_TABLE.struct()).count() == counts[NAMES.dead]

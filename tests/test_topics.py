@@ -18,8 +18,14 @@ def test_broker_options():
     topics = KafkaTopics("host:9092", max_offsets_per_trigger=1000, min_partitions=64)
     assert topics.source_options("t") == {
         "kafka.bootstrap.servers": "host:9092", "subscribe": "t", "startingOffsets": "earliest",
-        "maxOffsetsPerTrigger": "1000", "minPartitions": "64",
+        "maxOffsetsPerTrigger": "1000", "minPartitions": "64", "failOnDataLoss": "true",
     }
+    secured = KafkaTopics("h:1", starting_timestamp=5, fail_on_data_loss=False, client={"kafka.security.protocol": "SSL"})
+    assert secured.source_options("t") == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest", "startingTimestamp": "5",
+        "failOnDataLoss": "false", "kafka.security.protocol": "SSL",
+    }
+    assert secured.sink_options()["kafka.security.protocol"] == "SSL"
     assert topics.sink_options() == {
         "kafka.bootstrap.servers": "host:9092", "kafka.enable.idempotence": "true", "kafka.acks": "all",
         "kafka.retries": "5", "kafka.compression.type": "lz4", "kafka.linger.ms": "500",
@@ -29,22 +35,29 @@ def test_broker_options():
 @pytest.mark.parametrize("kind", ["parquet", "json"])
 def test_one_write_feeds_many_topics(spark, tmp_path, kind):
     topics = FileTopics(str(tmp_path), kind)
-    topics.write(outbound(spark, 50, "a").union(outbound(spark, 30, "b")), "p", 0)
-    topics.write(outbound(spark, 20, "a"), "q", 0)
+    topics.write(outbound(spark, 50, "a").union(outbound(spark, 30, "b")), "p")
+    topics.write(outbound(spark, 20, "a"), "q")
     assert topics.read(spark, "a").count() == 70 and topics.read(spark, "b").count() == 30
     assert topics.read(spark, "none").count() == 0
-    coordinates = topics.read(spark, "a").where("key is not null").select("partition", "offset", "topic")
-    assert coordinates.where("partition is null or offset is null or topic <> 'a'").count() == 0
+    assert topics.read(spark, "a").where("partition is not null or offset is not null or topic <> 'a'").count() == 0
+    assert not list((tmp_path / "_writing").iterdir())
+
+
+def test_a_finished_batch_is_never_replaced(spark, tmp_path):
+    topics = FileTopics(str(tmp_path))
+    topics.write(outbound(spark, 10), "p", "run", 3)
+    with pytest.raises(FileExistsError):
+        topics.write(outbound(spark, 12), "p", "run", 3)
+    topics.write(outbound(spark, 10), "p", "run", 4)
+    topics.write(outbound(spark, 10), "p", "other", 4)
+    assert topics.read(spark, "a").count() == 30
 
 
-def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+def test_messages_without_a_key_get_one(spark, tmp_path):
     topics = FileTopics(str(tmp_path))
-    for _ in range(2):
-        topics.write(outbound(spark, 10), "p", 3)
-    topics.write(outbound(spark, 10), "p", 4)
-    rows = topics.read(spark, "a")
-    assert rows.count() == 20
-    assert rows.select("partition", "offset").distinct().count() == 20
+    for producer in ("p", "q"):
+        topics.write(outbound(spark, 20).withColumn("key", F.lit(None).cast("string")).repartition(3), producer)
+    assert topics.read(spark, "a").select("key").distinct().count() == 40
 
 
 def test_published_messages_are_repeatable(spark):

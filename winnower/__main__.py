@@ -7,16 +7,16 @@ from __future__ import annotations
 
 import argparse
 import os
-import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from winnower.contract import COMPAT, STRICT, Policy
 from winnower.contracts import DEAD_LETTER_TABLE, FAULT_FIELDS, TRIP, TRIP_RULES
 from winnower.operators import faults, metrics, retry
-from winnower.session import build_session, shared_root
+from winnower.session import build_session
 from winnower.sources import files, tables
 from winnower.sources.topics import FileTopics, KafkaTopics, Topics
 from winnower.streaming import jobs, monitor, sinks
@@ -26,7 +26,11 @@ def _topics(args: argparse.Namespace) -> Topics:
     if args.topic_root:
         return FileTopics(args.topic_root, max_files_per_trigger=args.max_per_trigger)
     return KafkaTopics(
-        args.bootstrap, max_offsets_per_trigger=args.max_per_trigger, min_partitions=args.min_partitions
+        args.bootstrap,
+        starting_offsets=args.starting_offsets,
+        max_offsets_per_trigger=args.max_per_trigger,
+        min_partitions=args.min_partitions,
+        client=dict(setting.split("=", 1) for setting in args.client),
     )
 
 
@@ -38,10 +42,28 @@ def _policy(args: argparse.Namespace) -> Policy:
     return COMPAT if args.compat else STRICT
 
 
-def _run(spark: SparkSession, queries: Sequence, args: argparse.Namespace) -> None:
+def _run(spark: SparkSession, starts: Sequence[Callable[[], StreamingQuery]], args: argparse.Namespace) -> None:
     recorder = monitor.ProgressRecorder()
     spark.streams.addListener(recorder)
-    monitor.watch(spark, queries, recorder, f"{args.state}/metrics", args.poll_seconds)
+    try:
+        queries = [start() for start in starts]
+        monitor.watch(spark, queries, recorder, f"{args.state}/metrics", args.poll_seconds)
+    finally:
+        spark.streams.removeListener(recorder)
+
+
+def _repairs(args: argparse.Namespace) -> dict[int, dict[str, Column]]:
+    """``attempt:field=SQL expression`` by attempt and field."""
+    repairs: dict[int, dict[str, Column]] = {}
+    for text in args.repair:
+        attempt, change = text.split(":", 1)
+        name, expression = change.split("=", 1)
+        repairs.setdefault(int(attempt), {})[name] = F.expr(expression)
+    return repairs
+
+
+def _tables(args: argparse.Namespace) -> jobs.TableFolders:
+    return jobs.TableFolders(args.tables)
 
 
 def messages_of(trips: DataFrame, topic: str, rate: float, seed: int) -> DataFrame:
@@ -62,67 +84,87 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> metrics.WriteSumma
     )
     topics, messages = _topics(args), messages_of(trips, args.main_topic, args.rate, args.seed)
 
-    def write(frame: DataFrame) -> None:
-        if isinstance(topics, FileTopics):
-            topics.write(frame, "publish", int(time.time()))
-        else:
-            topics.write(frame)
-
-    summary = metrics.observed_write(messages, write)
+    summary = metrics.observed_write(messages, topics.write)
     print(f"{summary.records} records in {summary.seconds:.2f} s, {summary.per_second:.2f} per second")
     return summary
 
 
 def split(spark: SparkSession, args: argparse.Namespace) -> None:
     topics, names = _topics(args), _names(args)
-    queries = [jobs.start_first_pass(
+    starts = [lambda: jobs.start_first_pass(
         topics.read_stream(spark, names.main), topics, TRIP, TRIP_RULES, args.state, names, _policy(args), args.once
     )]
+    if args.tables:
+        starts.append(lambda: jobs.start_split_tables(
+            topics.read_stream(spark, names.main), _tables(args), TRIP, TRIP_RULES, args.state, args.once
+        ))
     if args.bulk_endpoint:
-        sink = sinks.bulk_endpoint(args.bulk_endpoint, args.bulk_index, F.col("value"))
-        queries.append(jobs.start_batches(
+        sink = sinks.bulk_endpoint(
+            args.bulk_endpoint, args.bulk_index, F.col("value"), report=sinks.delivery_table(f"{args.state}/deliveries")
+        )
+        starts.append(lambda: jobs.start_batches(
             topics.read_stream(spark, names.events), sink, "event_bulk", args.state, args.once
         ))
-    _run(spark, queries, args)
+    _run(spark, starts, args)
 
 
 def reprocess(spark: SparkSession, args: argparse.Namespace) -> None:
     topics, names = _topics(args), _names(args)
-    _run(spark, [jobs.start_retry(
+    repairs = _repairs(args)
+    starts = [lambda: jobs.start_retry(
         topics.read_stream(spark, names.dead), topics, TRIP, TRIP_RULES, args.state, names, _policy(args),
-        args.max_retries, once=args.once,
-    )], args)
+        args.max_retries, repairs, args.once,
+    )]
+    if args.tables:
+        starts.append(lambda: jobs.start_retry_tables(
+            topics.read_stream(spark, names.dead), _tables(args), TRIP, TRIP_RULES, args.state, args.max_retries,
+            repairs, args.once,
+        ))
+    _run(spark, starts, args)
 
 
 def load(spark: SparkSession, args: argparse.Namespace) -> None:
-    table = files.fold_csv_to_parquet(spark, args.source, args.target, allow_missing=args.allow_missing)
+    schema = None if args.infer else files.ingest_schema(TRIP)
+    table = files.fold_csv_to_parquet(spark, args.source, args.target, schema, args.allow_missing)
     tree, sample = files.describe_frame(table)
     print(tree)
     sample.show()
 
 
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
-    for suffix, folder in files.land_raw(spark, args.source[0], args.target).items():
-        print(f"{suffix}: {folder}")
+    for suffix, folders in files.land_raw(spark, args.source[0], args.target).items():
+        print(f"{suffix}: {', '.join(folders)}")
 
 
 def backlog(spark: SparkSession, args: argparse.Namespace) -> None:
-    metrics.backlog_events(_topics(args).read(spark, args.dead_topic)).show(truncate=False)
+    """On a broker what the retry job last reported; on a folder, or before its first progress, what is there."""
+    topics = _topics(args)
+    known = None
+    if isinstance(topics, KafkaTopics):
+        known = monitor.reported_backlog(spark, f"{args.state}/metrics", "retry")
+    if known is not None:
+        print(f"dlq_size: {known}")
+    else:
+        metrics.backlog_events(topics.read(spark, args.dead_topic)).show(truncate=False)
 
 
 def backup(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.jdbc_url:
-        letters = tables.read_jdbc(spark, args.jdbc_url, upper=args.jdbc_upper)
-    else:
+        letters = tables.read_jdbc(spark, args.jdbc_url)
+    elif args.source:
         letters = spark.read.schema(DEAD_LETTER_TABLE.struct()).parquet(args.source[0])
+    else:
+        letters = jobs.current_letters(spark, _tables(args))
     print(files.backup_to_csv(letters, args.target))
 
 
 def daily(spark: SparkSession, args: argparse.Namespace) -> None:
-    """The scheduled run: report the backlog, then reprocess what is there and stop."""
+    """The scheduled run: report the backlog, reprocess what is there, and back the letters up if there is a target."""
     backlog(spark, args)
     args.once = True
     reprocess(spark, args)
+    if args.target and (args.tables or args.source or args.jdbc_url):
+        backup(spark, args)
 
 
 JOBS = {
@@ -137,6 +179,10 @@ JOBS = {
 }
 
 
+# Jobs that go on where they stopped, or report on those that do.
+STATEFUL = ("split", "retry", "backlog", "daily")
+
+
 def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     env = os.environ.get
     parser = argparse.ArgumentParser(prog="winnower", description=__doc__)
@@ -163,15 +209,22 @@ def parse(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--seed", type=int, default=42)
     parser.add_argument("--allow-missing", action="store_true")
     parser.add_argument("--jdbc-url")
-    parser.add_argument("--jdbc-upper", type=int, default=1, help="largest id, to shape the slices of a table read")
+    parser.add_argument("--infer", action="store_true", help="load: infer types instead of taking the contract's")
+    parser.add_argument("--tables", help="folder of the tables of letters, processed and failed messages")
+    parser.add_argument("--repair", action="append", default=[], help="retry: attempt:field=SQL expression")
+    parser.add_argument("--starting-offsets", default="earliest", help="where a new query starts to read a broker")
+    parser.add_argument("--client", action="append", default=[], help="broker client setting, such as kafka.security.protocol=SSL")
     return parser.parse_args(arguments)
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
     args = parse(arguments)
     spark = build_session(f"winnower-{args.job}")
-    if args.state is None:
-        args.state = f"{shared_root(spark)}/winnower/jobs/{args.main_topic}"
+    if args.state is None and args.job in STATEFUL:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
+            raise SystemExit("give --state, or set spark.checkpoint.dir: a job must find its checkpoint again")
+        args.state = f"{root.rstrip('/')}/winnower/jobs/{args.main_topic}"
     JOBS[args.job](spark, args)
 
 

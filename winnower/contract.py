@@ -162,12 +162,32 @@ class Contract:
         return rules
 
 
+# Keywords that say nothing about what is valid.
+_NOTES = {"$schema", "$id", "$comment", "title", "description", "examples", "default"}
+_OBJECT_KEYWORDS = _NOTES | {"type", "properties", "required", "additionalProperties"}
+_FIELD_KEYWORDS = _NOTES | {"type", "format", "minimum", "maximum", "enum", "pattern", "maxLength"}
+
+
+def _refuse(where: str, spec: Mapping, known: set[str]) -> None:
+    if unknown := sorted(set(spec) - known):
+        raise ValueError(f"{where}: keywords {', '.join(unknown)} are not known")
+
+
 def contract_from_json_schema(name: str, document: Mapping) -> Contract:
-    """Read ``{"meta": {...}, "schema": {...}}``, the schema being a flat JSON Schema (draft-07) object."""
+    """Read ``{"meta": {...}, "schema": {...}}``, the schema being a flat JSON Schema (draft-07) object.
+
+    A keyword that is not understood is refused: leaving it out would let through what it forbids.
+    """
     meta, schema = document.get("meta", {}), document["schema"]
+    if schema.get("type", "object") != "object" or schema.get("additionalProperties", True) not in (True, False):
+        raise ValueError(f"schema {name!r} is not a flat object")
+    _refuse(name, schema, _OBJECT_KEYWORDS)
     required = set(schema.get("required", ()))
     fields = []
     for field_name, spec in schema["properties"].items():
+        _refuse(f"{name}.{field_name}", spec, _FIELD_KEYWORDS)
+        if spec.get("format", "date-time") != "date-time":
+            raise ValueError(f"{name}.{field_name}: format {spec['format']!r} is not known")
         kind = {"integer": "int", "number": "double", "string": "string"}[spec["type"]]
         if kind == "string" and spec.get("format") == "date-time":
             kind = "timestamp"

@@ -55,6 +55,15 @@ def saturate_to_int(number: Column) -> Column:
     return F.coalesce(number.try_cast("int"), nearest)
 
 
+# A date and a time of day; a zone may follow. Spark alone would read a bare time as one of today, and a year as a day.
+WHOLE_MOMENT = r"^\s*\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?\s*([Zz]|[+-]\d{1,2}(:?\d{2})?|[A-Za-z_]+(/[A-Za-z_]+)*)?\s*$"
+
+
+def whole_moment(text: Column) -> Column:
+    """Read a moment that is written with its date and its time; null for any other text."""
+    return F.when(text.rlike(WHOLE_MOMENT), text.try_cast("timestamp"))
+
+
 def fill_null(value: Column, default) -> Column:
     return F.coalesce(value, F.lit(default))
 

@@ -27,7 +27,7 @@ def _number(column: Column, dtype: T.DataType, policy: Policy) -> Column:
 
 def _repaired(field: Field, column: Column, dtype: T.DataType, policy: Policy) -> Column:
     if field.kind == "timestamp":
-        return column.try_cast("timestamp") if isinstance(dtype, T.StringType) else column
+        return cleaning.whole_moment(column) if isinstance(dtype, T.StringType) else column
     if field.clean:
         column = _number(column, dtype, policy)
         if field.kind == "int":

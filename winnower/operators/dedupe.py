@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep the row that comes first in ``order`` for each key, ties broken by the other columns.
+    """Keep the row that comes first in ``order`` for each key, nulls last, ties broken by the other columns.
 
-    Written as a minimum so that every task reduces its copies before the shuffle; a key that fills a third
-    of the table reaches its reducer as one row per task. A window would move every copy.
+    A rank of one is asked for, so every task ranks its own copies and passes one row per key to the shuffle; a key
+    that fills a third of the table reaches its last task as one row per task.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    first = F.min(F.struct(*order, *rest)).alias("first")
-    return df.groupBy(*keys).agg(first).select(*keys, "first.*").select(*df.columns)
+    ranked = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in (*order, *rest)])
+    return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -36,12 +36,19 @@ def dedupe_stream(
     A streaming de-duplication does not reduce before its shuffle, so copies of one hot key would all meet in
     one task. The first stage therefore splits each key over ``spread`` tasks and leaves at most that many
     copies for the second stage. Which copy lands where does not matter; ``spread_by`` only has to differ
-    between copies and defaults to a hash of the whole row.
+    between copies, also identical ones: it defaults to their coordinates, or without those to the task that reads
+    them.
+
+    Rows older than the watermark are dropped. Use the time of arrival as event time, so that none is, or take
+    late rows out first with `split_late`. Keys are remembered for ``delay``; choose it from the topic's retention.
     """
     timed = df.withWatermark(event_time, delay)
     if spread <= 1:
         return timed.dropDuplicatesWithinWatermark(list(keys))
-    by = F.xxhash64(*df.columns) if spread_by is None else spread_by
+    coordinates = [c for c in ("topic", "partition", "offset") if c in df.columns]
+    by = spread_by
+    if by is None:
+        by = F.xxhash64(*coordinates) if len(coordinates) == 3 else F.spark_partition_id()
     salt = "_spread"
     return (
         timed.withColumn(salt, F.pmod(by, F.lit(spread)).cast("int"))
@@ -49,3 +56,12 @@ def dedupe_stream(
         .drop(salt)
         .dropDuplicatesWithinWatermark(list(keys))
     )
+
+
+def split_late(df: DataFrame, event_time: str, arrived: str, delay: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that arrived within ``delay`` of their event, and the others, which belong in a table of their own.
+
+    Every row is in one of the two: a row that lacks a time is late.
+    """
+    in_time = F.coalesce(F.col(event_time) >= F.col(arrived) - F.expr(f"INTERVAL {delay}"), F.lit(False))
+    return df.where(in_time), df.where(~in_time)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from winnower.contract import MALFORMED, Contract, Field
-from winnower.functions.cleaning import finite
+from winnower.functions.cleaning import finite, whole_moment
 from winnower.operators.validate import explode_errors
 
 
@@ -43,7 +43,7 @@ def _number_checks(field: Field, number: Column, present: Column) -> list[tuple[
 def _text_checks(field: Field, text: Column, present: Column) -> list[tuple[str, Column]]:
     checks = [(f"{field.name}:type", text.isNull() & present)]
     if field.kind == "timestamp":
-        checks.append((f"{field.name}:format", text.isNotNull() & text.try_cast("timestamp").isNull()))
+        checks.append((f"{field.name}:format", text.isNotNull() & whole_moment(text).isNull()))
     if field.allowed:
         checks.append((f"{field.name}:enum", ~F.coalesce(text.isin(*field.allowed), F.lit(False)) & present))
     if field.pattern is not None:

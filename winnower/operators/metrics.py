@@ -14,10 +14,12 @@ def partition_backlog(messages: DataFrame) -> DataFrame:
     """Offsets covered per topic partition.
 
     ``backlog`` is last minus first offset plus one. ``messages`` counts rows; the two differ where a
-    partition was compacted. An empty partition has no row.
+    partition was compacted. A topic without offsets, such as a folder, has a backlog of as many messages as it
+    holds. An empty partition has no row. On a broker, `monitor.reported_backlog` tells the same from the offsets a
+    query reports, without reading a message.
     """
     return messages.groupBy("topic", "partition").agg(
-        (F.max("offset") - F.min("offset") + 1).alias("backlog"),
+        F.coalesce(F.max("offset") - F.min("offset") + 1, F.count(F.lit(1))).alias("backlog"),
         F.count(F.lit(1)).alias("messages"),
     )
 

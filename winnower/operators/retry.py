@@ -167,3 +167,8 @@ def failed_rows(routed: DataFrame) -> DataFrame:
         F.coalesce(F.col("retry_count"), F.lit(0)).alias("retry_count"),
         F.current_timestamp().alias("failed_at"),
     )
+
+
+def transition_rows(routed: DataFrame) -> DataFrame:
+    """What an attempt makes of each letter's status."""
+    return routed.select("message_id", status_of(F.col("route")).alias("status"), F.current_timestamp().alias("updated_at"))

@@ -8,12 +8,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from winnower.contract import COMPAT, STRICT, Policy
-from winnower.contracts import DEAD_LETTER_TABLE, FAULT_FIELDS, LINEITEM, TRIP, TRIP_RULES
+from winnower.contracts import DEAD_LETTER_TABLE, FAILED_TABLE, FAULT_FIELDS, LINEITEM, PROCESSED_TABLE, TRIP, TRIP_RULES
 from winnower.functions import cleaning
 from winnower.operators import dedupe, faults, metrics, retry, validate
 from winnower.operators.correct import correct, with_identity
@@ -22,7 +22,7 @@ from winnower.operators.messages import bulk_lines, event_document, pack_message
 from winnower.operators.union import union_by_name
 from winnower.plans.shape import cents, plain
 from winnower.plans.trips import clean_trips, dirty_documents, envelopes, table, table_stream, trips
-from winnower.session import fresh_folder, scoped_conf, spread
+from winnower.session import fresh_folder, scoped_conf
 from winnower.sources import files, tables
 from winnower.sources.topics import FileTopics
 from winnower.streaming import jobs, monitor, sinks
@@ -41,11 +41,11 @@ def register(query: Query) -> Query:
 
 
 def events_of(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "events"))
+    return table(spark, folder, "events")
 
 
 def events_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table_stream(spark, folder, "events"), measured=table(spark, folder, "events"))
+    return table_stream(spark, folder, "events")
 
 
 def judged_trips(spark: SparkSession, folder: str, policy: Policy = COMPAT) -> DataFrame:
@@ -380,6 +380,13 @@ def dedupe_first_delivery(spark: SparkSession, folder: str) -> DataFrame:
 # Files and tables ---------------------------------------------------------------------------------------
 
 
+@register
+def dedupe_nulls_last(spark: SparkSession, folder: str) -> DataFrame:
+    """A user's first event, of which a third has no time: a time is better than none."""
+    rows = events_of(spark, folder).select("user_id", F.when(F.col("event_id") % 3 != 0, F.col("ts")).alias("ts"), "event_id")
+    return plain(dedupe.first_per_key(rows, ["user_id"], ["ts"]))
+
+
 @register
 def csv_backup_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Letters with quotes, commas and documents inside, exported and read back."""
@@ -396,20 +403,19 @@ def csv_backup_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def csv_fold(spark: SparkSession, folder: str) -> DataFrame:
-    """Two CSV files with their columns in different order become one Parquet table."""
+    """Two CSV files with their columns in different order become one Parquet table; the types are given."""
     base = fresh_folder(spark, "fold")
-    events = events_of(spark, folder).drop("ts")
+    events = events_of(spark, folder).withColumn("props", F.translate("props", '"', "'"))
     clicks = F.col("event_type") == "click"
-    events.where(clicks).write.option("header", True).csv(f"{base}/a")
-    events.where(~clicks).select("props", "value", "user_id", "event_type", "event_id").write.options(
-        header=True
-    ).csv(f"{base}/b")
-    return files.fold_csv_to_parquet(spark, [f"{base}/a", f"{base}/b"], f"{base}/folded").select(
-        F.col("event_id").cast("bigint").alias("event_id"),
-        F.col("user_id").cast("bigint").alias("user_id"),
-        "event_type",
-        "value",
-    )
+    options = {"header": True, "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    events.where(clicks).write.options(**options).csv(f"{base}/a")
+    turned = events.select("props", "value", "user_id", "event_type", "event_id", "ts")
+    turned.where(~clicks).write.options(**options).csv(f"{base}/b")
+    schema = T.StructType([
+        f if f.name != "ts" else T.StructField("ts", T.TimestampNTZType()) for f in events.schema.fields
+    ])
+    folded = files.fold_csv_to_parquet(spark, [f"{base}/a", f"{base}/b"], f"{base}/folded", schema)
+    return plain(folded, *events.columns)
 
 
 @register
@@ -438,19 +444,28 @@ def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def raw_landing(spark: SparkSession, folder: str) -> DataFrame:
-    """CSV and Parquet files in nested folders land under one root; a text file does not."""
+    """Files of two CSV headers and two Parquet schemas land under one root, values as they are; a text file does not.
+
+    Codes have leading zeros, and notes have quotes and line breaks.
+    """
     base = fresh_folder(spark, "landing")
     source = f"{base}/in"
-    events = events_of(spark, folder).drop("ts")
-    clicks = F.col("event_type") == "click"
-    events.where(clicks).write.options(header=True, quote='"', escape='"').csv(f"{source}/deep/csv")
-    events.where(~clicks).write.parquet(f"{source}/deep/er/parquet")
-    events.select("props").write.text(f"{source}/text")
-    landed = files.land_raw(spark, source, base, events.schema)
-    again = files.read_landed_csv(spark, landed["csv"], events.schema).unionByName(
-        spark.read.schema(events.schema).parquet(landed["parquet"])
+    rows = events_of(spark, folder).select(
+        "event_id",
+        F.lpad(F.col("event_id").cast("string"), 12, "0").alias("code"),
+        F.concat(F.col("event_type"), F.lit('\n"'), F.col("props"), F.lit('"')).alias("note"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
     )
-    return plain(again, *events.columns)
+    part = F.col("event_id") % 4
+    csv = {"header": True, "quote": '"', "escape": '"'}
+    rows.where(part == 0).write.options(**csv).csv(f"{source}/deep/csv")
+    rows.where(part == 1).select("ts", "note", "code", "event_id").write.options(**csv).csv(f"{source}/deep/er/csv")
+    rows.where(part == 2).write.parquet(f"{source}/deep/er/parquet")
+    rows.where(part == 3).select("code", "event_id").write.parquet(f"{source}/parquet")
+    rows.select("note").write.text(f"{source}/text")
+    landed = files.land_raw(spark, source, base)
+    texts = files.read_landed_csv(spark, landed["csv"], rows.columns).withColumn("event_id", F.col("event_id").cast("bigint"))
+    return plain(texts.unionByName(spark.read.parquet(*landed["parquet"]).select(*rows.columns)))
 
 
 @register
@@ -613,25 +628,175 @@ def stream_retry_loop(spark: SparkSession, folder: str) -> DataFrame:
     return union_by_name(ends).select(F.col("key").cast("bigint").alias("event_id"), "topic")
 
 
+_KEYED_STATE = {
+    "spark__sql__streaming__stateStore__providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+}
+
+
 @register
 def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
-    """The delay covers the whole span of ship dates, so each key comes out once."""
+    """Each key comes out once. The time of arrival is the event time, so keys are forgotten after an hour."""
     base = fresh_folder(spark, "dedupe")
-    lines = table_stream(spark, folder, "lineitem").withColumn("shipped", F.col("l_shipdate").cast("timestamp"))
-    once = dedupe.dedupe_stream(lines, ["l_orderkey", "l_linenumber"], "shipped", "36500 days")
-    with scoped_conf(
-        spark,
-        spark__sql__streaming__stateStore__providerClass=(
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
-    ):
-        query = jobs.start_table(
+    lines = table_stream(spark, folder, "lineitem").withColumn("arrived", F.current_timestamp())
+    once = dedupe.dedupe_stream(lines, ["l_orderkey", "l_linenumber"], "arrived", "1 hour")
+    with scoped_conf(spark, **_KEYED_STATE):
+        jobs.start_table(
             once.select("l_orderkey", "l_linenumber"), f"{base}/out", "dedupe", f"{base}/state", once=True
-        )
-        query.awaitTermination()
+        ).awaitTermination()
     return spark.read.schema("l_orderkey bigint, l_linenumber int").parquet(f"{base}/out")
 
 
+@register
+def stream_dedupe_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event delivered twice, in identical copies; each comes out once."""
+    base = fresh_folder(spark, "replay")
+    twice = events_stream(spark, folder).union(events_stream(spark, folder))
+    timed = twice.withColumn("moment", F.col("ts").cast("timestamp"))
+    once = dedupe.dedupe_stream(timed, ["event_id"], "moment", "1 hour")
+    with scoped_conf(spark, **_KEYED_STATE):
+        jobs.start_table(
+            once.select("event_id", "user_id", "value"), f"{base}/out", "replay", f"{base}/state", once=True
+        ).awaitTermination()
+    return spark.read.schema("event_id bigint, user_id bigint, value double").parquet(f"{base}/out")
+
+
+@register
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that arrive zero to six hours after they happened: those over three hours late go to a side table."""
+    base = fresh_folder(spark, "late")
+    arrived = F.col("ts").cast("timestamp")
+    happened = arrived - F.make_dt_interval(hours=F.col("event_id") % 7)
+    rows = events_stream(spark, folder).select("event_id", happened.alias("happened"), arrived.alias("arrived"))
+    in_time, late = dedupe.split_late(rows, "happened", "arrived", "3 hours")
+    once = dedupe.dedupe_stream(in_time, ["event_id"], "arrived", "1 hour")
+    with scoped_conf(spark, **_KEYED_STATE):
+        for name, part in (("in_time", once), ("late", late)):
+            jobs.start_table(part.select("event_id"), f"{base}/{name}", name, f"{base}/state", once=True).awaitTermination()
+    return union_by_name([
+        spark.read.schema("event_id bigint").parquet(f"{base}/{name}").withColumn("stored_in", F.lit(name))
+        for name in ("in_time", "late")
+    ])
+
+
+def _keyed(messages: DataFrame) -> DataFrame:
+    return messages.withColumns({"key": F.col("event_id").cast("string"), "topic": F.lit(NAMES.main)})
+
+
+@register
+def publish_twice(spark: SparkSession, folder: str) -> DataFrame:
+    """Two publishing runs, one after the other; both are there."""
+    topics = FileTopics(fresh_folder(spark, "topics"))
+    messages = _keyed(envelopes(events_of(spark, folder)))
+    for part in (0, 1):
+        topics.write(messages.where(F.col("event_id") % 2 == part))
+    return topics.read(spark, NAMES.main).select(F.col("key").cast("bigint").alias("event_id"), "topic")
+
+
+@register
+def null_key_identity(spark: SparkSession, folder: str) -> DataFrame:
+    """Two producers of messages without keys: as many ids as messages, so none is taken for a repeat."""
+    topics = FileTopics(fresh_folder(spark, "topics"))
+    messages = envelopes(events_of(spark, folder)).withColumn("topic", F.lit(NAMES.main))
+    for producer in ("one", "two"):
+        topics.write(messages, producer)
+    split = retry.split_messages(topics.read(spark, NAMES.main), TRIP, TRIP_RULES)
+    return split.agg(F.count(F.lit(1)).alias("messages"), F.countDistinct("message_id").alias("ids"),
+                     F.count_if(F.col("message_id").isNull()).alias("nameless"))
+
+
+def _two_runs(spark: SparkSession, folder: str, base: str, states: tuple[str, str]) -> FileTopics:
+    """A first pass over part of the events, the rest published, and a first pass over that."""
+    topics = FileTopics(f"{base}/topics")
+    messages = _keyed(envelopes(events_of(spark, folder)))
+    for part, state in zip((F.col("event_id") % 3 == 0, F.col("event_id") % 3 != 0), states, strict=True):
+        topics.write(messages.where(part))
+        jobs.start_first_pass(
+            topics.read_stream(spark, NAMES.main), topics, TRIP, TRIP_RULES, f"{base}/{state}", NAMES, STRICT, once=True
+        ).awaitTermination()
+    return topics
+
+
+@register
+def stream_new_checkpoint(spark: SparkSession, folder: str) -> DataFrame:
+    """The second pass has a checkpoint of its own: it meets the first one's messages again and loses none of the new."""
+    topics = _two_runs(spark, folder, fresh_folder(spark, "checkpoints"), ("state", "other"))
+    both = union_by_name([topics.read(spark, t) for t in (NAMES.events, NAMES.dead)])
+    once = dedupe.first_per_key(both.select("key", "topic"), ["key"], ["topic"])
+    return once.select(F.col("key").cast("bigint").alias("event_id"), "topic")
+
+
+@register
+def stream_backlog(spark: SparkSession, folder: str) -> DataFrame:
+    """The backlog of letters after two micro-batches of one query."""
+    topics = _two_runs(spark, folder, fresh_folder(spark, "backlog"), ("state", "state"))
+    return metrics.topic_backlog(topics.read(spark, NAMES.dead))
+
+
+def _filled(spark: SparkSession, folder: str, base: str) -> jobs.TableFolders:
+    """The three tables and the changes of status after a first pass and a retry that repairs the rate code."""
+    topics, folders, state = FileTopics(f"{base}/topics"), jobs.TableFolders(f"{base}/tables"), f"{base}/state"
+    topics.write(_keyed(envelopes(events_of(spark, folder))))
+    messages = lambda: topics.read_stream(spark, NAMES.main)
+    _first_pass(spark, topics, base, STRICT, messages())
+    jobs.start_split_tables(messages(), folders, TRIP, TRIP_RULES, state, once=True).awaitTermination()
+    usual_code = F.when(F.col("malformed"), F.col("RateCodeID")).otherwise(F.lit("1"))
+    jobs.start_retry_tables(
+        topics.read_stream(spark, NAMES.dead), folders, TRIP, TRIP_RULES, state,
+        repairs={n: {"RateCodeID": usual_code} for n in (1, 2, 3)}, once=True,
+    ).awaitTermination()
+    return folders
+
+
+def _event(column: str = "message_id") -> Column:
+    return F.col(column).cast("bigint").alias("event_id")
+
+
+@register
+def processed_table(spark: SparkSession, folder: str) -> DataFrame:
+    folders = _filled(spark, folder, fresh_folder(spark, "processed"))
+    rows = spark.read.schema(tables.stored_schema(PROCESSED_TABLE)).parquet(folders.processed)
+    today = F.col("day") == F.to_date("processed_at")
+    return rows.select(_event(), "topic", today.cast("int").alias("filed"))
+
+
+@register
+def failed_table(spark: SparkSession, folder: str) -> DataFrame:
+    folders = _filled(spark, folder, fresh_folder(spark, "failed"))
+    rows = spark.read.schema(tables.stored_schema(FAILED_TABLE)).parquet(folders.failed)
+    return rows.select(_event(), "error", "retry_count", (F.col("day") == F.to_date("failed_at")).cast("int").alias("filed"))
+
+
+@register
+def status_transitions(spark: SparkSession, folder: str) -> DataFrame:
+    """Letters after the retry: PROCESSED where the repair helped, FAILED where not."""
+    letters = jobs.current_letters(spark, _filled(spark, folder, fresh_folder(spark, "transitions")))
+    changed = (F.col("updated_at") >= F.col("created_at")).cast("int")
+    return letters.select(_event(), "status", changed.alias("in_order"))
+
+
+@register
+def stream_retry_attempts(spark: SparkSession, folder: str) -> DataFrame:
+    """Letters that a repair on the first, second or third attempt saves, and those that stop at the limit."""
+    base = fresh_folder(spark, "attempts")
+    topics = FileTopics(f"{base}/topics")
+    messages = _keyed(envelopes(events_of(spark, folder)))
+    topics.write(messages)
+    _first_pass(spark, topics, base, STRICT)
+    code = F.when(F.col("malformed"), F.col("RateCodeID")).otherwise(F.lit("1"))
+    turn = F.pmod(F.col("key").cast("bigint"), F.lit(3)) + 1
+    repairs = {n: {"RateCodeID": F.when(turn <= n, code).otherwise(F.col("RateCodeID"))} for n in (1, 2, 3)}
+    jobs.start_retry(
+        topics.read_stream(spark, NAMES.dead), topics, TRIP, TRIP_RULES, f"{base}/state", NAMES, STRICT,
+        repairs=repairs, once=True,
+    ).awaitTermination()
+    # Only a message that came back carries its id inside.
+    saved = topics.read(spark, NAMES.main).where(F.get_json_object("value", "$.message_id").isNotNull())
+    return union_by_name([saved, topics.read(spark, NAMES.failed)]).select(
+        _event("key"), "topic", F.get_json_object("value", "$.retry_count").cast("int").alias("attempt")
+    )
+
+
 @register
 def stream_branch_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Valid rows and letters to tables of their own shapes, from one read of each micro-batch."""

@@ -75,6 +75,14 @@ BRANCH = f"CASE WHEN {OK} THEN 'valid' WHEN NOT {OK} THEN 'dead' ELSE 'undetermi
 STRICT_BRANCH = f"CASE WHEN {STRICT_OK} THEN 'valid' ELSE 'dead' END"
 BROKEN = ", ".join(f"CASE WHEN NOT COALESCE({v}, FALSE) THEN '{k}' END" for k, v in HOLDS.items())
 ERROR = f"CONCAT_WS(',', CASE WHEN malformed THEN 'malformed' END, {BROKEN})"
+# A retry that sets a usual rate code, on its first three attempts, in what is a document.
+REPAIRED_OK = f"(NOT malformed AND {OK_BUT_RATE_CODE})"
+_BROKEN_BUT_RATE_CODE = ", ".join(
+    f"CASE WHEN NOT COALESCE({v}, FALSE) THEN '{k}' END" for k, v in HOLDS.items() if k != "rate_code_known"
+)
+REPAIRED_ERROR = (
+    f"CASE WHEN malformed OR COALESCE(retry_count, 0) + 1 > 3 THEN {ERROR} ELSE CONCAT_WS(',', {_BROKEN_BUT_RATE_CODE}) END"
+)
 
 # Messages: trips of which every 97th is no document and so has no field at all.
 MESSAGES = (
@@ -312,7 +320,8 @@ ORACLE: dict[str, str] = {
         {ERROR} AS error, COALESCE(retry_count, 0) AS retry_count, 'PENDING' AS status,
         ROUND(CAST(CASE WHEN malformed THEN NULL WHEN event_id % 157 = 0 THEN NULL
           WHEN event_id % 163 = 0 THEN -value ELSE value END AS DOUBLE), 2) AS fare"""),
-    "csv_fold": "SELECT event_id, user_id, event_type, value FROM events",
+    "csv_fold": f"""SELECT event_id, {_moment('ts')} AS ts, user_id, event_type, value,
+        replace(props, '"', chr(39)) AS props FROM events""",
     "csv_typed_scan": f"{WITH} SELECT " + ", ".join(
         f"strftime({n}, '%Y-%m-%d %H:%M:%S') AS {n}" if n in MOMENTS
         else f"CAST({n} AS DOUBLE) AS {n}" if n in FLOATS else n
@@ -320,7 +329,9 @@ ORACLE: dict[str, str] = {
     ) + " FROM trips",
     "fallback_source": "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders",
     "parquet_roundtrip": f"{WITH} SELECT {ROW} FROM trips",
-    "raw_landing": "SELECT event_id, user_id, event_type, value, props FROM events",
+    "raw_landing": f"""SELECT event_id, lpad(CAST(event_id AS VARCHAR), 12, '0') AS code,
+        CASE WHEN event_id % 4 < 3 THEN event_type || chr(10) || '"' || props || '"' END AS note,
+        CASE WHEN event_id % 4 < 3 THEN {_moment('ts')} END AS ts FROM events""",
     "text_objects": "SELECT lang, CAST(SUM(length(text) + 1) AS BIGINT) AS characters FROM documents GROUP BY 1",
     "dlq_tables": _DEAD_LETTERS.format(columns=f"""{_DLQ_MESSAGE}, {_moment('ts')} AS timestamp, {ERROR} AS error,
         0 AS retry_count, 'PENDING' AS status, 1 AS stamped"""),
@@ -342,6 +353,30 @@ ORACLE: dict[str, str] = {
         CASE WHEN {STRICT_OK} THEN 'trips_events'
              WHEN NOT malformed AND {OK_BUT_RATE_CODE} AND COALESCE(retry_count, 0) + 1 <= 3 THEN 'trips_events'
              ELSE 'trips_failed' END AS topic FROM mfixed""",
+    "dedupe_nulls_last": f"""SELECT user_id, {_moment('t')} AS ts, event_id
+        FROM (SELECT user_id, CASE WHEN event_id % 3 <> 0 THEN ts END AS t, event_id FROM events)
+        QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY t NULLS LAST, event_id) = 1""",
+    "publish_twice": "SELECT event_id, 'trips' AS topic FROM events",
+    "null_key_identity": "SELECT 2 * COUNT(*) AS messages, 2 * COUNT(*) AS ids, 0 AS nameless FROM events",
+    "stream_new_checkpoint": f"""{WITH} SELECT event_id,
+        CASE WHEN {STRICT_OK} THEN 'trips_events' ELSE 'trips_dlq' END AS topic FROM mfixed""",
+    "stream_backlog": f"""{WITH} SELECT 'trips_dlq' AS topic, COUNT(*) AS backlog, COUNT(*) AS messages
+        FROM mfixed WHERE NOT {STRICT_OK}""",
+    "processed_table": f"{WITH} SELECT event_id, 'trips' AS topic, 1 AS filed FROM mfixed WHERE {STRICT_OK}",
+    "failed_table": f"""{WITH}, tried AS (SELECT *, {REPAIRED_OK} AND COALESCE(retry_count, 0) + 1 <= 3 AS saved
+          FROM mfixed WHERE NOT {STRICT_OK})
+        SELECT event_id, {REPAIRED_ERROR} AS error,
+        COALESCE(retry_count, 0) + 1 AS retry_count, 1 AS filed FROM tried WHERE NOT saved""",
+    "status_transitions": f"""{WITH} SELECT event_id,
+        CASE WHEN {REPAIRED_OK} AND COALESCE(retry_count, 0) + 1 <= 3 THEN 'PROCESSED' ELSE 'FAILED' END AS status,
+        1 AS in_order FROM mfixed WHERE NOT {STRICT_OK}""",
+    "stream_retry_attempts": f"""{WITH}, tried AS (SELECT *, COALESCE(retry_count, 0) + 1 AS attempt FROM mfixed
+          WHERE NOT {STRICT_OK})
+        SELECT event_id, CASE WHEN {REPAIRED_OK} AND attempt BETWEEN event_id % 3 + 1 AND 3 THEN 'trips'
+          ELSE 'trips_failed' END AS topic, attempt FROM tried""",
+    "stream_dedupe_replay": "SELECT event_id, user_id, value FROM events",
+    "stream_late_rows": """SELECT event_id, CASE WHEN event_id % 7 <= 3 THEN 'in_time' ELSE 'late' END AS stored_in
+        FROM events""",
     "stream_dedupe": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
     "stream_branch_tables": f"""{WITH} SELECT {IDENTITY} AS message_id, 'trips' AS topic, event_id // 3 AS "offset",
         CASE WHEN {STRICT_OK} THEN 'processed' ELSE 'letters' END AS stored_in FROM mfixed""",

@@ -78,13 +78,21 @@ def is_committed(spark: SparkSession, folder: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
-def spread(df: DataFrame, factor: int = 8, measured: DataFrame | None = None) -> DataFrame:
-    """Use idle cores when a source has fewer slices than the cluster has cores.
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a finished folder to where readers look. It fails if the target is there already.
 
-    Meant for work that costs more per row than a shuffle, such as parsing, on few or unsplittable files. A
-    source with enough slices is returned as it is, so nothing moves at scale. The slices of a stream cannot
-    be counted; give a bounded frame over the same files as ``measured``.
+    One step on a file system that renames folders; on a store that copies objects instead, use a broker.
     """
-    slices = (df if measured is None else measured).rdd.getNumPartitions()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(min(cores, slices * factor)) if 0 < slices < cores else df
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
+    system = paths[0].getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(paths[1].getParent())
+    if system.exists(paths[1]) or not system.rename(*paths):
+        raise FileExistsError(f"cannot move {source} to {target}")
+
+
+def streaming_query_id(spark: SparkSession) -> str:
+    """Inside a micro-batch, the id that its query keeps in its checkpoint."""
+    known = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not known:
+        raise RuntimeError("not within a micro-batch of a streaming query")
+    return known

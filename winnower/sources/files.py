@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+import logging
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import UTC, datetime
 
@@ -14,8 +17,7 @@ from pyspark.sql import types as T
 from winnower.contract import Contract
 from winnower.operators.union import union_by_name
 
-_EMPTY = "\x01"
-LANDED_SUFFIXES = ("csv", "parquet")
+log = logging.getLogger(__name__)
 
 # Quotes inside a value are doubled and moments keep their microseconds, so any value survives a round trip.
 _CSV_QUOTING = {
@@ -56,15 +58,26 @@ def ingest_schema(contract: Contract) -> T.StructType:
 
 
 def read_first_available(
-    spark: SparkSession, paths: Sequence[str], read: Callable[[SparkSession, str], DataFrame]
+    spark: SparkSession,
+    paths: Sequence[str],
+    read: Callable[[SparkSession, str], DataFrame],
+    any_problem: bool = False,
 ) -> DataFrame:
-    """The first path that can be opened. Only planning is tried, no rows are read."""
+    """The first path that is there. Only planning is tried, no rows are read.
+
+    A path that is not found is passed over with a warning. Any other problem, such as a refused credential or a
+    schema that does not fit, is raised, unless ``any_problem`` asks to pass over it too.
+    """
     problems = []
     for path in paths:
         try:
             return read(spark, path)
         except (AnalysisException, Py4JJavaError) as problem:
+            missing = isinstance(problem, AnalysisException) and problem.getCondition() == "PATH_NOT_FOUND"
+            if not missing and not any_problem:
+                raise
             problems.append(f"{path}: {str(problem).splitlines()[0]}")
+            log.warning("cannot open %s", problems[-1])
     raise FileNotFoundError("no source could be opened; " + "; ".join(problems))
 
 
@@ -75,55 +88,86 @@ def fold_csv_to_parquet(
     schema: T.StructType | None = None,
     allow_missing: bool = False,
 ) -> DataFrame:
-    """Read every file, stack them by name and replace the Parquet table. Returns the written table."""
-    stacked = union_by_name([read_csv(spark, p, schema) for p in paths], allow_missing)
+    """Read every file, stack them by name and replace the Parquet table. Returns the written table.
+
+    With a schema nothing is inferred: a file's columns are taken by its header, in any order. Columns that the
+    schema does not name are refused.
+    """
+    parts = [read_csv(spark, p) if schema is None else _by_header(spark, p, schema) for p in paths]
+    stacked = union_by_name(parts, allow_missing)
     stacked.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
 
+def _by_header(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    header = spark.read.option("header", True).csv(path).columns
+    known = {f.name: f for f in schema.fields}
+    if unknown := [n for n in header if n not in known]:
+        raise ValueError(f"{path} has columns that the schema lacks: {', '.join(unknown)}")
+    return read_csv(spark, path, T.StructType([known[n] for n in header]))
+
+
 def describe_frame(df: DataFrame, sample: int = 5) -> tuple[str, DataFrame]:
     """The schema as a tree and a few rows."""
     return df.schema.treeString(), df.limit(sample)
 
 
-def _has_files(spark: SparkSession, folder: str, suffix: str) -> bool:
-    # Only the listing is used: file contents are pruned.
+def _files_below(spark: SparkSession, folder: str, suffix: str) -> list[str]:
+    """Paths of the files of a format. Only the listing is used: file contents are pruned."""
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{suffix}")
     )
-    return not listing.load(folder).select("path").isEmpty()
+    return sorted(row.path for row in listing.load(folder).select("path").toLocalIterator())
+
+
+def _header_line(spark: SparkSession, path: str) -> str:
+    """The first line of a file, read up to its end and no further."""
+    source = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = source.getFileSystem(spark._jsc.hadoopConfiguration()).open(source)
+    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        reader.close()
 
 
-def land_raw(
-    spark: SparkSession, source: str, target: str, csv_schema: T.StructType | None = None
-) -> dict[str, str]:
+def land_raw(spark: SparkSession, source: str, target: str) -> dict[str, list[str]]:
     """Copy the CSV and Parquet files below a folder to ``target/raw/<format>``, one folder per source file.
 
-    Large files are split over tasks. Returns the folders written; nothing is written for a format without
-    files.
+    Raw means unchanged: CSV values stay text as they are, line breaks in quotes included, and files are read by
+    their own headers: those with the same header land in one folder ``layout=<n>``, so no value moves to another
+    column. Parquet files of different columns land with all of them; a column of two types is refused. Returns the
+    folders written for each format; nothing is written for a format without files.
     """
-    written = {}
-    for suffix in LANDED_SUFFIXES:
-        if not _has_files(spark, source, suffix):
-            continue
-        reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{suffix}")
-        if suffix == "csv":
-            reader = reader.options(header=True, **_CSV_QUOTING)
-            reader = reader.schema(csv_schema).option("enforceSchema", False) if csv_schema else reader.option(
-                "inferSchema", True
-            )
-        named = reader.format(suffix).load(source).withColumn("source_file", F.col("_metadata.file_name"))
-        folder = f"{target.rstrip('/')}/raw/{suffix}"
-        writer = named.write.mode("overwrite").partitionBy("source_file").format(suffix)
-        if suffix == "csv":
-            writer = writer.options(header=True, **_CSV_QUOTING)
-        writer.save(folder)
-        written[suffix] = folder
+    root, written = f"{target.rstrip('/')}/raw", {}
+    layouts: dict[str, list[str]] = {}
+    for path in _files_below(spark, source, "csv"):
+        layouts.setdefault(_header_line(spark, path), []).append(path)
+    for number, (header, paths) in enumerate(sorted(layouts.items())):
+        names = next(csv.reader([header]), [])
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        rows = spark.read.schema(schema).options(header=True, multiLine=True, **_CSV_QUOTING).csv(paths)
+        folder = f"{root}/csv/layout={number}"
+        named = rows.withColumn("source_file", F.col("_metadata.file_name"))
+        named.write.mode("overwrite").partitionBy("source_file").options(header=True, **_CSV_QUOTING).csv(folder)
+        written.setdefault("csv", []).append(folder)
+    if paths := _files_below(spark, source, "parquet"):
+        rows = spark.read.option("mergeSchema", True).parquet(*paths)
+        folder = f"{root}/parquet"
+        named = rows.withColumn("source_file", F.col("_metadata.file_name"))
+        named.write.mode("overwrite").partitionBy("source_file").parquet(folder)
+        written["parquet"] = [folder]
     return written
 
 
-def read_landed_csv(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).options(header=True, **_CSV_QUOTING).csv(folder)
+def read_landed_csv(spark: SparkSession, folders: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Landed CSV of any layouts as text columns; a layout that lacks a column has nulls there."""
+    parts = [
+        spark.read.options(header=True, multiLine=True, **_CSV_QUOTING).csv(folder).drop("source_file")
+        for folder in folders
+    ]
+    stacked = union_by_name(parts, allow_missing=True)
+    return stacked.select(*[F.col(c) if c in stacked.columns else F.lit(None).cast("string").alias(c) for c in columns])
 
 
 def read_text_objects(spark: SparkSession, path: str) -> DataFrame:
@@ -157,10 +201,11 @@ def backup_to_csv(df: DataFrame, root: str, stamp: str | None = None, rows_per_f
 
 def read_backup(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """Read a backup, telling an empty text (quoted) from a null (nothing) by way of a marker."""
-    options = {**_CSV_QUOTING, "header": True, "multiLine": True, "emptyValue": _EMPTY}
+    marker = uuid.uuid4().hex
+    options = {**_CSV_QUOTING, "header": True, "multiLine": True, "emptyValue": marker}
     restored = spark.read.schema(schema).options(**options).csv(folder)
     return restored.withColumns({
-        f.name: F.when(F.col(f.name) == _EMPTY, F.lit("")).otherwise(F.col(f.name))
+        f.name: F.when(F.col(f.name) == marker, F.lit("")).otherwise(F.col(f.name))
         for f in schema.fields if isinstance(f.dataType, T.StringType)
     })
 

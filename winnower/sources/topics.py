@@ -6,6 +6,7 @@ every destination.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from winnower.operators.messages import ENVELOPE
-from winnower.session import is_committed
+from winnower.session import is_committed, move_folder, streaming_query_id
 
 # How the publisher talks to the broker.
 PRODUCER_OPTIONS: Mapping[str, str] = {
@@ -26,8 +27,6 @@ PRODUCER_OPTIONS: Mapping[str, str] = {
     "kafka.compression.type": "lz4",
     "kafka.linger.ms": "500",
 }
-# Rows a task may write per batch; a batch number of seconds since the epoch still fits above them.
-_OFFSET_BITS = 32
 
 
 @dataclass(frozen=True)
@@ -39,6 +38,12 @@ class KafkaTopics:
     max_offsets_per_trigger: int | None = None
     # Slices per read. More than the topic has partitions, because one hot partition is then split too.
     min_partitions: int | None = None
+    # Milliseconds since the epoch; where a new query starts instead of ``starting_offsets``.
+    starting_timestamp: int | None = None
+    # Whether a query fails when messages it has not read were deleted. Going on would lose them without a word.
+    fail_on_data_loss: bool = True
+    # Client settings of reader and writer alike, such as ``kafka.security.protocol`` and ``kafka.sasl.mechanism``.
+    client: Mapping[str, str] = field(default_factory=dict)
     producer: Mapping[str, str] = field(default_factory=lambda: dict(PRODUCER_OPTIONS))
 
     def source_options(self, topic: str) -> dict[str, str]:
@@ -46,7 +51,11 @@ class KafkaTopics:
             "kafka.bootstrap.servers": self.bootstrap,
             "subscribe": topic,
             "startingOffsets": self.starting_offsets,
+            "failOnDataLoss": str(self.fail_on_data_loss).lower(),
+            **self.client,
         }
+        if self.starting_timestamp is not None:
+            options["startingTimestamp"] = str(self.starting_timestamp)
         if self.max_offsets_per_trigger is not None:
             options["maxOffsetsPerTrigger"] = str(self.max_offsets_per_trigger)
         if self.min_partitions is not None:
@@ -54,7 +63,7 @@ class KafkaTopics:
         return options
 
     def sink_options(self) -> dict[str, str]:
-        return {"kafka.bootstrap.servers": self.bootstrap, **self.producer}
+        return {"kafka.bootstrap.servers": self.bootstrap, **self.client, **self.producer}
 
     def read_stream(self, spark: SparkSession, topic: str) -> DataFrame:
         return _as_envelope(spark.readStream.format("kafka").options(**self.source_options(topic)).load())
@@ -75,10 +84,13 @@ class KafkaTopics:
 
 @dataclass(frozen=True)
 class FileTopics:
-    """Topics in a shared folder: ``<root>/<producer>/<batch>/topic=<name>/part-*``.
+    """A Parquet queue in a shared folder: ``<root>/<producer>/<run>/<batch>/topic=<name>/part-*``.
 
-    A batch has its own folder. A stream that repeats a batch after a restart leaves a finished folder alone and
-    replaces an unfinished one, so rows arrive exactly once. Several producers may feed one topic.
+    A run is one streaming query, known by the id in its checkpoint, or one publishing call. A batch is written aside
+    and moved to its place in one step when it is finished, so a reader never sees half of one. A stream that repeats
+    a batch after a restart finds it in place and leaves it alone; a query with a new checkpoint is another run and
+    never meets the batches of an older one. A folder has no partitions and no offsets, so those columns are null; a
+    message without a key gets one when it is published.
     """
 
     root: str
@@ -86,17 +98,18 @@ class FileTopics:
     max_files_per_trigger: int | None = None
 
     def _pattern(self, topic: str) -> str:
-        return f"{self.root}/*/*/topic={topic}"
+        return f"{self.root}/*/*/*/topic={topic}"
 
-    def _folder(self, producer: str, batch: int) -> str:
-        return f"{self.root}/{producer}/{batch:012d}"
+    def _folder(self, producer: str, run: str, batch: int) -> str:
+        return f"{self.root}/{producer}/{run}/{batch:012d}"
 
     def _envelope(self, frame: DataFrame, topic: str) -> DataFrame:
-        return frame.withColumn("topic", F.lit(topic)).select(*ENVELOPE.names)
+        none = {"partition": F.lit(None).cast("int"), "offset": F.lit(None).cast("long"), "timestampType": F.lit(0)}
+        return frame.withColumns({"topic": F.lit(topic), **none}).select(*ENVELOPE.names)
 
     @property
     def _stored(self) -> T.StructType:
-        return T.StructType([f for f in ENVELOPE.fields if f.name != "topic"])
+        return T.StructType([f for f in ENVELOPE.fields if f.name in ("key", "value", "timestamp")])
 
     def read_stream(self, spark: SparkSession, topic: str) -> DataFrame:
         reader = spark.readStream.schema(self._stored).format(self.format)
@@ -114,22 +127,22 @@ class FileTopics:
             frame = spark.createDataFrame([], self._stored)
         return self._envelope(frame, topic)
 
-    def write(self, outbound: DataFrame, producer: str = "publish", batch: int = 0) -> None:
-        """Partition and offset are those of the writing task; a reader tells producers apart by key."""
-        row = F.monotonically_increasing_id()
+    def write(self, outbound: DataFrame, producer: str = "publish", run: str | None = None, batch: int = 0) -> None:
+        """Publish a batch. Without a run it is a run of its own, so two calls never touch each other's messages."""
+        run = run or uuid.uuid4().hex
+        name = F.concat_ws("-", F.lit(f"{producer}-{run}-{batch}"), F.monotonically_increasing_id())
         stamped = outbound.select(
-            "key", "value", "topic",
-            F.spark_partition_id().alias("partition"),
-            (row.bitwiseAND(F.lit((1 << _OFFSET_BITS) - 1)) + F.lit(batch << _OFFSET_BITS)).alias("offset"),
-            F.current_timestamp().alias("timestamp"),
-            F.lit(0).alias("timestampType"),
+            F.coalesce("key", name).alias("key"), "value", "topic", F.current_timestamp().alias("timestamp")
         )
-        stamped.write.mode("overwrite").partitionBy("topic").format(self.format).save(self._folder(producer, batch))
+        aside = f"{self.root}/_writing/{uuid.uuid4().hex}"
+        stamped.write.partitionBy("topic").format(self.format).save(aside)
+        move_folder(outbound.sparkSession, aside, self._folder(producer, run, batch))
 
     def write_stream(self, outbound: DataFrame, producer: str) -> DataStreamWriter:
         def write_batch(rows: DataFrame, batch: int) -> None:
-            if not is_committed(rows.sparkSession, self._folder(producer, batch)):
-                self.write(rows, producer, batch)
+            run = streaming_query_id(rows.sparkSession)
+            if not is_committed(rows.sparkSession, self._folder(producer, run, batch)):
+                self.write(rows, producer, run, batch)
 
         return outbound.writeStream.foreachBatch(write_batch).outputMode("append")
 

@@ -5,17 +5,20 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from winnower.contract import STRICT, Contract, Policy, Rule
+from winnower.contracts import DEAD_LETTER_TABLE, FAILED_TABLE, PROCESSED_TABLE
 from winnower.operators import retry
 from winnower.operators.messages import event_document, to_document
 from winnower.operators.metrics import routing_counts
 from winnower.operators.validate import DEAD, VALID, pick
+from winnower.sources import tables
 from winnower.sources.topics import Topics
-from winnower.streaming.sinks import BatchSink
+from winnower.streaming.sinks import BatchSink, TableBranch, branch_tables
 
 
 @dataclass(frozen=True)
@@ -131,3 +134,90 @@ def start_table(
     """Append a stream to a Parquet table with an exactly-once commit log."""
     writer = frame.writeStream.format("parquet").option("path", folder).outputMode("append")
     return _start(writer, name, checkpoint, once, every)
+
+
+@dataclass(frozen=True)
+class TableFolders:
+    """The tables below a folder: letters, processed and failed messages, and the letters' changes of status."""
+
+    root: str
+
+    @property
+    def letters(self) -> str:
+        return f"{self.root}/{DEAD_LETTER_TABLE.name}"
+
+    @property
+    def processed(self) -> str:
+        return f"{self.root}/{PROCESSED_TABLE.name}"
+
+    @property
+    def failed(self) -> str:
+        return f"{self.root}/{FAILED_TABLE.name}"
+
+    @property
+    def transitions(self) -> str:
+        return f"{self.root}/letter_transitions"
+
+
+TRANSITION = "message_id string, status string, updated_at timestamp"
+
+
+def start_split_tables(
+    messages: DataFrame,
+    folders: TableFolders,
+    contract: Contract,
+    rules: Sequence[Rule],
+    checkpoint: str,
+    once: bool = False,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Fill the tables of processed messages and of letters, from one read of each micro-batch."""
+    sink = branch_tables([
+        TableBranch(
+            lambda rows: tables.with_day(retry.processed_rows(rows), PROCESSED_TABLE), folders.processed,
+            tables.PARTITIONS[PROCESSED_TABLE.name],
+        ),
+        TableBranch(
+            lambda rows: tables.with_day(retry.dead_letter_rows(rows), DEAD_LETTER_TABLE), folders.letters,
+            tables.PARTITIONS[DEAD_LETTER_TABLE.name],
+        ),
+    ])
+    return start_batches(retry.split_messages(messages, contract, rules), sink, "split_tables", checkpoint, once, every)
+
+
+def start_retry_tables(
+    letters: DataFrame,
+    folders: TableFolders,
+    contract: Contract,
+    rules: Sequence[Rule],
+    checkpoint: str,
+    max_retries: int = retry.MAX_RETRIES,
+    repairs: Mapping[int, Mapping[str, Column]] | None = None,
+    once: bool = False,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Fill the table of failed messages, and note each letter's change of status: PROCESSED or FAILED."""
+    sink = branch_tables([
+        TableBranch(
+            lambda rows: tables.with_day(retry.failed_rows(rows), FAILED_TABLE), folders.failed,
+            tables.PARTITIONS[FAILED_TABLE.name],
+        ),
+        TableBranch(retry.transition_rows, folders.transitions),
+    ])
+    routed = retry.retry_messages(
+        retry.open_letters(letters), contract, rules, max_retries=max_retries, repairs=repairs
+    )
+    return start_batches(routed, sink, "retry_tables", checkpoint, once, every)
+
+
+def current_letters(spark: SparkSession, folders: TableFolders) -> DataFrame:
+    """The stored letters, one per message, each with the status that its latest attempt gave it."""
+    stored = spark.read.schema(tables.stored_schema(DEAD_LETTER_TABLE)).parquet(folders.letters)
+    letters = tables.one_per_message(stored.select(*DEAD_LETTER_TABLE.names))
+    try:
+        changes = spark.read.schema(TRANSITION).parquet(folders.transitions)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return letters
+    return tables.move_letters(letters, changes)

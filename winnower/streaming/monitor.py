@@ -6,12 +6,14 @@ import json
 import threading
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 PROGRESS_SCHEMA = (
     "query string, run_id string, batch_id long, stamp string, input_rows long, "
-    "rows_per_second double, observed string, offsets string"
+    "rows_per_second double, observed string, offsets string, dropped_late long"
 )
 
 
@@ -37,6 +39,7 @@ class ProgressRecorder(StreamingQueryListener):
             float(p.processedRowsPerSecond or 0.0),
             json.dumps({name: values.asDict() for name, values in p.observedMetrics.items()}),
             json.dumps([{"start": s.startOffset, "end": s.endOffset, "latest": s.latestOffset} for s in p.sources]),
+            sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
         )
         with self._lock:
             self._rows.append(row)
@@ -49,11 +52,12 @@ class ProgressRecorder(StreamingQueryListener):
             self._ended.add(str(event.runId))
             self._lock.notify_all()
 
-    def wait_for_end(self, queries: Sequence[StreamingQuery], timeout: float = 30) -> bool:
-        """Events arrive after the fact; wait until those of these queries are in."""
+    def wait_for_end(self, queries: Sequence[StreamingQuery], timeout: float = 300) -> None:
+        """Events arrive after the fact; wait until those of these queries are in, or raise."""
         wanted = {str(q.runId) for q in queries}
         with self._lock:
-            return self._lock.wait_for(lambda: wanted <= self._ended, timeout)
+            if not self._lock.wait_for(lambda: wanted <= self._ended, timeout):
+                raise TimeoutError(f"progress of {len(wanted - self._ended)} ended queries did not arrive in {timeout} s")
 
     def drain(self) -> list[tuple]:
         with self._lock:
@@ -82,6 +86,18 @@ def backlog_from_offsets(end: str, latest: str) -> int:
     )
 
 
+def reported_backlog(spark: SparkSession, folder: str, query: str) -> int | None:
+    """Messages that a query had not read at its last progress; None before its first."""
+    try:
+        rows = progress_table(spark, folder).where(F.col("query") == query)
+        last = rows.orderBy(F.desc("stamp")).select("offsets").first()
+    except AnalysisException:
+        return None
+    sources = json.loads(last["offsets"]) if last else []
+    known = [s for s in sources if s["end"] and s["latest"]]
+    return sum(backlog_from_offsets(s["end"], s["latest"]) for s in known) if known else None
+
+
 def watch(
     spark: SparkSession,
     queries: Sequence[StreamingQuery],
