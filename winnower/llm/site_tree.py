@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import ship
+from .scratch import Scratch
 
 
 @dataclass(frozen=True)
@@ -238,16 +238,19 @@ def _extract(p: SiteTree, carry: list[str]):
     return run
 
 
-def extract(pages: DataFrame, p: SiteTree = SiteTree(), carry: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
+def extract(pages: DataFrame, p: SiteTree = SiteTree(), carry: tuple[str, ...] = ("page_id", "url"), scratch: Scratch | None = None) -> DataFrame:
     """The carried columns and text for each row of pages (url string, html string).
 
+    The merged trees are written first, so Spark knows their size when it joins them: below its threshold they are
+    broadcast and no page moves, beyond it pages meet their tree by host, where skewed hosts are split.
+
     Null and empty pages have an empty text. Pages without a host are judged alone. Repeated rows count as pages of
     their own. Markup that is never closed ends with the page.
     """
-    ship(pages.sparkSession)
+    scratch = scratch or Scratch(pages.sparkSession, "site-tree")
     held = [f"c{k}" for k in range(len(carry))]
     rows = pages.select(*[F.col(c).alias(h) for c, h in zip(carry, held, strict=True)], host_of(F.col("url")).alias("host"), F.coalesce(F.col("html"), F.lit("")).alias("html"))
-    tree = importances(rows.select("host", "html"), p)
+    tree = scratch.table(importances(rows.select("host", "html"), p), "trees")
     joined = rows.join(tree, "host", "left").select(*held, "host", "html", "nodes")
     kinds = dict(rows.dtypes)
     out = joined.mapInArrow(_extract(p, held), ", ".join([*(f"{h} {kinds[h]}" for h in held), "text string"]))
