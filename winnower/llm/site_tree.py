@@ -188,29 +188,18 @@ def main_text(page: str, importance: dict[int, float], p: SiteTree) -> str:
             value[k] = (1 - p.children) * value[k] + p.children * sum(value[c] for c in nodes[k].children) / len(nodes[k].children)
         letters[nodes[k].parent] += letters[k]
         linked[nodes[k].parent] += linked[k]
-    named, branch = [0] * len(nodes), [1.0] * len(nodes)
+    named = [0] * len(nodes)
     for k in range(1, len(nodes)):
-        up = nodes[k].parent
-        named[k] = -1 if named[up] < 0 or nodes[k].named < 0 else max(named[up], nodes[k].named)
-        branch[k] = value[k]
+        above = named[nodes[k].parent]
+        named[k] = -1 if above < 0 or nodes[k].named < 0 else max(above, nodes[k].named)
+    # A branch is noise if nothing in it is important.
+    best = value.copy()
+    for k in range(len(nodes) - 1, 0, -1):
+        best[nodes[k].parent] = max(best[nodes[k].parent], best[k])
     article = any(named[at] > 0 for at, _ in blocks)
-    good = [(at, text) for at, text in blocks if named[at] > 0] if article else [
-        (at, text) for at, text in blocks if named[at] == 0 and linked[at] <= p.links * letters[at]]
-    most = max((branch[at] for at, _ in good), default=0.0)
-
-    def stays(at: int) -> bool:
-        # Every branch on the way counts, up to the element that holds the article.
-        while at > 0 and not nodes[at].named:
-            if branch[at] < p.share * most or (letters[at] and linked[at] > p.links * letters[at] and not article):
-                return False
-            at = nodes[at].parent
-        return True
-
-    keep: dict[int, bool] = {}
-    for at, _ in good:
-        if at not in keep:
-            keep[at] = stays(at)
-    return "\n".join(text for at, text in good if keep[at])
+    good = [(at, text) for at, text in blocks if (named[at] > 0 if article else named[at] == 0 and linked[at] <= p.links * letters[at])]
+    least = p.share * max((best[at] for at, _ in good), default=0.0)
+    return "\n".join(text for at, text in good if best[at] >= least)
 
 
 def host_of(url: Column) -> Column:
