@@ -37,6 +37,8 @@ class Nearest:
     neighbours: int = 16
     #: Examples of a block of the index.
     block: int = 64
+    #: Examples whose votes are calibrated on, each left out in turn.
+    calibrate: int = 4000
     #: Weight of the base rate among the votes.
     prior: float = 0.25
     at: float = 0.5
@@ -79,7 +81,9 @@ class Index:
         weight = np.concatenate(weights) if weights else np.zeros(0)
         order = np.lexsort((example, term))
         self.example, self.weight = example[order], weight[order]
-        self.first = np.searchsorted(term[order], np.arange(len(term_ids) + 1))
+        # Where the postings of each term and block begin; the last column is the end of the term.
+        cells = term[order] * (self.blocks + 1) + self.example // p.block
+        self.first = np.searchsorted(cells, np.arange(len(term_ids) * (self.blocks + 1))).reshape(len(term_ids), self.blocks + 1)
         self.bounds = np.zeros((len(term_ids), self.blocks), dtype=np.float64)
         np.maximum.at(self.bounds, (term, example // p.block), weight)
         empty = np.array([len(t) == 0 for t, _ in vectors], dtype=bool)
@@ -88,7 +92,8 @@ class Index:
         self.blank = (self.labels[empty].sum() + self.base) / (empty.sum() + 1) if len(labels) else 0.0
         self.line = (1.0, 0.0)
         if len(labels):
-            some = np.flatnonzero(~empty)
+            # Examples come in the order of a hash, so the first ones are a fair share.
+            some = np.flatnonzero(~empty)[:p.calibrate]
             votes = np.array([self.vote(*vectors[k], leave=int(k))[0] for k in some])
             self.line = self._calibrate(votes, self.labels[some])
 
@@ -100,19 +105,31 @@ class Index:
         """The most similar examples and their cosines; of ties the first examples."""
         bound = weight @ self.bounds[term]
         order = np.argsort(-bound, kind="stable")
-        best, score = np.zeros(0, np.int64), np.zeros(0)
-        lists = [(self.example[self.first[t]:self.first[t + 1]], self.weight[self.first[t]:self.first[t + 1]], w) for t, w in zip(term, weight, strict=True)]
-        for b in order:
-            if bound[b] <= 0 or len(best) == self.p.neighbours and bound[b] < score[-1] - 1e-9:
+        order = order[bound[order] > 0]
+        best, score, done, step = np.zeros(0, np.int64), np.zeros(0), 0, 8
+        while done < len(order):
+            if len(best) == self.p.neighbours and bound[order[done]] < score[-1] - 1e-9:
                 break
-            low = b * self.p.block
-            sums = np.zeros(self.p.block)
-            for example, own, w in lists:
-                i, j = np.searchsorted(example, (low, low + self.p.block))
-                sums[example[i:j] - low] += w * own[i:j]
-            hit = np.flatnonzero(sums > 0)
-            hit = hit[hit + low != leave]
-            best, score = np.concatenate((best, hit + low)), np.concatenate((score, sums[hit]))
+            # Several blocks at a time, more each time; those under the bar are left out.
+            part = order[done:done + step]
+            if len(best) == self.p.neighbours:
+                part = part[bound[part] >= score[-1] - 1e-9]
+            done, step = done + step, step * 4
+            low, high = self.first[np.ix_(term, part)], self.first[np.ix_(term, part + 1)]
+            size = (high - low).ravel()
+            ends = np.cumsum(size)
+            at = np.arange(ends[-1]) + np.repeat(low.ravel() - (ends - size), size)
+            own = np.repeat(np.repeat(weight, len(part)), size) * self.weight[at]
+            # A slot for each example of the blocks at hand.
+            slot = np.repeat(np.tile(np.arange(len(part)) * self.p.block, len(term)), size) + self.example[at] % self.p.block
+            sums = np.bincount(slot, own, len(part) * self.p.block)
+            hit = np.flatnonzero(sums)
+            found = part[hit // self.p.block] * self.p.block + hit % self.p.block
+            keep = found != leave
+            best, score = np.concatenate((best, found[keep])), np.concatenate((score, sums[hit[keep]]))
+            if len(best) > self.p.neighbours:
+                near = score >= np.partition(score, -self.p.neighbours)[-self.p.neighbours] - 1e-8
+                best, score = best[near], score[near]
             top = np.lexsort((best, -np.round(score, 9)))[:self.p.neighbours]
             best, score = best[top], score[top]
         return best, score
