@@ -52,7 +52,8 @@ def test_ints(spark, value, compat, strict):
 def test_text_columns_are_cleaned(spark):
     frame = spark.createDataFrame([("1.9", "$2"), ("-1.9", "x"), ("99999999999", None)], "i string, f string")
     rows = correct(frame, INT_AND_FLOAT).collect()
-    assert [(r.i, r.f) for r in rows] == [(1, 2.0), (-1, None), (0, None)]
+    # Out of range is the nearest int, so that a rule can refuse it.
+    assert [(r.i, r.f) for r in rows] == [(1, 2.0), (-1, None), (2**31 - 1, None)]
 
 
 def test_correcting_twice_changes_nothing(spark, data):
@@ -70,3 +71,22 @@ def test_identity_is_stable_and_random_identity_is_not(spark):
     first, second = (with_identity(frame, "topic", "partition", "offset").collect() for _ in range(2))
     assert first == second and len({r.message_id for r in first}) == 5
     assert with_random_identity(frame).collect() != with_random_identity(frame).collect()
+
+
+def test_strict_parse_reads_no_number_out_of_an_object_and_refuses_what_is_out_of_range(spark):
+    import json
+
+    from winnower.contracts import TRIP, TRIP_RULES
+    from winnower.operators import retry
+
+    good = {
+        "VendorID": 1, "tpep_pickup_datetime": "2015-01-15 19:05:39", "tpep_dropoff_datetime": "2015-01-15 19:23:42",
+        "passenger_count": 1, "RateCodeID": 1, "store_and_fwd_flag": "N", "fare_amount": 12.0, "total_amount": 17.05,
+    }
+    changed = [{}, {"passenger_count": 3000000000}, {"fare_amount": {"n": 4}}, {"total_amount": [4]}, {"total_amount": "$17.05"},
+               {"tpep_pickup_datetime": "10:00"}]
+    rows = [(str(k), json.dumps(good | c), "t", 0, k) for k, c in enumerate(changed)]
+    messages = spark.createDataFrame(rows, "key string, value string, topic string, partition int, offset long")
+    messages = messages.selectExpr("*", "timestamp'2024-01-01' AS timestamp")
+    got = {r.key: r.branch for r in retry.split_messages(messages, TRIP, TRIP_RULES).collect()}
+    assert got == {"0": "valid", "1": "dead", "2": "dead", "3": "dead", "4": "valid", "5": "dead"}

@@ -23,9 +23,11 @@ def finite(number: Column) -> Column:
 def number_from_text(text: Column) -> Column:
     """Read a number, trying the text as it is and only then the text with foreign characters removed.
 
-    The second step is reached only by dirty values, so clean rows never run the regular expression.
+    The second step is reached only by dirty values, so clean rows never run the regular expression. The text of an
+    object or array is no number, whatever numbers are in it.
     """
-    return F.coalesce(finite(text.try_cast("double")), strip_to_number_text(text).try_cast("double"))
+    dirty = F.when(~F.ltrim(text).substr(1, 1).isin("{", "["), strip_to_number_text(text).try_cast("double"))
+    return F.coalesce(finite(text.try_cast("double")), dirty)
 
 
 def number_from_cleaned_text(text: Column) -> Column:

@@ -31,7 +31,8 @@ def _repaired(field: Field, column: Column, dtype: T.DataType, policy: Policy) -
     if field.clean:
         column = _number(column, dtype, policy)
         if field.kind == "int":
-            column = cleaning.saturate_to_int(column) if policy.typed_parse else cleaning.truncate_to_int(column)
+            # A value out of range becomes the nearest int, which its rule then refuses; null would take the default.
+            column = cleaning.saturate_to_int(column)
     if field.fill is not None:
         column = cleaning.fill_null(column, field.fill)
     if field.magnitude:
