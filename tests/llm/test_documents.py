@@ -153,7 +153,7 @@ def test_bpe_agrees_with_the_library(table):
 def test_word_table_starts_afresh():
     from winnower.llm.wordtable import WordTable
 
-    table = WordTable(lambda words: [np.frombuffer(w.encode(), np.uint8).astype(np.int32) for w in words], limit=5)
+    table = WordTable(lambda words: (np.frombuffer("".join(words).encode(), np.uint8), np.array([len(w) for w in words])), limit=5)
     for _ in range(3):
         for texts in ([["ab", "c"], [], ["ab", "d", "e"]], [["f", "g", "h", "i", "j", "k", "ab"]], [["c", "x"]]):
             flat, bounds = table.ids(texts)
@@ -169,11 +169,22 @@ def test_pattern_of_packing_is_the_librarys(spark):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     for text in (r[1] for r in corpora.rows() if r[1]):
         if "<|" not in text:
-            words = packing.WORDS.findall(text)
-            assert "".join(words) == text
+            words = packing.words(text)
+            assert "".join(words) == text and words == packing.WORDS.findall(text)
             assert [i for w in words for i in tokenizer.encode(w, add_special_tokens=False).ids] == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_the_faster_patterns_agree_on_all_of_latin():
+    import random
+
+    rng = random.Random(1)
+    v = bpe.vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    for _ in range(400):
+        text = "".join(rng.choice([chr(rng.randrange(256)), rng.choice("ab 1'sé \n")]) for _ in range(60))
+        assert packing.LATIN_WORDS.findall(text) == packing.WORDS.findall(text)
+        assert v.latin.findall(text) == v.words.findall(text)
+
+
 def test_digests_follow_from_outputs(table):
     r = bpe.encode(table).where("size(ids) > 3").select("ids", F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("h")).first()
     assert r["h"] == hashlib.sha256(" ".join(map(str, r["ids"])).encode()).hexdigest()

@@ -8,6 +8,7 @@ merge leave the array.
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .arrays import chunks, text_column
 from .scratch import ship
-from .wordtable import WordTable
+from .wordtable import LETTERS, NUMBERS, WHITE, WordTable, is_latin
 
 NONE = np.int64(1 << 40)
 
@@ -60,6 +61,7 @@ class Vocabulary:
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made
         # White space is the Unicode property; words are as the settings of the file fix them.
         self.words = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
+        self.latin = re.compile(f"'(?:[stmd]|re|ve|ll)|[{LETTERS}]+|[{NUMBERS}]|[^{WHITE}{LETTERS}{NUMBERS}]+")
         self.parts = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.table = WordTable(self.encode)
 
@@ -76,26 +78,26 @@ class Vocabulary:
         if not text.isascii():
             # Lower case goes letter by letter, so a capital sigma is the same at the end of a word.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        return self.words.findall(text.lower())
+        text = text.lower()
+        return (self.latin if is_latin(text) else self.words).findall(text)
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left << 32 | right
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.ranks[at], NONE)
 
-    def encode(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word."""
-        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
-        plain = [k for k, w in enumerate(words) if w not in self.special]
-        for k in set(range(len(words))).difference(plain):
-            out[k] = np.array([self.special[words[k]]], dtype=np.int32)
-        for a in range(0, len(plain), 50_000):
-            part = plain[a:a + 50_000]
-            for k, ids in zip(part, self._merge([words[k].encode() for k in part]), strict=True):
-                out[k] = ids
-        return out
-
-    def _merge(self, words: list[bytes]) -> list[np.ndarray]:
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, and how many each has."""
+        parts = [self._merge([w.encode() for w in words[a:a + 50_000]]) for a in range(0, len(words), 50_000)]
+        flat, sizes = (np.concatenate([x[k] for x in parts]) if parts else np.zeros(0, np.int64) for k in (0, 1))
+        if not self.special.keys().isdisjoint(words):
+            # A special token has one id, whatever its letters would merge to.
+            each = np.split(flat, np.cumsum(sizes)[:-1])
+            each = [np.array([self.special[w]]) if w in self.special else ids for w, ids in zip(words, each, strict=True)]
+            flat, sizes = np.concatenate(each), np.fromiter(map(len, each), np.int64, len(each))
+        return flat.astype(np.int32), sizes
+
+    def _merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         data = np.frombuffer(b"".join(words), dtype=np.uint8)
         ends = np.cumsum(sizes)
@@ -128,8 +130,7 @@ class Vocabulary:
             symbols, owner = symbols[stay], owner[stay]
         owner = np.concatenate(done_owner) if done_owner else np.zeros(0, np.int64)
         flat = (np.concatenate(done_symbols) if done_symbols else np.zeros(0, np.int64)).astype(np.int32)
-        flat = flat[np.argsort(owner, kind="stable")]
-        return np.split(flat, np.cumsum(np.bincount(owner, minlength=len(words)))[:-1])
+        return flat[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(words))
 
 
 @lru_cache(maxsize=4)

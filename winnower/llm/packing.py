@@ -6,8 +6,10 @@ each piece is a sequence of its own, so no sequence crosses documents and none i
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -18,10 +20,12 @@ from pyspark.sql import functions as F
 
 from .arrays import chunks, text_column
 from .scratch import ship
-from .wordtable import WordTable
+from .wordtable import LETTERS, NUMBERS, WHITE, WordTable, is_latin
 
 #: The words that the byte-level vocabulary never merges across: its fixed pattern.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+#: The same for texts within the first 256 code points.
+LATIN_WORDS = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{WHITE}{LETTERS}{NUMBERS}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 
 PIECES = "doc_id long, doc_tokens long, start long, length long, tokens binary"
 
@@ -32,18 +36,25 @@ def _tables(path: str) -> tuple[object, WordTable, list[str]]:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on each core already
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
-    tokenizer = Tokenizer.from_file(path)
+    tokenizer, single = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    single.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)  # words come one by one
 
-    def encode(words: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype=np.int32) for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = [e.ids for e in single.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
 
     with open(path) as f:
         special = [t["content"] for t in json.load(f).get("added_tokens", [])]
     return tokenizer, WordTable(encode), special
 
 
+def words(text: str) -> list[str]:
+    return (LATIN_WORDS if is_latin(text) else WORDS).findall(text)
+
+
 def decompose(total: int, longest: int) -> list[int]:
     """Powers of two, longest first, that sum up to total, none over `longest`, which is one itself."""
     rest = total % longest
@@ -59,7 +70,7 @@ def _pack(path: str, end: int, longest: int):
                 texts = batch.column("text").slice(start, stop - start).to_pylist()
                 # A special token inside a text is found before words are; such a text goes through the library whole.
                 odd = {k: np.array(tokenizer.encode(t, add_special_tokens=False).ids, dtype=np.int32) for k, t in enumerate(texts) if t and any(s in t for s in special)}
-                flat, bounds = table.ids([[] if k in odd or not t else WORDS.findall(t) for k, t in enumerate(texts)])
+                flat, bounds = table.ids([[] if k in odd or not t else words(t) for k, t in enumerate(texts)])
                 pieces: list[tuple[int, int, int, int, bytes]] = []
                 for k in range(len(texts)):
                     ids = np.append(odd[k] if k in odd else flat[bounds[k]:bounds[k + 1]], end).astype("<u4")
