@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -123,6 +124,36 @@ def test_votes_of_one_rule_suffice():
     assert post[0] > 0.9 and post[1] < 0.1 and post[2] > 0.5
 
 
+@pytest.mark.parametrize("shares", [(0.02, 0.08), (0.25, 0.08), (0.01, 0.01), (0.01, 0.3), (0.3, 0.3), (0.01, 0.01, 0.01), (0.01, 0.1, 0.3), (0.1, 0.1, 0.1), (0.3, 0.25, 0.3)])
+@pytest.mark.parametrize("size", [1000, 10_000, 1_000_000])
+def test_rules_that_speak_against_different_documents(shares, size):
+    rules = len(shares)
+    patterns = np.full((rules + 2, 8), 2)
+    patterns[np.arange(rules), np.arange(rules) * 2] = 0
+    patterns[rules, 5] = 1
+    number = np.array([*(size * s for s in shares), 0.01 * size, size * (0.99 - sum(shares))])
+    for first in range(rules):  # and with a few documents that two rules object to
+        both = np.full((1, 8), 2)
+        both[0, [2 * first, 2 * ((first + 1) % rules)]] = 0
+        for extra in (0.0, 0.002 * size):
+            post = posterior(np.concatenate((patterns, both)), *estimate(np.concatenate((patterns, both)), np.append(number, extra)))
+            assert (post[:rules] < 0.5).all() and (post[rules:rules + 2] > 0.9).all() and post[-1] < 0.5
+
+
+def test_shouted_and_repetitive_texts_leave_the_rest(spark):
+    prose = [corpora.prose(random.Random(k), 80) for k in range(400)]
+    texts = [*prose[:340], *(" ".join(f"{w} |" for w in t.split()) for t in prose[340:370]), *(t.upper() for t in prose[370:])]
+    got = quality_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in got if r["kept"]} == set(range(340))
+
+
+def test_capitals_are_judged_where_letters_are_ascii(spark):
+    rows = [(0, "длинный текст на кириллице ИБМ IBM " * 20), (1, "THE LONG TEXT IS SHOUTED " * 20), (2, "the “long” text is not — " * 20), (3, "汉字汉字汉字 USB " * 60), (4, "THE “LONG” — … TEXT 🙂🙂🙂🙂 " * 20)]
+    got = quality_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["vote_capitals"] for r in got} == {0: 1, 1: 0, 2: 2, 3: 1, 4: 0}
+    assert "n_other" not in got[0]
+
+
 def test_packing_rebuilds_every_document(table):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     rows = table.collect()

@@ -22,7 +22,10 @@ SYMBOLS = "#*$%&|<>"
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_lower", "n_distinct", "n_bangs")
 
-FEATURES = ", ".join(f"{c} long" for c in COUNTS)
+#: Letters beyond ASCII; measured beside the counts, and not part of the result.
+OTHER = "n_other"
+
+FEATURES = ", ".join(f"{c} long" for c in (*COUNTS, OTHER))
 
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in SYMBOLS]] = True
@@ -79,20 +82,30 @@ def counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def other_letters(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many characters beyond ASCII each row has, without the signs and marks of U+0080-U+00BF, U+2000-U+2BFF,
+    U+3000-U+303F and U+1F000-U+1FFFF."""
+    if not len(data):
+        return np.zeros(len(offsets) - 1, dtype=np.int64)
+    after = np.append(data[1:], np.uint8(0))
+    marks = (data == 0xC2) | ((data == 0xE2) & (after < 0xB0)) | ((data == 0xE3) & (after == 0x80)) | ((data == 0xF0) & (after == 0x9F))
+    return _per_row((data >= 0xC0) & ~marks, offsets)
+
+
 def _measure(carry: list[str]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_column(batch, "_text")
             for start, end in chunks(offsets):
                 own = offsets[start:end + 1]
-                found = counts(data[own[0]:own[-1]], own - own[0])
-                yield pa.record_batch([*(batch.column(c).slice(start, end - start) for c in carry), *map(pa.array, found.T.copy())], names=[*carry, *COUNTS])
+                found, other = (f(data[own[0]:own[-1]], own - own[0]) for f in (counts, other_letters))
+                yield pa.record_batch([*(batch.column(c).slice(start, end - start) for c in carry), *map(pa.array, found.T.copy()), pa.array(other)], names=[*carry, *COUNTS, OTHER])
 
     return run
 
 
 def features(docs: DataFrame, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """The carried columns, as _0, _1 ..., and the counts, for each row; null text has zero of everything."""
+    """The carried columns, as _0, _1 ..., the counts and the letters beyond ASCII, for each row; null text has zero of everything."""
     held = [f"_{k}" for k in range(len(carry))]
     rows = docs.select(*[F.col(c).alias(h) for c, h in zip(carry, held, strict=True)], F.col("text").alias("_text"))
     kinds = dict(rows.dtypes)
@@ -109,46 +122,67 @@ def votes() -> dict[str, Column]:
     c = F.col
     words = F.greatest(c("n_words"), F.lit(1))
     letters = F.greatest(c("n_upper") + c("n_lower"), F.lit(1))
+    # Where most letters are of other alphabets, the few ASCII ones are names and abbreviations.
+    latin = c("n_upper") + c("n_lower") >= c("n_other")
     return {
         "length": _vote(c("n_words") < 30, c("n_words").between(50, 100_000)),
         "word_length": _vote((c("word_chars") < 2 * words) | (c("word_chars") > 14 * words), (c("word_chars") > 3 * words) & (c("word_chars") < 10 * words)),
         "symbols": _vote(10 * c("n_symbols") > words, 50 * c("n_symbols") <= words),
         "lines": _vote(10 * c("n_dup_lines") > 5 * c("n_lines"), 20 * c("n_dup_lines") <= c("n_lines")),
         "repeats": _vote(100 * c("n_repeat_words") > 30 * words, 100 * c("n_repeat_words") <= 15 * words),
-        "capitals": _vote(10 * c("n_upper") > 3 * letters, 10 * c("n_upper") <= letters),
+        "capitals": _vote(latin & (10 * c("n_upper") > 3 * letters), latin & (10 * c("n_upper") <= letters)),
         "variety": _vote(c("n_distinct") * c("n_distinct") < words, c("n_distinct") * c("n_distinct") >= 4 * words),
         "bangs": _vote(10 * c("n_bangs") > words, 50 * c("n_bangs") <= words),
     }
 
 
-def posterior(patterns: np.ndarray, share: float, right: np.ndarray) -> np.ndarray:
+def posterior(patterns: np.ndarray, share: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Probability of each vote pattern's documents being good; an abstention says nothing.
 
-    right[0]: how often a rule's vote on a bad document is against it; right[1]: on a good one, for it.
+    share: of each class, the good one first; right: how often a rule's vote in a class is the one expected there, for
+    good documents (row 0) a vote for, for bad ones a vote against.
     """
-    against, for_ = patterns == 0, patterns == 2
-    odds = for_ @ np.log(right[1] / (1 - right[0])) - against @ np.log(right[0] / (1 - right[1])) + np.log(share / (1 - share))
-    return 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
+    return _classes(patterns, share, right)[:, 0]
+
+
+def _classes(patterns: np.ndarray, share: np.ndarray, right: np.ndarray) -> np.ndarray:
+    against, for_ = (patterns == 0).astype(float), (patterns == 2).astype(float)
+    says = np.concatenate((1 - right[:1], right[1:]))
+    odds = against @ np.log(says).T + for_ @ np.log(1 - says).T + np.log(np.maximum(share, 1e-300))
+    odds = np.exp(odds - odds.max(1, keepdims=True))
+    return odds / odds.sum(1, keepdims=True)
 
 
-def estimate(patterns: np.ndarray, number: np.ndarray, rounds: int = 200) -> tuple[float, np.ndarray]:
+def estimate(patterns: np.ndarray, number: np.ndarray, rounds: int = 1000) -> tuple[np.ndarray, np.ndarray]:
     """Expectation-maximisation over vote patterns.
 
-    patterns: a row of votes (0, 1, 2) each; number: how many documents have it. Returns the share of good documents
-    and the rules' accuracies by class. It starts from bad where any rule votes against, as rules rarely speak against
-    prose.
+    patterns: a row of votes (0, 1, 2) each; number: how many documents have it. There is a class of good documents and
+    for each rule one of bad documents, which that rule speaks against: rules see their own kinds of bad documents only,
+    and one class of all kinds would have to give up the good votes to hold them. Returns the shares of the classes and
+    the rules' accuracies in them. It starts from bad where any rule votes against, as rules rarely speak against prose.
     """
+    rules = patterns.shape[1]
     against, for_ = (patterns == 0).astype(float), (patterns == 2).astype(float)
-    post = np.where(against.any(1), 0.05, 0.999)
-    share, right = 0.5, np.full((2, patterns.shape[1]), 0.5)
+    objecting = against.sum(1, keepdims=True)
+    post = np.concatenate((np.where(objecting > 0, 0.05, 1.0), 0.95 * against / np.maximum(objecting, 1)), axis=1)
+    share, right = np.full(rules + 1, 1 / (rules + 1)), np.full((rules + 1, rules), 0.5)
+    own = np.arange(rules)
     for _ in range(rounds):
-        good, bad = post * number, (1 - post) * number
-        # A rule sees its own kind of bad document only. Its votes against good ones are rare: one in a thousand is
-        # expected, which weighs as much as all documents seen; else a rule that alone speaks up could not be told right.
+        held = post.T * number
+        # Votes against good documents are rare: one in a thousand is expected, which weighs as much as all documents
+        # seen; else a rule that alone speaks up could not be told right. The same holds votes for what is of a rule's
+        # own class, so that class cannot grow over documents that the rule does not object to. Of the other rules one
+        # in ten is expected to object to them, which weighs as much as one document; none objects to them less often than
+        # to good ones, so one more vote against never speaks for a document.
         prior = number.sum() + 10
-        right = np.stack(((bad @ against + 1) / (bad @ (against + for_) + 2), (good @ for_ + 0.999 * prior) / (good @ (against + for_) + prior)))
-        share = (good.sum() + 1) / (number.sum() + 2)
-        new = posterior(patterns, share, right)
+        no, yes = held @ against, held @ for_
+        good = (yes[:1] + 0.999 * prior) / (no[:1] + yes[:1] + prior)
+        right = np.concatenate((good, np.maximum((no[1:] + 0.1) / (no[1:] + yes[1:] + 1), 1 - good)))
+        right[1 + own, own] = (no[1 + own, own] + 0.999 * prior) / (no[1 + own, own] + yes[1 + own, own] + prior)
+        # A bad class costs half a document, so that a few stray votes do not make one.
+        share = np.concatenate(([held[0].sum() + 1], np.maximum(held[1:].sum(1) - 0.5, 0)))
+        share /= share.sum()
+        new = _classes(patterns, share, right)
         change, post = np.abs(new - post).max(initial=0), new
         if change < 1e-9:
             break
