@@ -74,6 +74,20 @@ def test_block_maxima_give_the_exact_neighbours():
             assert best.tolist() == order and np.allclose(score, cosine[order])
 
 
+def test_neighbours_are_those_of_whole_texts(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(3000)]
+    rows = [(k, " ".join(rng.choices(words, k=40))) for k in range(120)]
+    # Copies under other ids, with toxic labels of texts whose words occur once or twice only.
+    rows += [(1000 + k, f"{rows[k][1]} {words[k]}") for k in range(120)]
+    labels = [(k, int(k % 9 == 0)) for k in range(120)]
+    got = {r["doc_id"]: r for r in score_toxicity(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    known = {k for k in range(120) if not got[k]["held_out"]}
+    assert len(known) > 80
+    for k in known:
+        assert got[1000 + k]["neighbours"][0] == k and got[1000 + k]["cosines"][0] > 0.9
+
+
 def test_languages_of_held_out_documents(corpus):
     docs, _ = corpus
     got = identify(docs)

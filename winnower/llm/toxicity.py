@@ -1,6 +1,7 @@
 """Toxicity by the nearest labelled examples.
 
-Examples are TF-IDF vectors over the terms that tell the labels apart. Their inverted index keeps, for each term and
+Examples are TF-IDF vectors over all their terms, with document frequencies of the whole table; a term weighs more the
+better it tells the labels apart. Their inverted index keeps, for each term and
 each block of examples, the largest weight; a query visits blocks in falling order of the bound these give and stops
 once no block can change its nearest examples, so the neighbours are exact. Votes weigh by similarity and are
 calibrated on the examples themselves, each left out in turn; the neighbours come along as evidence.
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, chunks, shingles, span_hashes, text_column, word_bounds
+from .arrays import LOWER, chunks, mix64, shingles, span_hashes, text_column, word_bounds
 from .language import held_out
 from .scratch import Scratch
 
@@ -29,11 +30,8 @@ APART[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 class Nearest:
     #: Labelled documents used as examples, at most: those with the smallest hash of their id.
     examples: int = 20_000
-    #: Terms of the index, at most: those with the strongest association with the label.
-    terms: int = 4096
-    #: Families of examples that a term occurs in, at least, and standard errors between its shares in both labels.
-    least: int = 4
-    strength: float = 6.0
+    #: A term weighs 1 + association * z ** 2 times its TF-IDF; z: standard errors between its shares in both labels.
+    association: float = 0.25
     neighbours: int = 16
     #: Examples of a block of the index.
     block: int = 64
@@ -68,27 +66,67 @@ def _term_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([*(batch.column(c).take(row) for c in ("example", "label")), pa.array(np.concatenate([t for t, _ in each])), pa.array(np.concatenate([n for _, n in each])), pa.array(np.repeat(family, number))], names=["example", "label", "term", "tf", "family"])
 
 
+def _vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sorted terms of each text and their counts, as bytes of int64 and int32."""
+    for batch in batches:
+        data, offsets = text_column(batch, "text")
+        for start, end in chunks(offsets):
+            own = offsets[start:end + 1]
+            found, first = terms(data[own[0]:own[-1]], own - own[0])
+            each = [np.unique(found[a:b], return_counts=True) for a, b in zip(first[:-1], first[1:], strict=True)]
+            yield pa.record_batch([*(batch.column(c).slice(start, end - start) for c in ("example", "label")), pa.array([t.tobytes() for t, _ in each], pa.binary()), pa.array([n.astype(np.int32).tobytes() for _, n in each], pa.binary())], names=["example", "label", "terms", "counts"])
+
+
+def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of the task have a term, summed up as long as that fits a bounded array."""
+    term, number = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for batch in batches:
+        data, offsets = text_column(batch, "text")
+        for start, end in chunks(offsets):
+            own = offsets[start:end + 1]
+            found, first = terms(data[own[0]:own[-1]], own - own[0])
+            row = np.repeat(np.arange(end - start), np.diff(first))
+            order = np.lexsort((row, found))
+            found, row = found[order], row[order]
+            new = np.append(True, (found[1:] != found[:-1]) | (row[1:] != row[:-1])) if len(found) else np.zeros(0, bool)
+            seen, n = np.unique(found[new], return_counts=True)
+            term, at = np.unique(np.concatenate((term, seen)), return_inverse=True)
+            number = np.bincount(at, np.concatenate((number, n)), len(term)).astype(np.int64)
+            if len(term) > 1 << 20:
+                yield pa.record_batch([pa.array(term), pa.array(number)], names=["term", "df"])
+                term, number = term[:0], number[:0]
+    yield pa.record_batch([pa.array(term), pa.array(number)], names=["term", "df"])
+
+
+def _ranges(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    size = high - low
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(low - (ends - size), size)
+
+
 class Index:
     """Inverted index of examples with block maxima."""
 
-    def __init__(self, term_ids: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray, idf: np.ndarray, p: Nearest):
-        """term_ids: sorted hashes; vectors: of each example, term numbers and counts."""
-        self.p, self.term_ids, self.idf, self.labels, self.ids = p, term_ids, idf, labels.astype(float), ids
+    def __init__(self, term_ids: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray, idf: np.ndarray, p: Nearest, unseen: float = 0.0):
+        """term_ids: sorted hashes; vectors: of each example, term numbers and counts; idf: of each term, with its
+        association; unseen: that of terms that no example has."""
+        self.p, self.term_ids, self.idf, self.labels, self.ids, self.unseen = p, term_ids, idf, labels.astype(float), ids, unseen
         self.blocks = -(-len(labels) // p.block)
-        example = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in vectors]) if vectors else np.zeros(0, np.int64)
-        weights = [self.weigh(t, n) for t, n in vectors]
+        example = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(t) for t, _ in vectors]) if vectors else np.zeros(0, np.int32)
         term = np.concatenate([t for t, _ in vectors]) if vectors else np.zeros(0, np.int64)
-        weight = np.concatenate(weights) if weights else np.zeros(0)
-        order = np.lexsort((example, term))
-        self.example, self.weight = example[order], weight[order]
-        # Where the postings of each term and block begin; the last column is the end of the term.
-        cells = term[order] * (self.blocks + 1) + self.example // p.block
-        self.first = np.searchsorted(cells, np.arange(len(term_ids) * (self.blocks + 1))).reshape(len(term_ids), self.blocks + 1)
-        self.bounds = np.zeros((len(term_ids), self.blocks), dtype=np.float64)
-        np.maximum.at(self.bounds, (term, example // p.block), weight)
+        weight = np.concatenate([self.weigh(t, n) for t, n in vectors]) if vectors else np.zeros(0)
+        order = np.argsort(term, kind="stable")
+        self.example, self.weight, term = example[order], weight[order], term[order]
+        # A cell is the postings of a term in a block; first: where it begins, cells: the first cell of each term.
+        block = self.example // p.block
+        new = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1]))) if len(term) else np.zeros(0, np.int64)
+        self.cell_block, self.bounds = block[new], np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0)
+        self.first = np.append(new, len(term)).astype(np.int32)
+        self.cells = np.searchsorted(term[new], np.arange(len(term_ids) + 1)).astype(np.int32)
         empty = np.array([len(t) == 0 for t, _ in vectors], dtype=bool)
         self.base = (self.labels.sum() + 0.01) / (len(labels) + 1) if len(labels) else 0.0
-        # What none of the terms speaks for gets the rate of the examples without any.
+        # What shares no term with an example gets the rate of the examples without any.
         self.blank = (self.labels[empty].sum() + self.base) / (empty.sum() + 1) if len(labels) else 0.0
         self.line = (1.0, 0.0)
         if len(labels):
@@ -97,13 +135,18 @@ class Index:
             votes = np.array([self.vote(*vectors[k], leave=int(k))[0] for k in some])
             self.line = self._calibrate(votes, self.labels[some])
 
-    def weigh(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
+    def weigh(self, term: np.ndarray, count: np.ndarray, others: np.ndarray | None = None) -> np.ndarray:
+        """Weights of the terms of a text; others: counts of its terms that no example has, which are part of its norm."""
         w = (1 + np.log(count)) * self.idf[term]
-        return w / np.sqrt((w * w).sum()) if len(w) else w
+        rest = 0.0 if others is None else (((1 + np.log(others)) * self.unseen) ** 2).sum()
+        return w / np.sqrt((w * w).sum() + rest) if len(w) else w
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The most similar examples and their cosines; of ties the first examples."""
-        bound = weight @ self.bounds[term]
+        low, high = self.cells[term].astype(np.int64), self.cells[term + 1].astype(np.int64)
+        cell = _ranges(low, high)
+        own, block = np.repeat(weight, high - low), self.cell_block[cell]
+        bound = np.bincount(block, own * self.bounds[cell], self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         best, score, done, step = np.zeros(0, np.int64), np.zeros(0), 0, 8
@@ -115,14 +158,14 @@ class Index:
             if len(best) == self.p.neighbours:
                 part = part[bound[part] >= score[-1] - 1e-9]
             done, step = done + step, step * 4
-            low, high = self.first[np.ix_(term, part)], self.first[np.ix_(term, part + 1)]
-            size = (high - low).ravel()
-            ends = np.cumsum(size)
-            at = np.arange(ends[-1]) + np.repeat(low.ravel() - (ends - size), size)
-            own = np.repeat(np.repeat(weight, len(part)), size) * self.weight[at]
             # A slot for each example of the blocks at hand.
-            slot = np.repeat(np.tile(np.arange(len(part)) * self.p.block, len(term)), size) + self.example[at] % self.p.block
-            sums = np.bincount(slot, own, len(part) * self.p.block)
+            place = np.full(self.blocks, -1)
+            place[part] = np.arange(len(part))
+            use = np.flatnonzero(place[block] >= 0)
+            low, high = self.first[cell[use]].astype(np.int64), self.first[cell[use] + 1].astype(np.int64)
+            at = _ranges(low, high)
+            slot = np.repeat(place[block[use]] * self.p.block, high - low) + self.example[at] % self.p.block
+            sums = np.bincount(slot, np.repeat(own[use], high - low) * self.weight[at], len(part) * self.p.block)
             hit = np.flatnonzero(sums)
             found = part[hit // self.p.block] * self.p.block + hit % self.p.block
             keep = found != leave
@@ -134,8 +177,8 @@ class Index:
             best, score = best[top], score[top]
         return best, score
 
-    def vote(self, term: np.ndarray, count: np.ndarray, leave: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        best, score = self.nearest(term, self.weigh(term, count), leave)
+    def vote(self, term: np.ndarray, count: np.ndarray, leave: int = -1, others: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray]:
+        best, score = self.nearest(term, self.weigh(term, count, others), leave)
         return (float(score @ self.labels[best]) + self.p.prior * self.base) / (float(score.sum()) + self.p.prior), best, score
 
     @staticmethod
@@ -150,37 +193,37 @@ class Index:
                 break
         return float(w[0]), float(w[1])
 
-    def score(self, term: np.ndarray, count: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    def score(self, term: np.ndarray, count: np.ndarray, others: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray]:
         if not len(term) or not len(self.labels):
             return float(self.blank), np.zeros(0, np.int64), np.zeros(0)
-        vote, best, score = self.vote(term, count)
+        vote, best, score = self.vote(term, count, others=others)
         a, b = self.line
         return float(1 / (1 + np.exp(-(a * vote + b)))), best, score
 
 
 def build(docs: DataFrame, labels: DataFrame, p: Nearest, scratch: Scratch) -> Index:
-    """The index of the labelled sample. What reaches the driver is bounded: counts of the strongest terms, and their
-    postings in at most `examples` documents."""
+    """The index of the labelled sample. What reaches the driver are the terms of at most `examples` documents, with
+    their counts over all documents."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
     known = known.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(p.examples)
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select(F.col("doc_id").alias("example"), "label", "text")
     found = scratch.table(sample.mapInArrow(_term_rows, "example long, label int, term long, tf long, family long"), "terms")
-    sizes = scratch.table(sample.select("example", "label"), "examples").orderBy(F.xxhash64("example"), "example", "label").limit(p.examples).toPandas().drop_duplicates("example")
+    vectors = scratch.table(sample.mapInArrow(_vectors, "example long, label int, terms binary, counts binary").groupBy("example").agg(F.min("label").alias("label"), F.min(F.struct("terms", "counts")).alias("v")).select("example", "label", "v.*"), "examples")
+    held = vectors.toPandas()
+    held = held.iloc[np.argsort(mix64(held["example"].to_numpy(np.int64).view(np.uint64)), kind="stable")] if len(held) else held
+    every = scratch.table(docs.select("text").mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")), "frequencies")
+    number = docs.count()
     kinds = found.groupBy("family").agg(F.max("label").alias("label")).agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("t")).first()
     total, toxic = max(int(kinds["n"]), 1), float(kinds["t"])
     rate = F.col("t") / max(toxic, 1.0) - (F.col("n") - F.col("t")) / max(total - toxic, 1.0)
     # The spread of the difference if the term had nothing to do with the label, one occurrence added to be safe.
     spread = F.sqrt(((F.col("n") + 1) / total) * (1 - F.col("n") / (total + 1)) * (1 / max(toxic, 1.0) + 1 / max(total - toxic, 1.0)))
-    strong = (found.groupBy("term").agg(F.countDistinct("family").alias("n"), F.countDistinct(F.when(F.col("label") == 1, F.col("family"))).alias("t"))
-              .where(F.col("n") >= p.least).withColumn("z", F.abs(rate) / spread).where(F.col("z") >= p.strength).orderBy(F.desc("z"), "term").limit(p.terms).toPandas().sort_values("term"))
-    spark = docs.sparkSession
-    chosen = spark.createDataFrame([(int(t),) for t in strong["term"]], "term long")
-    postings = found.join(F.broadcast(chosen), "term").select("example", "term", "tf").distinct().toPandas()
-    term_ids = strong["term"].to_numpy(np.int64)
-    idf = np.log((total + 1) / (strong["n"].to_numpy(float) + 0.5)) if len(strong) else np.zeros(0)
-    by = {k: (np.searchsorted(term_ids, g["term"].to_numpy(np.int64)), g["tf"].to_numpy(float)) for k, g in postings.sort_values(["example", "term"]).drop_duplicates(["example", "term"]).groupby("example")}
-    none = (np.zeros(0, np.int64), np.zeros(0))
-    return Index(term_ids, [by.get(k, none) for k in sizes["example"]], sizes["label"].to_numpy(), sizes["example"].to_numpy(), idf, p)
+    told = found.groupBy("term").agg(F.countDistinct("family").alias("n"), F.countDistinct(F.when(F.col("label") == 1, F.col("family"))).alias("t")).withColumn("z", F.abs(rate) / spread)
+    told = told.join(every, "term").select("term", "z", "df").toPandas().sort_values("term")
+    term_ids = told["term"].to_numpy(np.int64)
+    idf = np.log((number + 1) / (told["df"].to_numpy(float) + 0.5)) * (1 + p.association * told["z"].to_numpy(float) ** 2)
+    own = [(np.searchsorted(term_ids, np.frombuffer(t, np.int64)), np.frombuffer(n, np.int32).astype(float)) for t, n in zip(held["terms"], held["counts"], strict=True)]
+    return Index(term_ids, own, held["label"].to_numpy(), held["example"].to_numpy(), idf, p, float(np.log((number + 1) / 1.5)))
 
 
 def _score(index: Index):
@@ -191,13 +234,12 @@ def _score(index: Index):
             for start, end in chunks(offsets):
                 own, rows = offsets[start:end + 1], end - start
                 found, first = terms(data[own[0]:own[-1]], own - own[0])
-                at = np.minimum(np.searchsorted(index.term_ids, found), max(len(index.term_ids) - 1, 0))
-                hit = np.flatnonzero(index.term_ids[at] == found) if len(index.term_ids) else np.zeros(0, np.int64)
-                row = np.searchsorted(first, hit, side="right") - 1
                 score, near, cosines = np.full(rows, blank), [[]] * rows, [[]] * rows
-                for k in np.unique(row):
-                    term, count = np.unique(at[hit[row == k]], return_counts=True)
-                    score[k], best, similar = index.score(term, count)
+                for k in range(rows):
+                    term, count = np.unique(found[first[k]:first[k + 1]], return_counts=True)
+                    at = np.minimum(np.searchsorted(index.term_ids, term), max(len(index.term_ids) - 1, 0))
+                    hit = index.term_ids[at] == term if len(index.term_ids) else np.zeros(len(term), dtype=bool)
+                    score[k], best, similar = index.score(at[hit], count[hit], count[~hit])
                     near[k], cosines[k] = index.ids[best].tolist(), similar.tolist()
                 yield pa.record_batch([batch.column("doc_id").slice(start, rows), batch.column("held_out").slice(start, rows), pa.array(score), pa.array((score >= index.p.at).astype(np.int32)), pa.array(near, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))],
                                       names=["doc_id", "held_out", "score", "predicted", "neighbours", "cosines"])
@@ -208,8 +250,8 @@ def _score(index: Index):
 def score_toxicity(docs: DataFrame, labels: DataFrame, p: Nearest = Nearest(), scratch: Scratch | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted, neighbours (doc_ids of the nearest examples) and their cosines, for each row.
 
-    labels has doc_id and toxic (0 or 1); examples come from rows that are not held out. A text without any of the
-    index's terms, null and empty ones too, has no neighbours and gets the rate of such examples; without labels every
+    labels has doc_id and toxic (0 or 1); examples come from rows that are not held out. A text that shares no
+    term with an example, null and empty ones too, has no neighbours and gets the rate of such examples; without labels every
     score is 0. Repeated rows are scored alike; a null doc_id is never an example.
     """
     scratch = scratch or Scratch(docs.sparkSession, "toxicity")
