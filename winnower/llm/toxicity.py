@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -118,10 +119,11 @@ class Index:
         weight = np.concatenate([self.weigh(t, n) for t, n in vectors]) if vectors else np.zeros(0)
         order = np.argsort(term, kind="stable")
         self.example, self.weight, term = example[order], weight[order], term[order]
+        del order, weight, example
         # A cell is the postings of a term in a block; first: where it begins, cells: the first cell of each term.
         block = self.example // p.block
         new = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1]))) if len(term) else np.zeros(0, np.int64)
-        self.cell_block, self.bounds = block[new], np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0)
+        self.cell_block, self.bounds = block[new].astype(np.int32), np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0)
         self.first = np.append(new, len(term)).astype(np.int32)
         self.cells = np.searchsorted(term[new], np.arange(len(term_ids) + 1)).astype(np.int32)
         empty = np.array([len(t) == 0 for t, _ in vectors], dtype=bool)
@@ -209,8 +211,6 @@ def build(docs: DataFrame, labels: DataFrame, p: Nearest, scratch: Scratch) -> I
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select(F.col("doc_id").alias("example"), "label", "text")
     found = scratch.table(sample.mapInArrow(_term_rows, "example long, label int, term long, tf long, family long"), "terms")
     vectors = scratch.table(sample.mapInArrow(_vectors, "example long, label int, terms binary, counts binary").groupBy("example").agg(F.min("label").alias("label"), F.min(F.struct("terms", "counts")).alias("v")).select("example", "label", "v.*"), "examples")
-    held = vectors.toPandas()
-    held = held.iloc[np.argsort(mix64(held["example"].to_numpy(np.int64).view(np.uint64)), kind="stable")] if len(held) else held
     every = scratch.table(docs.select("text").mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")), "frequencies")
     number = docs.count()
     kinds = found.groupBy("family").agg(F.max("label").alias("label")).agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("t")).first()
@@ -222,12 +222,20 @@ def build(docs: DataFrame, labels: DataFrame, p: Nearest, scratch: Scratch) -> I
     told = told.join(every, "term").select("term", "z", "df").toPandas().sort_values("term")
     term_ids = told["term"].to_numpy(np.int64)
     idf = np.log((number + 1) / (told["df"].to_numpy(float) + 0.5)) * (1 + p.association * told["z"].to_numpy(float) ** 2)
-    own = [(np.searchsorted(term_ids, np.frombuffer(t, np.int64)), np.frombuffer(n, np.int32).astype(float)) for t, n in zip(held["terms"], held["counts"], strict=True)]
-    return Index(term_ids, own, held["label"].to_numpy(), held["example"].to_numpy(), idf, p, float(np.log((number + 1) / 1.5)))
-
-
-def _score(index: Index):
+    del told
+    # Arrow's bytes are read in place and let go before the index is built, so that few copies are held at once.
+    held = vectors.toArrow().combine_chunks()
+    ids, label = held["example"].to_numpy().astype(np.int64), held["label"].to_numpy().astype(np.int64)
+    order = np.argsort(mix64(ids.view(np.uint64)), kind="stable")
+    texts, counts = held["terms"], held["counts"]
+    own = [(np.searchsorted(term_ids, np.frombuffer(texts[k].as_buffer(), np.int64)).astype(np.int32), np.frombuffer(counts[k].as_buffer(), np.int32).copy()) for k in order.tolist()]
+    del held, texts, counts
+    return Index(term_ids, own, label[order], ids[order], idf, p, float(np.log((number + 1) / 1.5)))
+
+
+def _score(shared: Broadcast[Index]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
         blank = index.score(np.zeros(0, np.int64), np.zeros(0))[0]
         for batch in batches:
             data, offsets = text_column(batch, "text")
@@ -255,6 +263,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, p: Nearest = Nearest(), s
     score is 0. Repeated rows are scored alike; a null doc_id is never an example.
     """
     scratch = scratch or Scratch(docs.sparkSession, "toxicity")
-    index = build(docs, labels, p, scratch)
+    index = docs.sparkSession.sparkContext.broadcast(build(docs, labels, p, scratch))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
     return rows.mapInArrow(_score(index), "doc_id long, held_out boolean, score double, predicted int, neighbours array<long>, cosines array<double>")
