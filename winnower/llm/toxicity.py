@@ -50,7 +50,7 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _term_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each text and term in it, with its count and the text's family: its least shingle.
+    """A row for each text and term in it, with the text's family: its least shingle.
 
     Near copies mostly agree in that, so a text that was copied often does not make its every word look telling.
     """
@@ -64,7 +64,7 @@ def _term_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             family = np.array([hashes[a:b].min(initial=np.iinfo(np.uint64).max) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], dtype=np.uint64).view(np.int64)
             number = [len(t) for t, _ in each]
             row = pa.array(np.repeat(np.arange(start, end), number))
-            yield pa.record_batch([*(batch.column(c).take(row) for c in ("example", "label")), pa.array(np.concatenate([t for t, _ in each])), pa.array(np.concatenate([n for _, n in each])), pa.array(np.repeat(family, number))], names=["example", "label", "term", "tf", "family"])
+            yield pa.record_batch([*(batch.column(c).take(row) for c in ("label",)), pa.array(np.concatenate([t for t, _ in each])), pa.array(np.repeat(family, number))], names=["label", "term", "family"])
 
 
 def _vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,12 +118,14 @@ class Index:
         term = np.concatenate([t for t, _ in vectors]) if vectors else np.zeros(0, np.int64)
         weight = np.concatenate([self.weigh(t, n) for t, n in vectors]) if vectors else np.zeros(0)
         order = np.argsort(term, kind="stable")
-        self.example, self.weight, term = example[order], weight[order], term[order]
-        del order, weight, example
+        example, self.weight, term = example[order], weight[order].astype(np.float32), term[order]
+        del order, weight
         # A cell is the postings of a term in a block; first: where it begins, cells: the first cell of each term.
-        block = self.example // p.block
+        block = example // p.block
+        # Every executor gets a copy of this: examples are kept by their place in the block, numbers as small as they fit.
+        self.example = (example % p.block).astype(np.min_scalar_type(p.block))
         new = np.flatnonzero(np.append(True, (term[1:] != term[:-1]) | (block[1:] != block[:-1]))) if len(term) else np.zeros(0, np.int64)
-        self.cell_block, self.bounds = block[new].astype(np.int32), np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0)
+        self.cell_block, self.bounds = block[new].astype(np.min_scalar_type(self.blocks)), np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0)
         self.first = np.append(new, len(term)).astype(np.int32)
         self.cells = np.searchsorted(term[new], np.arange(len(term_ids) + 1)).astype(np.int32)
         empty = np.array([len(t) == 0 for t, _ in vectors], dtype=bool)
@@ -166,7 +168,7 @@ class Index:
             use = np.flatnonzero(place[block] >= 0)
             low, high = self.first[cell[use]].astype(np.int64), self.first[cell[use] + 1].astype(np.int64)
             at = _ranges(low, high)
-            slot = np.repeat(place[block[use]] * self.p.block, high - low) + self.example[at] % self.p.block
+            slot = np.repeat(place[block[use]] * self.p.block, high - low) + self.example[at]
             sums = np.bincount(slot, np.repeat(own[use], high - low) * self.weight[at], len(part) * self.p.block)
             hit = np.flatnonzero(sums)
             found = part[hit // self.p.block] * self.p.block + hit % self.p.block
@@ -209,7 +211,7 @@ def build(docs: DataFrame, labels: DataFrame, p: Nearest, scratch: Scratch) -> I
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
     known = known.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(p.examples)
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select(F.col("doc_id").alias("example"), "label", "text")
-    found = scratch.table(sample.mapInArrow(_term_rows, "example long, label int, term long, tf long, family long"), "terms")
+    found = scratch.table(sample.mapInArrow(_term_rows, "label int, term long, family long"), "terms")
     vectors = scratch.table(sample.mapInArrow(_vectors, "example long, label int, terms binary, counts binary").groupBy("example").agg(F.min("label").alias("label"), F.min(F.struct("terms", "counts")).alias("v")).select("example", "label", "v.*"), "examples")
     every = scratch.table(docs.select("text").mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")), "frequencies")
     number = docs.count()
