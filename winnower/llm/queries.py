@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .bpe import decode, encode
 from .exact_names import exact_dedup, normalised
+from .filter_audit import audit
 from .language import identify
 from .near_dedup import near_dedup
 from .packing import pack
@@ -65,6 +66,10 @@ def op10_bpe_rounds(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op12_potential(spark: SparkSession, folder: str) -> DataFrame:
+    return audit(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_bradley_terry": op2_bradley_terry,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_style_tree": op8_style_tree,
     "op9_block_max": op9_block_max,
     "op10_bpe_rounds": op10_bpe_rounds,
+    "op12_potential": op12_potential,
 }
 
 ORACLE: dict[str, str] = {
@@ -90,5 +96,50 @@ SELECT doc_id,
   sha256(t) AS text_sha256
 FROM n
 WINDOW w AS (PARTITION BY t ORDER BY chars DESC, doc_id)
+""",
+    # Each step of each order is played out on the documents' failures; the query plays coalitions instead.
+    "op12_potential": r"""
+WITH told AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), docs AS (
+  SELECT d.doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents d LEFT JOIN told USING (doc_id)
+), fails AS (
+  SELECT part, good, toxic, [
+    len(words) < 100,
+    100 * len(list_distinct(words)) < 80 * len(words),
+    100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t),
+    regexp_matches(t, '[#$%&*|]'),
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)
+  ] AS f FROM docs
+), cells AS (
+  SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fails GROUP BY part, f
+), letters AS (
+  SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 3), ('D', 4), ('E', 5)) AS l(letter, i)
+), orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.i, b.i, c.i, d.i, e.i] AS players
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), steps AS (
+  SELECT filter_order, players, unnest([1, 2, 3, 4, 5]) AS step FROM orders
+), played AS (
+  SELECT part, filter_order, step, n, good, toxic, f[players[step]] AS fails,
+    len(list_filter(players[1:step - 1], lambda p: f[p])) > 0 AS gone,
+    len(list_filter([1, 2, 3, 4, 5], lambda p: f[p])) = 1 AS alone, players[step] AS player
+  FROM cells, steps
+), counted AS (
+  SELECT part, filter_order, step, player,
+    sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN NOT gone AND fails THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN gone AND fails THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN alone AND fails THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN NOT gone AND fails THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN NOT gone AND fails THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+  FROM played GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, player))::BIGINT AS shapley
+FROM counted
 """,
 }
