@@ -18,6 +18,7 @@ from .quality_rules import quality_rules
 from .repeats import remove_repeats
 from .site_tree import extract
 from .toxicity import score_toxicity
+from .vector_codes import compress
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -70,6 +71,42 @@ def op12_potential(spark: SparkSession, folder: str) -> DataFrame:
     return audit(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
 
 
+def op13_equal_average(spark: SparkSession, folder: str) -> DataFrame:
+    return compress(_read(spark, folder, "embeddings"))
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """Plain search over all entries; each round adds an assignment and the entries that follow from it."""
+    assign = """
+a{r} AS MATERIALIZED (
+  SELECT p.rn, p.part, any_value(p.x) AS x, min(list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, c.x) + list_inner_product(c.x, c.x)) AS best,
+    (min((list_inner_product(p.x, p.x) - 2 * list_inner_product(p.x, c.x) + list_inner_product(c.x, c.x))::BIGINT * 256 + c.entry) % 256)::INT AS code
+  FROM parts p JOIN c{r} c USING (part) GROUP BY p.rn, p.part
+)"""
+    move = """
+m{r} AS MATERIALIZED (
+  SELECT part, code AS entry, pos, sum(x[pos]::BIGINT) AS s, count(*) AS n FROM a{r}, (SELECT unnest([1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16]) AS pos) GROUP BY ALL
+), c{next} AS MATERIALIZED (
+  SELECT c.part, c.entry, coalesce(n.x, c.x) AS x FROM c{r} c
+  LEFT JOIN (SELECT part, entry, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY pos) AS x FROM m{r} GROUP BY ALL) n USING (part, entry)
+)"""
+    steps = ",".join(assign.format(r=r) + "," + move.format(r=r, next=r + 1) for r in range(rounds)) + "," + assign.format(r=rounds)
+    return f"""
+WITH rows AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rn, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings WHERE len(list_filter(embedding, lambda x: coalesce(NOT isfinite(x), true))) = 0
+), parts AS MATERIALIZED (
+  SELECT rn, part, v[part * 16 + 1:part * 16 + 16] AS x FROM rows, (SELECT unnest([0, 1, 2, 3]) AS part)
+), c0 AS MATERIALIZED (SELECT part, (rn - 1)::INT AS entry, x FROM parts WHERE rn <= 256),{steps}
+, codes AS (
+  SELECT rn, string_agg(printf('%02x', code), '' ORDER BY part) AS code, sum(best)::BIGINT AS error FROM a{rounds} GROUP BY rn
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(list_transform(x, lambda v: v::BIGINT), ','), ',' ORDER BY part, entry)) FROM c{rounds}) AS codebooks_sha256
+FROM rows JOIN codes USING (rn)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_bradley_terry": op2_bradley_terry,
@@ -82,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_block_max": op9_block_max,
     "op10_bpe_rounds": op10_bpe_rounds,
     "op12_potential": op12_potential,
+    "op13_equal_average": op13_equal_average,
 }
 
 ORACLE: dict[str, str] = {
@@ -142,4 +180,5 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
   (sum(removed) OVER (PARTITION BY part, player))::BIGINT AS shapley
 FROM counted
 """,
+    "op13_equal_average": _codes_sql(),
 }
