@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import decode, encode
+from .class_model import score_documents
 from .exact_names import exact_dedup, normalised
 from .filter_audit import audit
 from .language import identify
@@ -67,6 +68,10 @@ def op10_bpe_rounds(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op11_class_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(_read(spark, folder, "documents"))
+
+
 def op12_potential(spark: SparkSession, folder: str) -> DataFrame:
     return audit(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
 
@@ -118,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_style_tree": op8_style_tree,
     "op9_block_max": op9_block_max,
     "op10_bpe_rounds": op10_bpe_rounds,
+    "op11_class_ngrams": op11_class_ngrams,
     "op12_potential": op12_potential,
     "op13_equal_average": op13_equal_average,
 }
