@@ -44,38 +44,6 @@ def test_fallback(spark, tmp_path):
         files.read_first_available(spark, [f"{tmp_path}/a"], read)
 
 
-def test_landing_nothing(spark, tmp_path):
-    (tmp_path / "in").mkdir()
-    assert files.land_raw(spark, f"{tmp_path}/in", f"{tmp_path}/out") == {}
-
-
-def test_landing_keeps_the_source_file(spark, tmp_path):
-    for name in ("x", "y"):
-        (tmp_path / "in" / name).mkdir(parents=True)
-        (tmp_path / "in" / name / f"{name}.csv").write_text('a,b\n1,"two, ""quoted"""\n')
-    landed = files.land_raw(spark, f"{tmp_path}/in", f"{tmp_path}/out")
-    rows = spark.read.options(header=True, escape='"').csv(landed["csv"]).collect()
-    assert {(r.a, r.b, r.source_file) for r in rows} == {
-        ("1", 'two, "quoted"', "x.csv"), ("1", 'two, "quoted"', "y.csv")
-    }
-
-
-def test_landing_goes_by_each_files_header(spark, tmp_path):
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "x.csv").write_text('id,code\n1,007\n2,"a\nb"\n')
-    (tmp_path / "in" / "y.csv").write_text("code,id\n008,3\n")
-    (tmp_path / "in" / "z.csv").write_text('id,"odd, name"\n4,x\n')
-    spark.sql("SELECT 1 AS p").coalesce(1).write.parquet(f"{tmp_path}/in/one")
-    spark.sql("SELECT 2 AS p, 'q' AS q, 3.5D AS r").coalesce(1).write.parquet(f"{tmp_path}/in/two")
-    landed = files.land_raw(spark, f"{tmp_path}/in", f"{tmp_path}/out")
-    got = files.read_landed_csv(spark, landed["csv"], ["id", "code", "odd, name", "absent"]).collect()
-    assert sorted(map(tuple, got)) == [
-        ("1", "007", None, None), ("2", "a\nb", None, None), ("3", "008", None, None), ("4", None, "x", None)
-    ]
-    rows = spark.read.parquet(*landed["parquet"]).select("p", "q", "r").collect()
-    assert sorted(map(tuple, rows)) == [(1, None, None), (2, "q", 3.5)]
-
-
 def test_folding_takes_types_from_the_schema(spark, tmp_path):
     spark.sql("SELECT '007' AS code, 1 AS id").write.option("header", True).csv(f"{tmp_path}/a")
     spark.sql("SELECT 2 AS id, '008' AS code").write.option("header", True).csv(f"{tmp_path}/b")
@@ -194,3 +162,12 @@ def test_scoped_conf(spark):
     with scoped_conf(spark, spark__sql__shuffle__partitions="3"):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_csv_reads_doubled_quotes_and_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,v\n1,"{""k"": ""v, w""}"\n2,"a\n""b"""\n')
+    want = [(1, '{"k": "v, w"}'), (2, 'a\n"b"')]
+    assert sorted(map(tuple, files.read_csv(spark, f"{tmp_path}/a.csv", multi_line=True).collect())) == want
+    schema = spark.sql("SELECT '' AS v, 1 AS id").schema
+    folded = files.fold_csv_to_parquet(spark, [f"{tmp_path}/a.csv"], f"{tmp_path}/out", schema, multi_line=True)
+    assert sorted(map(tuple, folded.select("id", "v").collect())) == want

@@ -17,7 +17,7 @@ from winnower.contract import COMPAT, STRICT, Policy
 from winnower.contracts import DEAD_LETTER_TABLE, FAULT_FIELDS, TRIP, TRIP_RULES
 from winnower.operators import faults, metrics, retry
 from winnower.session import build_session
-from winnower.sources import files, tables
+from winnower.sources import files, landing, tables
 from winnower.sources.topics import FileTopics, KafkaTopics, Topics
 from winnower.streaming import jobs, monitor, sinks
 
@@ -132,8 +132,9 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
-    for suffix, folders in files.land_raw(spark, args.source[0], args.target).items():
-        print(f"{suffix}: {', '.join(folders)}")
+    manifest = landing.land_raw(spark, args.source[0], args.target)
+    for row in manifest.groupBy("format").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes")).collect():
+        print(f"{row.format}: {row.files} files, {row.bytes} bytes")
 
 
 def backlog(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -23,7 +23,7 @@ from winnower.operators.union import union_by_name
 from winnower.plans.shape import cents, plain
 from winnower.plans.trips import clean_trips, dirty_documents, envelopes, table, table_stream, trips
 from winnower.session import fresh_folder, scoped_conf
-from winnower.sources import files, tables
+from winnower.sources import files, landing, tables
 from winnower.sources.topics import FileTopics
 from winnower.streaming import jobs, monitor, sinks
 
@@ -403,18 +403,22 @@ def csv_backup_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def csv_fold(spark: SparkSession, folder: str) -> DataFrame:
-    """Two CSV files with their columns in different order become one Parquet table; the types are given."""
+    """Two CSV files with their columns in different order become one Parquet table; the types are given.
+
+    Values hold quotes, commas and line breaks.
+    """
     base = fresh_folder(spark, "fold")
-    events = events_of(spark, folder).withColumn("props", F.translate("props", '"', "'"))
+    note = F.concat(F.lit('"'), F.col("event_type"), F.lit('", ""\n,'), F.col("props"), F.lit("\n"))
+    events = events_of(spark, folder).withColumn("note", note)
     clicks = F.col("event_type") == "click"
-    options = {"header": True, "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    options = {**files.CSV_QUOTING, "header": True}
     events.where(clicks).write.options(**options).csv(f"{base}/a")
-    turned = events.select("props", "value", "user_id", "event_type", "event_id", "ts")
+    turned = events.select("note", "props", "value", "user_id", "event_type", "event_id", "ts")
     turned.where(~clicks).write.options(**options).csv(f"{base}/b")
     schema = T.StructType([
         f if f.name != "ts" else T.StructField("ts", T.TimestampNTZType()) for f in events.schema.fields
     ])
-    folded = files.fold_csv_to_parquet(spark, [f"{base}/a", f"{base}/b"], f"{base}/folded", schema)
+    folded = files.fold_csv_to_parquet(spark, [f"{base}/a", f"{base}/b"], f"{base}/folded", schema, multi_line=True)
     return plain(folded, *events.columns)
 
 
@@ -463,9 +467,34 @@ def raw_landing(spark: SparkSession, folder: str) -> DataFrame:
     rows.where(part == 2).write.parquet(f"{source}/deep/er/parquet")
     rows.where(part == 3).select("code", "event_id").write.parquet(f"{source}/parquet")
     rows.select("note").write.text(f"{source}/text")
-    landed = files.land_raw(spark, source, base)
-    texts = files.read_landed_csv(spark, landed["csv"], rows.columns).withColumn("event_id", F.col("event_id").cast("bigint"))
-    return plain(texts.unionByName(spark.read.parquet(*landed["parquet"]).select(*rows.columns)))
+    landing.land_raw(spark, source, base)
+    texts = landing.read_landed_csv(spark, base, rows.columns).withColumn("event_id", F.col("event_id").cast("bigint"))
+    return plain(texts.unionByName(landing.read_landed_parquet(spark, base).select(*rows.columns)))
+
+
+@register
+def raw_landing_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the copies of a CSV file a day, in two landings, and of a text that is not UTF-8, read back.
+
+    Half of the days land first; the second landing adds the others.
+    """
+    base = fresh_folder(spark, "landing_bytes")
+    source = f"{base}/in"
+    rows = events_of(spark, folder).select(F.to_date("ts").alias("day"), "event_id", F.col("props").alias("note"))
+    ordered = rows.repartition("day").sortWithinPartitions("day", "event_id")
+    odd = F.dayofyear("day") % 2 == 1
+    days = rows.select("day").distinct()
+    latin = F.concat(F.unhex(F.lit("E9")).cast("string"), F.date_format("day", "yyyy-MM-dd"), F.unhex(F.lit("E8")).cast("string"))
+    text = {"lineSep": "\xe0", "encoding": "ISO-8859-1"}
+    for chosen, landing_source in ((odd, f"{source}/first"), (~odd, f"{source}/deeper/second")):
+        ordered.where(chosen).write.partitionBy("day").options(header=True, quote='"', escape='"').csv(f"{landing_source}/csv")
+        days.where(chosen).select("day", latin.alias("value")).write.partitionBy("day").options(**text).text(f"{landing_source}/text")
+        landing.land_raw(spark, source, base, ("csv", "txt"))
+    stored = landing.landed_bytes(spark, base)
+    return stored.select(
+        "format", F.regexp_extract("path", "day=([0-9-]*)/", 1).alias("day"), F.col("stored_size").alias("size"),
+        F.col("stored_sha256").alias("sha256"), (F.col("sha256") == F.col("stored_sha256")).cast("int").alias("same"),
+    )
 
 
 @register

@@ -320,8 +320,8 @@ ORACLE: dict[str, str] = {
         {ERROR} AS error, COALESCE(retry_count, 0) AS retry_count, 'PENDING' AS status,
         ROUND(CAST(CASE WHEN malformed THEN NULL WHEN event_id % 157 = 0 THEN NULL
           WHEN event_id % 163 = 0 THEN -value ELSE value END AS DOUBLE), 2) AS fare"""),
-    "csv_fold": f"""SELECT event_id, {_moment('ts')} AS ts, user_id, event_type, value,
-        replace(props, '"', chr(39)) AS props FROM events""",
+    "csv_fold": f"""SELECT event_id, {_moment('ts')} AS ts, user_id, event_type, value, props,
+        '"' || event_type || '", ""' || chr(10) || ',' || props || chr(10) AS note FROM events""",
     "csv_typed_scan": f"{WITH} SELECT " + ", ".join(
         f"strftime({n}, '%Y-%m-%d %H:%M:%S') AS {n}" if n in MOMENTS
         else f"CAST({n} AS DOUBLE) AS {n}" if n in FLOATS else n
@@ -332,6 +332,11 @@ ORACLE: dict[str, str] = {
     "raw_landing": f"""SELECT event_id, lpad(CAST(event_id AS VARCHAR), 12, '0') AS code,
         CASE WHEN event_id % 4 < 3 THEN event_type || chr(10) || '"' || props || '"' END AS note,
         CASE WHEN event_id % 4 < 3 THEN {_moment('ts')} END AS ts FROM events""",
+    "raw_landing_bytes": """WITH days AS (SELECT strftime(ts, '%Y-%m-%d') AS day, event_id, props FROM events), contents AS (
+          SELECT 'csv' AS format, day, encode('event_id,note' || chr(10) || string_agg(event_id || ',"' || replace(props, '"', '""')
+            || '"' || chr(10), '' ORDER BY event_id)) AS bytes FROM days GROUP BY day
+          UNION ALL SELECT DISTINCT 'txt', day, '\\xE9'::BLOB || encode(day) || '\\xE8\\xE0'::BLOB FROM days)
+        SELECT format, day, octet_length(bytes) AS size, sha256(bytes) AS sha256, 1 AS same FROM contents""",
     "text_objects": "SELECT lang, CAST(SUM(length(text) + 1) AS BIGINT) AS characters FROM documents GROUP BY 1",
     "dlq_tables": _DEAD_LETTERS.format(columns=f"""{_DLQ_MESSAGE}, {_moment('ts')} AS timestamp, {ERROR} AS error,
         0 AS retry_count, 'PENDING' AS status, 1 AS stamped"""),

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 import logging
 import uuid
 from collections.abc import Callable, Sequence
@@ -20,7 +19,7 @@ from winnower.operators.union import union_by_name
 log = logging.getLogger(__name__)
 
 # Quotes inside a value are doubled and moments keep their microseconds, so any value survives a round trip.
-_CSV_QUOTING = {
+CSV_QUOTING = {
     "quote": '"',
     "escape": '"',
     "nullValue": "",
@@ -36,13 +35,15 @@ def read_csv(
     path: str | list[str],
     schema: T.StructType | None = None,
     limit: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """CSV with a header. Without a schema the types are inferred, at the price of one more scan.
+    """CSV with a header, quotes within a value doubled. Without a schema the types are inferred by one more scan.
 
     With a schema the header must name its columns in order, or the read fails. ``limit`` caps the rows for
-    callers that want a sample; the default reads everything.
+    callers that want a sample; the default reads everything. With ``multi_line`` quoted values may hold line breaks,
+    and a file is then read by one task.
     """
-    reader = spark.read.option("header", True)
+    reader = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"')
     if schema is None:
         frame = reader.option("inferSchema", True).csv(path)
     else:
@@ -87,24 +88,28 @@ def fold_csv_to_parquet(
     target: str,
     schema: T.StructType | None = None,
     allow_missing: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Read every file, stack them by name and replace the Parquet table. Returns the written table.
 
     With a schema nothing is inferred: a file's columns are taken by its header, in any order. Columns that the
     schema does not name are refused.
     """
-    parts = [read_csv(spark, p) if schema is None else _by_header(spark, p, schema) for p in paths]
+    parts = [
+        read_csv(spark, p, multi_line=multi_line) if schema is None else _by_header(spark, p, schema, multi_line)
+        for p in paths
+    ]
     stacked = union_by_name(parts, allow_missing)
     stacked.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
 
-def _by_header(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    header = spark.read.option("header", True).csv(path).columns
+def _by_header(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    header = spark.read.options(header=True, multiLine=multi_line, quote='"', escape='"').csv(path).columns
     known = {f.name: f for f in schema.fields}
     if unknown := [n for n in header if n not in known]:
         raise ValueError(f"{path} has columns that the schema lacks: {', '.join(unknown)}")
-    return read_csv(spark, path, T.StructType([known[n] for n in header]))
+    return read_csv(spark, path, T.StructType([known[n] for n in header]), multi_line=multi_line)
 
 
 def describe_frame(df: DataFrame, sample: int = 5) -> tuple[str, DataFrame]:
@@ -112,74 +117,18 @@ def describe_frame(df: DataFrame, sample: int = 5) -> tuple[str, DataFrame]:
     return df.schema.treeString(), df.limit(sample)
 
 
-def _files_below(spark: SparkSession, folder: str, suffix: str) -> list[str]:
-    """Paths of the files of a format. Only the listing is used: file contents are pruned."""
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*.{suffix}")
-    )
-    return sorted(row.path for row in listing.load(folder).select("path").toLocalIterator())
-
-
-def _header_line(spark: SparkSession, path: str) -> str:
-    """The first line of a file, read up to its end and no further."""
-    source = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = source.getFileSystem(spark._jsc.hadoopConfiguration()).open(source)
-    reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    try:
-        return (reader.readLine() or "").removeprefix("\ufeff")
-    finally:
-        reader.close()
-
-
-def land_raw(spark: SparkSession, source: str, target: str) -> dict[str, list[str]]:
-    """Copy the CSV and Parquet files below a folder to ``target/raw/<format>``, one folder per source file.
-
-    Raw means unchanged: CSV values stay text as they are, line breaks in quotes included, and files are read by
-    their own headers: those with the same header land in one folder ``layout=<n>``, so no value moves to another
-    column. Parquet files of different columns land with all of them; a column of two types is refused. Returns the
-    folders written for each format; nothing is written for a format without files.
-    """
-    root, written = f"{target.rstrip('/')}/raw", {}
-    layouts: dict[str, list[str]] = {}
-    for path in _files_below(spark, source, "csv"):
-        layouts.setdefault(_header_line(spark, path), []).append(path)
-    for number, (header, paths) in enumerate(sorted(layouts.items())):
-        names = next(csv.reader([header]), [])
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        rows = spark.read.schema(schema).options(header=True, multiLine=True, **_CSV_QUOTING).csv(paths)
-        folder = f"{root}/csv/layout={number}"
-        named = rows.withColumn("source_file", F.col("_metadata.file_name"))
-        named.write.mode("overwrite").partitionBy("source_file").options(header=True, **_CSV_QUOTING).csv(folder)
-        written.setdefault("csv", []).append(folder)
-    if paths := _files_below(spark, source, "parquet"):
-        rows = spark.read.option("mergeSchema", True).parquet(*paths)
-        folder = f"{root}/parquet"
-        named = rows.withColumn("source_file", F.col("_metadata.file_name"))
-        named.write.mode("overwrite").partitionBy("source_file").parquet(folder)
-        written["parquet"] = [folder]
-    return written
-
-
-def read_landed_csv(spark: SparkSession, folders: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Landed CSV of any layouts as text columns; a layout that lacks a column has nulls there."""
-    parts = [
-        spark.read.options(header=True, multiLine=True, **_CSV_QUOTING).csv(folder).drop("source_file")
-        for folder in folders
-    ]
-    stacked = union_by_name(parts, allow_missing=True)
-    return stacked.select(*[F.col(c) if c in stacked.columns else F.lit(None).cast("string").alias(c) for c in columns])
-
-
 def read_text_objects(spark: SparkSession, path: str) -> DataFrame:
     """One row per object: its path and its whole text. An object must fit in a task's memory."""
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
 
 
 def read_text_object(spark: SparkSession, path: str) -> DataFrame | None:
-    """One object's text, or None when it cannot be opened."""
+    """One object's text, or None when it is not there. Any other problem is raised."""
     try:
         return read_text_objects(spark, path)
-    except (AnalysisException, Py4JJavaError):
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -194,7 +143,7 @@ def backup_to_csv(df: DataFrame, root: str, stamp: str | None = None, rows_per_f
     files are kept to a bounded number of rows.
     """
     folder = f"{root.rstrip('/')}/dlq_backups/{stamp or run_stamp()}"
-    writer = df.write.mode("errorifexists").options(header=True, maxRecordsPerFile=rows_per_file, **_CSV_QUOTING)
+    writer = df.write.mode("errorifexists").options(header=True, maxRecordsPerFile=rows_per_file, **CSV_QUOTING)
     writer.csv(folder)
     return folder
 
@@ -202,7 +151,7 @@ def backup_to_csv(df: DataFrame, root: str, stamp: str | None = None, rows_per_f
 def read_backup(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """Read a backup, telling an empty text (quoted) from a null (nothing) by way of a marker."""
     marker = uuid.uuid4().hex
-    options = {**_CSV_QUOTING, "header": True, "multiLine": True, "emptyValue": marker}
+    options = {**CSV_QUOTING, "header": True, "multiLine": True, "emptyValue": marker}
     restored = spark.read.schema(schema).options(**options).csv(folder)
     return restored.withColumns({
         f.name: F.when(F.col(f.name) == marker, F.lit("")).otherwise(F.col(f.name))
