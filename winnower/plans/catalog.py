@@ -25,6 +25,7 @@ from winnower.plans.trips import clean_trips, dirty_documents, envelopes, table,
 from winnower.session import fresh_folder, scoped_conf
 from winnower.sources import files, landing, tables
 from winnower.sources.topics import FileTopics
+from winnower.sources.unique import UniqueTable
 from winnower.streaming import jobs, monitor, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -690,6 +691,20 @@ def stream_dedupe_replay(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema("event_id bigint, user_id bigint, value double").parquet(f"{base}/out")
 
 
+@register
+def unique_across_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Three overlapping batches of a stream, each event in two of them and some in no order; each is stored once."""
+    base = fresh_folder(spark, "unique")
+    rows = events_of(spark, folder).select("event_id", "user_id", "value", F.to_date("ts").alias("day"))
+    part = F.col("event_id") % 3
+    for n in range(3):
+        rows.where(part != n).union(rows.where((part == (n + 1) % 3) & (F.col("event_id") % 5 == 0))).write.parquet(f"{base}/in/{n}")
+    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
+    table = UniqueTable(f"{base}/table", key="event_id", blocks=16)
+    jobs.start_batches(arriving, sinks.unique_table(table), "unique", f"{base}/state", once=True).awaitTermination()
+    return table.read(spark).select("event_id", "user_id", "value")
+
+
 @register
 def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Events that arrive zero to six hours after they happened: those over three hours late go to a side table."""

@@ -380,6 +380,7 @@ ORACLE: dict[str, str] = {
         SELECT event_id, CASE WHEN {REPAIRED_OK} AND attempt BETWEEN event_id % 3 + 1 AND 3 THEN 'trips'
           ELSE 'trips_failed' END AS topic, attempt FROM tried""",
     "stream_dedupe_replay": "SELECT event_id, user_id, value FROM events",
+    "unique_across_batches": "SELECT DISTINCT event_id, user_id, value FROM events",
     "stream_late_rows": """SELECT event_id, CASE WHEN event_id % 7 <= 3 THEN 'in_time' ELSE 'late' END AS stored_in
         FROM events""",
     "stream_dedupe": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",

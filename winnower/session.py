@@ -78,6 +78,18 @@ def is_committed(spark: SparkSession, folder: str) -> bool:
     return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
+def folder_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Last parts of the paths that match a pattern, sorted."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(status.getPath().getName() for status in found or ())
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def move_folder(spark: SparkSession, source: str, target: str) -> None:
     """Rename a finished folder to where readers look. It fails if the target is there already.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from winnower.operators.union import union_by_name
-from winnower.session import move_folder
+from winnower.session import folder_names, move_folder, remove_folder
 from winnower.sources.files import CSV_QUOTING
 
 MANIFEST = (
@@ -19,11 +19,6 @@ MANIFEST = (
 )
 
 
-def _hadoop(spark: SparkSession, path: str):
-    found = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
-
-
 def _root(target: str) -> str:
     return f"{target.rstrip('/')}/raw"
 
@@ -34,9 +29,7 @@ def _files(root: str, landing: int) -> str:
 
 def landings(spark: SparkSession, target: str) -> list[int]:
     """Numbers of the finished landings below a target, oldest first."""
-    system, pattern = _hadoop(spark, f"{_root(target)}/landing=*")
-    found = system.globStatus(pattern)
-    return sorted(int(status.getPath().getName().split("=")[1]) for status in found or ())
+    return sorted(int(name.split("=")[1]) for name in folder_names(spark, f"{_root(target)}/landing=*"))
 
 
 def landed(spark: SparkSession, target: str) -> DataFrame:
@@ -49,8 +42,8 @@ def landed(spark: SparkSession, target: str) -> DataFrame:
 
 def _listing(spark: SparkSession, source: str, formats: Sequence[str]) -> DataFrame:
     """Paths, sizes and times of the files of the formats; their contents are not read."""
-    system, path = _hadoop(spark, source)
-    prefix = system.makeQualified(path).toString().rstrip("/") + "/"
+    path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    prefix = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/") + "/"
     reader = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter=f"*.{{{','.join(formats)}}}")
     below = F.when(F.col("path").startswith(prefix), F.substring("path", len(prefix) + 1, 1 << 30)).otherwise(F.col("path"))
     return reader.load(source).select(
@@ -78,7 +71,7 @@ def land_raw(spark: SparkSession, source: str, target: str, formats: Sequence[st
     fresh = spark.read.schema(fresh.schema).parquet(f"{aside}/new")
     paths = [row.source for row in fresh.select("source").toLocalIterator()]
     if not paths:
-        _remove(spark, aside)
+        remove_folder(spark, aside)
         return before
 
     # One read for digests and last bytes, one for the copies.
@@ -117,11 +110,6 @@ def _copy(spark: SparkSession, paths: Sequence[str], last: str, target: str) ->
     rows.write.mode("append").partitionBy("file").options(lineSep=separator, encoding="ISO-8859-1").text(target)
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
-    system, path = _hadoop(spark, folder)
-    system.delete(path, True)
-
-
 def landed_bytes(spark: SparkSession, target: str) -> DataFrame:
     """The manifest with size and digest of the copies as they are read back, ``stored_size`` and ``stored_sha256``."""
     manifest = landed(spark, target)
@@ -142,7 +130,7 @@ def clean_landings(spark: SparkSession, target: str) -> list[int]:
     used = {r.landing for r in landed(spark, target).select("landing").distinct().collect()} | set(numbers[-1:])
     stale = [n for n in numbers if n not in used]
     for n in stale:
-        _remove(spark, f"{_root(target)}/landing={n:08d}")
+        remove_folder(spark, f"{_root(target)}/landing={n:08d}")
     return stale
 
 

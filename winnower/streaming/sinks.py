@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from winnower.operators.messages import bulk_lines
 from winnower.operators.validate import pick
 from winnower.session import is_committed, streaming_query_id
+from winnower.sources.unique import UniqueTable
 
 log = logging.getLogger(__name__)
 
@@ -55,6 +56,15 @@ def branch_tables(branches: Sequence[TableBranch]) -> BatchSink:
     return write
 
 
+def unique_table(table: UniqueTable, rows: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> BatchSink:
+    """Append the rows of each batch whose key no earlier batch had."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.append(rows(batch), f"{streaming_query_id(batch.sparkSession)}-{batch_id}")
+
+    return write
+
+
 def _lines(batch: DataFrame, document: Column, condition: Column | None) -> DataFrame:
     lines = bulk_lines(document).alias("value")
     return batch.select(lines) if condition is None else pick(batch, condition, lines)
