@@ -35,12 +35,12 @@ class UniqueTable:
         return f"{self.root}/batches/batch={name}"
 
     def _stored(self, spark: SparkSession, part: str) -> DataFrame | None:
-        if not folder_names(spark, f"{self.root}/batches/batch=*"):
+        if not folder_names(spark, f"{self.root}/batches/batch=*/part={part}/filed=*"):
             return None
         return spark.read.option("basePath", f"{self.root}/batches").parquet(f"{self.root}/batches/batch=*/part={part}").drop("part")
 
     def read(self, spark: SparkSession) -> DataFrame | None:
-        """All rows, with the day and the batch they came in; None before the first batch."""
+        """All rows, with the day and the batch they came in; None before the first row."""
         return self._stored(spark, "rows")
 
     def locate(self, keys: DataFrame) -> DataFrame:
