@@ -819,6 +819,28 @@ def status_transitions(spark: SparkSession, folder: str) -> DataFrame:
     return letters.select(_event(), "status", changed.alias("in_order"))
 
 
+@register
+def status_compaction(spark: SparkSession, folder: str) -> DataFrame:
+    """The same letters, compacted before the retry and again after each of two halves of it."""
+    base = fresh_folder(spark, "compaction")
+    folders = jobs.TableFolders(f"{base}/tables")
+    messages = _keyed(envelopes(events_of(spark, folder)))
+    split = retry.split_messages(messages, TRIP, TRIP_RULES)
+    usual_code = F.when(F.col("malformed"), F.col("RateCodeID")).otherwise(F.lit("1"))
+    repairs = {n: {"RateCodeID": usual_code} for n in (1, 2, 3)}
+    for half in (0, 1):
+        rows = tables.with_day(retry.dead_letter_rows(split), DEAD_LETTER_TABLE).where(F.col("offset") % 2 == half)
+        rows.write.partitionBy(*tables.PARTITIONS[DEAD_LETTER_TABLE.name]).parquet(f"{folders.letters}/batch={half}")
+        jobs.current_letters(spark, folders)
+        # The letters of the first half are tried again, then those of the second and once more those of the first.
+        letters = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{folders.letters}/batch=0"))
+        again = letters.select(F.col("message_id").alias("key"), F.col("payload").alias("value"), "topic", "partition", "offset", "timestamp")
+        routed = retry.retry_messages(again, TRIP, TRIP_RULES, repairs=repairs)
+        retry.transition_rows(routed).write.parquet(f"{folders.transitions}/batch={half}")
+    current = jobs.current_letters(spark, folders)
+    return current.select(_event(), "status", (F.col("updated_at") >= F.col("created_at")).cast("int").alias("in_order"))
+
+
 @register
 def stream_retry_attempts(spark: SparkSession, folder: str) -> DataFrame:
     """Letters that a repair on the first, second or third attempt saves, and those that stop at the limit."""

@@ -375,6 +375,9 @@ ORACLE: dict[str, str] = {
     "status_transitions": f"""{WITH} SELECT event_id,
         CASE WHEN {REPAIRED_OK} AND COALESCE(retry_count, 0) + 1 <= 3 THEN 'PROCESSED' ELSE 'FAILED' END AS status,
         1 AS in_order FROM mfixed WHERE NOT {STRICT_OK}""",
+    "status_compaction": f"""{WITH} SELECT event_id,
+        CASE WHEN {REPAIRED_OK} AND COALESCE(retry_count, 0) + 1 <= 3 THEN 'PROCESSED' ELSE 'FAILED' END AS status,
+        1 AS in_order FROM mfixed WHERE NOT {STRICT_OK}""",
     "stream_retry_attempts": f"""{WITH}, tried AS (SELECT *, COALESCE(retry_count, 0) + 1 AS attempt FROM mfixed
           WHERE NOT {STRICT_OK})
         SELECT event_id, CASE WHEN {REPAIRED_OK} AND attempt BETWEEN event_id % 3 + 1 AND 3 THEN 'trips'

@@ -85,6 +85,13 @@ def folder_names(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(status.getPath().getName() for status in found or ())
 
 
+def committed_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the folders that match a pattern and whose write went through to its end, sorted."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(status.getPath().getParent().getName() for status in found or ())
+
+
 def remove_folder(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

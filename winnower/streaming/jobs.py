@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -18,8 +18,11 @@ from winnower.operators.metrics import routing_counts
 from winnower.operators.validate import DEAD, VALID, pick
 from winnower.sources import tables
 from winnower.sources.topics import Topics
+from winnower.streaming import compaction
 from winnower.streaming.sinks import BatchSink, TableBranch, branch_tables
 
+log = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class TopicNames:
@@ -138,7 +141,7 @@ def start_table(
 
 @dataclass(frozen=True)
 class TableFolders:
-    """The tables below a folder: letters, processed and failed messages, and the letters' changes of status."""
+    """The tables below a folder: letters, processed and failed messages, the letters' changes of status, and the letters with these."""
 
     root: str
 
@@ -158,8 +161,9 @@ class TableFolders:
     def transitions(self) -> str:
         return f"{self.root}/letter_transitions"
 
-
-TRANSITION = "message_id string, status string, updated_at timestamp"
+    @property
+    def current(self) -> str:
+        return f"{self.root}/letters_current"
 
 
 def start_split_tables(
@@ -211,13 +215,14 @@ def start_retry_tables(
 
 
 def current_letters(spark: SparkSession, folders: TableFolders) -> DataFrame:
-    """The stored letters, one per message, each with the status that its latest attempt gave it."""
-    stored = spark.read.schema(tables.stored_schema(DEAD_LETTER_TABLE)).parquet(folders.letters)
-    letters = tables.one_per_message(stored.select(*DEAD_LETTER_TABLE.names))
+    """The stored letters, one per message, each with the status that its latest attempt gave it.
+
+    Brings the table of current letters up to date first: only batches that came since the last time and the days of
+    their letters are read. Empty before the first letter.
+    """
     try:
-        changes = spark.read.schema(TRANSITION).parquet(folders.transitions)
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return letters
-    return tables.move_letters(letters, changes)
+        compaction.compact(spark, folders.letters, folders.transitions, folders.current)
+    except FileExistsError:
+        # Another run was faster; what it wrote is read, and the next run takes in what it had not seen.
+        log.warning("the letters below %s were compacted by another run", folders.root)
+    return compaction.read(spark, folders.current)
