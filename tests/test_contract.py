@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from winnower.contract import STRICT, Contract, Field, Policy, Rule, contract_from_json_schema
 from winnower.contracts import DEAD_LETTER_TABLE, FAILED_TABLE, PROCESSED_TABLE, TRIP
-from winnower.operators import validate
+from winnower.operators import validate, versions
 from winnower.operators.documents import document_violations
 
 SCHEMA = {
@@ -128,3 +128,32 @@ def test_a_moment_has_a_date_and_a_time(spark):
     frame = spark.createDataFrame([(t,) for t in good + bad], "t string")
     got = [r.m is not None for r in frame.select(whole_moment(frame.t).alias("m")).collect()]
     assert got == [True] * len(good) + [False] * len(bad)
+
+
+def test_versions_judge_rows_and_documents_alike(spark):
+    def contract(version, since, **limits):
+        return Contract("c", (Field("n", "int", required=True, **limits),), version=version, valid_from=since)
+
+    chosen = [contract("2", "2024-01-10T00:00:00Z", minimum=5), contract("1", "2024-01-05T00:00:00Z", maximum=3)]
+    rows = [(1, "2024-01-04 23:59:59", 9), (2, "2024-01-05 00:00:00", 9), (3, "2024-01-10 00:00:00", 9), (4, "2024-02-01 00:00:00", 1), (5, None, 1), (6, "2024-01-06 00:00:00", None)]
+    frame = spark.createDataFrame(rows, "id int, at string, n int").withColumn("at", F.col("at").cast("timestamp"))
+    want = {1: (None, None), 2: ("1", "n:maximum"), 3: ("2", ""), 4: ("2", "n:minimum"), 5: (None, None), 6: ("1", "n:required")}
+    got = versions.judge_rows(frame, chosen, "at").collect()
+    assert {r.id: (r.schema_version, r.error) for r in got} == want
+    documents = frame.select("id", "at", F.to_json(F.struct("n")).alias("value"))
+    got = versions.judge_documents(documents, chosen, "at").collect()
+    assert {r.id: (r.schema_version, r.error) for r in got} == want
+    always = versions.judge_rows(frame, [contract("0", None), *chosen], "at").where("id IN (1, 5)").collect()
+    assert {r.id: r.schema_version for r in always} == {1: "0", 5: None}
+    with pytest.raises(ValueError, match="share"):
+        versions.version_in_force([chosen[0], chosen[0]], "at")
+
+
+def test_a_version_reads_its_own_days_only(spark, tmp_path):
+    rows = spark.range(10).select(F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 86400).alias("at"), F.lit('{"n": 1}').alias("value"))
+    rows.write.parquet(f"{tmp_path}/d")
+    chosen = [Contract("c", (Field("n", "int"),), version=str(k), valid_from=f"2024-01-0{k}T00:00:00Z") for k in (2, 5)]
+    judged = versions.judge_documents(spark.read.schema(rows.schema).parquet(f"{tmp_path}/d"), chosen, "at")
+    plan = judged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("LessThan(at,2024-01-05") == 1 and plan.count("GreaterThanOrEqual(at,2024-01-05") == 1
+    assert judged.groupBy("schema_version").count().collect().__len__() == 3

@@ -170,6 +170,24 @@ def test_only_refused_items_are_sent_again():
     assert sinks.deliver(body, shaky, 1, 0.0) == (0, "")
 
 
+@pytest.mark.parametrize("reply", [
+    b'{"errors": true}', b'{"errors": true, "items": [{"index": {"status": 201}}]}', b"<html>busy</html>", b"", b"[]",
+    b'{"errors": true, "items": [1, 2]}',
+])
+def test_an_odd_reply_vouches_for_nothing(reply):
+    body = b'{"index":{}}\n{"a":1}\n{"index":{}}\n{"a":2}\n'
+    assert sinks.refused_lines(body, reply)[0] == body
+    assert sinks.deliver(body, lambda _: reply, 1, 0.0)[0] == 2
+    assert sinks.refused_lines(body, b'{"errors": false}') == (b"", [])
+
+
+def test_a_backup_before_the_first_letter(spark, tmp_path, capsys):
+    common = ["--topic-root", f"{tmp_path}/topics", "--state", f"{tmp_path}/state", "--tables", f"{tmp_path}/tables", "--once"]
+    main(["backup", *common, "--target", str(tmp_path)])
+    folder = capsys.readouterr().out.strip().splitlines()[-1]
+    assert files.read_backup(spark, folder, retry.DEAD_LETTER_TABLE.struct()).count() == 0
+
+
 def test_refusals_reach_the_table_of_deliveries(spark, tmp_path):
     def refuse(url, body, headers, timeout):
         return json.dumps({"errors": True, "items": [{"index": {"error": "no"}}] * (body.count(b"\n") // 2)}).encode()

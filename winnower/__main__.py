@@ -133,7 +133,7 @@ def load(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
     manifest = landing.land_raw(spark, args.source[0], args.target)
-    for row in manifest.groupBy("format").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes")).collect():
+    for row in manifest.groupBy("format").agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes")).toLocalIterator():
         print(f"{row.format}: {row.files} files, {row.bytes} bytes")
 
 

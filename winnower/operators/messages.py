@@ -30,6 +30,27 @@ _CARRIED = (
 )
 
 
+def text_of_bytes(raw: Column) -> Column:
+    """Bytes as text that gives them back: UTF-8 as it is, anything else as ``\\x`` and hexadecimal digits.
+
+    Text that starts in ``\\x`` itself is written that way too, so no two values of bytes share a text.
+    """
+    text = raw.cast("string")
+    plain = F.is_valid_utf8(text) & ~text.startswith("\\x")
+    return F.when(plain, text).otherwise(F.concat(F.lit("\\x"), F.hex(raw)))
+
+
+def bytes_of_text(text: Column) -> Column:
+    """The bytes that `text_of_bytes` was given."""
+    return F.when(text.startswith("\\x"), F.unhex(F.substring(text, F.lit(3), F.length(text)))).otherwise(text.cast("binary"))
+
+
+def open_envelope(frame: DataFrame) -> DataFrame:
+    """Keys and values of a broker's messages as text. Bytes that are no text keep their digits, and fail as documents."""
+    opened = {c: text_of_bytes(F.col(c)) for c in ("key", "value") if isinstance(frame.schema[c].dataType, T.BinaryType)}
+    return frame.withColumns(opened) if opened else frame
+
+
 def _parse_into_types(parsed: DataFrame, contract: Contract, keep: Sequence[str]) -> DataFrame:
     # A single field of the wrong type marks the record too; it is malformed only if nothing was read.
     nothing = F.coalesce(*[F.col(f"data.{n}").cast("string") for n in contract.names]).isNull()

@@ -5,20 +5,23 @@ Each takes ``(spark, folder)`` and returns a frame. `oracle.py` holds the matchi
 
 from __future__ import annotations
 
+import json
+import re
 import uuid
 from collections.abc import Callable
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from winnower.contract import COMPAT, STRICT, Policy
+from winnower.contract import COMPAT, STRICT, Contract, Field, Policy, contract_from_json_schema
 from winnower.contracts import DEAD_LETTER_TABLE, FAILED_TABLE, FAULT_FIELDS, LINEITEM, PROCESSED_TABLE, TRIP, TRIP_RULES
 from winnower.functions import cleaning
-from winnower.operators import dedupe, faults, metrics, retry, validate
+from winnower.operators import dedupe, faults, metrics, retry, validate, versions
 from winnower.operators.correct import correct, with_identity
 from winnower.operators.documents import document_violations, unknown_properties
-from winnower.operators.messages import bulk_lines, event_document, pack_messages, parse_messages
+from winnower.operators.messages import bulk_lines, bytes_of_text, event_document, open_envelope, pack_messages, parse_messages
 from winnower.operators.union import union_by_name
 from winnower.plans.shape import cents, plain
 from winnower.plans.trips import clean_trips, dirty_documents, envelopes, table, table_stream, trips
@@ -270,6 +273,70 @@ def contract_in_force(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _props_contract(version: str, valid_from: str, largest: int, required: list[str]) -> Contract:
+    return contract_from_json_schema("props", {
+        "meta": {"schema_version": version, "valid_from": valid_from},
+        "schema": {
+            "type": "object", "properties": {"k": {"type": "integer", "minimum": 3, "maximum": largest}, "note": {"type": "string"}},
+            "required": required, "additionalProperties": False,
+        },
+    })
+
+
+@register
+def contract_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Each event by the version of its day: three versions, the first read from a JSON Schema; none before January 5th."""
+    kinds = ["click", "view", "error", "signup"]
+    first = contract_from_json_schema("event", {
+        "meta": {"schema_version": "1.0.0", "valid_from": "2024-01-05T00:00:00Z"},
+        "schema": {"type": "object", "properties": {
+            "user_id": {"type": "integer", "minimum": 1}, "event_type": {"type": "string", "enum": kinds},
+            "value": {"type": "number", "maximum": 150},
+        }},
+    })
+    second = Contract("event", (Field("event_type", "string", allowed=("click", "view")), Field("value", "double", maximum=50)), version="1.1.0", valid_from="2024-01-12T06:30:00Z")
+    third = Contract("event", (Field("user_id", "long", minimum=5), Field("value", "double", minimum=20)), version="2.0.0", valid_from="2024-01-20T00:00:00Z")
+    rows = events_of(spark, folder).withColumn("ts", F.when(F.col("event_id") % 41 != 0, F.col("ts").cast("timestamp")))
+    return versions.judge_rows(rows, [third, first, second], "ts").select("event_id", "schema_version", "error")
+
+
+@register
+def contract_document_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for documents, whose versions come from JSON Schemas; some lack the key, some are no document."""
+    chosen = [_props_contract("1", "2024-01-03T00:00:00Z", 80, []), _props_contract("2", "2024-01-17T12:00:00Z", 50, ["k", "note"])]
+    document = F.when(F.col("event_id") % 13 == 0, F.lit("{}")).when(F.col("event_id") % 17 == 0, F.lit("[1]")).otherwise(F.col("props"))
+    rows = events_of(spark, folder).select("event_id", F.col("ts").cast("timestamp").alias("ts"), document.alias("value"))
+    return versions.judge_documents(rows, chosen, "ts").select("event_id", "schema_version", "error")
+
+
+@register
+def table_constraints_processed(spark: SparkSession, folder: str) -> DataFrame:
+    """Row constraints of the table of processed messages on rows that break them."""
+    i = F.col("event_id")
+    rows = events_of(spark, folder).select(
+        F.when(i % 199 != 0, i).alias("id"), i.alias("event_id"),
+        F.when(i % 211 != 0, i.cast("string")).alias("message_id"),
+        F.when(i % 31 != 0, F.expr("repeat(event_type, cast(user_id as int))")).alias("topic"),
+        F.when(i % 53 != 0, (i % 3).cast("int")).alias("partition"),
+        F.when(i % 223 != 0, i).alias("offset"),
+        F.lit(None).cast("timestamp").alias("processed_at"),
+    )
+    return validate.rule_violations(rows, PROCESSED_TABLE.row_rules(), ["event_id"], Policy(three_valued=True))
+
+
+@register
+def table_constraints_failed(spark: SparkSession, folder: str) -> DataFrame:
+    """Row constraints of the table of failed messages: an error and a counter are required there."""
+    i = F.col("event_id")
+    rows = events_of(spark, folder).select(
+        i.alias("id"), i.cast("string").alias("message_id"), F.expr("repeat(event_type, cast(user_id as int))").alias("topic"),
+        (i % 3).cast("int").alias("partition"), F.when(i % 227 != 0, i).alias("offset"),
+        F.when(i % 19 != 0, F.col("event_type")).alias("error"), F.when(i % 23 != 0, (i % 4).cast("int")).alias("retry_count"),
+        F.when(i % 2 == 0, F.col("ts").cast("timestamp")).alias("failed_at"),
+    )
+    return validate.rule_violations(rows, FAILED_TABLE.row_rules(), ["id"], Policy(three_valued=True))
+
+
 @register
 def table_constraints(spark: SparkSession, folder: str) -> DataFrame:
     """Row constraints of the letters' table on rows that break them: nulls, long topics, long states."""
@@ -863,6 +930,102 @@ def stream_retry_attempts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@register
+def binary_envelopes(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes through a first pass: some are no UTF-8, some look like digits of bytes; each letter gives its bytes back."""
+    i = F.col("event_id")
+    sent = envelopes(events_of(spark, folder)).withColumn("value", F.when(i % 7 == 0, F.concat(F.unhex(F.lit("C3FF00")), F.encode("value", "UTF-8")))
+        .when(i % 11 == 0, F.encode(F.concat(F.lit("\\x41"), "value"), "UTF-8")).otherwise(F.encode("value", "UTF-8")))
+    split = retry.split_messages(open_envelope(sent), TRIP, TRIP_RULES, keep=["event_id"])
+    letters = validate.pick(split, F.col("branch") == validate.DEAD, "event_id", "malformed", "payload")
+    came = F.md5(bytes_of_text(F.col("payload")))
+    there = letters.join(sent.select("event_id", F.md5("value").alias("sent")), "event_id")
+    return there.select("event_id", F.col("malformed").cast("int").alias("malformed"), (came == F.col("sent")).cast("int").alias("same"),
+        F.when(i % 7 == 0, F.hex(F.substring(bytes_of_text(F.col("payload")), 1, 3))).alias("first"))
+
+
+def _publish_parts(spark: SparkSession, folder: str, topics: FileTopics, parts: int, chosen: range) -> None:
+    """Publish the events of some of the parts, a batch of one file each."""
+    messages = _keyed(envelopes(events_of(spark, folder)))
+    for part in chosen:
+        topics.write(messages.where(F.col("key").cast("bigint") % parts == part).coalesce(1))
+
+
+@register
+def stream_rate_limited(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten files, two a trigger: five micro-batches, of which the progress table shows none above the limit."""
+    base = fresh_folder(spark, "rate")
+    topics = FileTopics(f"{base}/topics", max_files_per_trigger=2)
+    _publish_parts(spark, folder, topics, 10, range(10))
+    limit = 2 * -(-events_of(spark, folder).count() // 10)
+    recorder = monitor.ProgressRecorder()
+    spark.streams.addListener(recorder)
+    try:
+        query = jobs.start_table(topics.read_stream(spark, NAMES.main).select("key"), f"{base}/out", "limited", f"{base}/state", once=True)
+        monitor.watch(spark, [query], recorder, f"{base}/metrics", poll_seconds=5, report=lambda line: None)
+    finally:
+        spark.streams.removeListener(recorder)
+    stored = spark.read.schema("key string").parquet(f"{base}/out").agg(F.count_distinct("key").alias("stored"))
+    return monitor.admissions(spark, f"{base}/metrics", "limited", limit).select("batches", "rows", "above_limit").join(stored)
+
+
+@register
+def stream_from_timestamp(spark: SparkSession, folder: str) -> DataFrame:
+    """A query that starts at a moment between two batches takes the second one only."""
+    base = fresh_folder(spark, "start")
+    _publish_parts(spark, folder, FileTopics(f"{base}/topics"), 2, range(1))
+    start = spark.sql("SELECT unix_millis(current_timestamp()) AS now").first().now + 1
+    while spark.sql("SELECT unix_millis(current_timestamp()) AS now").first().now <= start:
+        pass
+    _publish_parts(spark, folder, FileTopics(f"{base}/topics"), 2, range(1, 2))
+    later = FileTopics(f"{base}/topics", starting_timestamp=start)
+    jobs.start_table(later.read_stream(spark, NAMES.main).select("key"), f"{base}/out", "later", f"{base}/state", once=True).awaitTermination()
+    streamed = spark.read.schema("key string").parquet(f"{base}/out")
+    return streamed.join(later.read(spark, NAMES.main).select("key"), "key").select(_event("key"))
+
+
+@register
+def queue_retention(spark: SparkSession, folder: str) -> DataFrame:
+    """Three batches are read, three more arrive, and a clean-up removes what was read; no message is lost."""
+    base = fresh_folder(spark, "retention")
+    topics = FileTopics(f"{base}/topics")
+    removed = []
+    for turn in range(2):
+        _publish_parts(spark, folder, topics, 6, range(3 * turn, 3 * turn + 3))
+        if turn:
+            removed.append(topics.clean(spark, NAMES.main, [f"{base}/state/reader"], datetime.now(UTC) + timedelta(days=1)))
+        reading = topics.read_stream(spark, NAMES.main).select("key")
+        jobs.start_table(reading, f"{base}/out", "reader", f"{base}/state", once=True).awaitTermination()
+    return spark.read.schema("key string").parquet(f"{base}/out").select(_event("key"), F.lit(removed[0]).alias("removed"))
+
+
+def _refusing(url: str, body: bytes, headers, timeout: float) -> bytes:
+    """An endpoint that refuses every event whose number ends in 3."""
+    documents = body.splitlines()[1::2]
+    items = [{"index": {"error": "refused"} if re.search(rb'"event_id":\d*3\b', d) else {"status": 201}} for d in documents]
+    return json.dumps({"errors": any("error" in i["index"] for i in items), "items": items}).encode()
+
+
+@register
+def delivery_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that an endpoint refuses again and again, kept for each batch of the stream that sent them."""
+    base = fresh_folder(spark, "delivery")
+    document = event_document(F.struct("event_id", "value"), "delivery", "sent")
+    sink = sinks.bulk_endpoint("http://events", "trips", document, fail=False, retries=1, pause=0, post=_refusing, report=sinks.delivery_table(f"{base}/refused"))
+    jobs.start_batches(events_stream(spark, folder), sink, "delivery", f"{base}/state", once=True).awaitTermination()
+    return spark.read.parquet(f"{base}/refused").agg(F.count_distinct("query").alias("queries"), F.sum("refused").alias("refused"))
+
+
+@register
+def stable_sample(spark: SparkSession, folder: str) -> DataFrame:
+    """A tenth of the users with all their events, the same ones from another layout of the files."""
+    base = fresh_folder(spark, "sample")
+    rows = events_of(spark, folder).select("event_id", "user_id")
+    rows.repartition(7).write.parquet(base)
+    other = files.stable_sample(spark.read.schema(rows.schema).parquet(base), ["user_id"], 0.1, 4)
+    return files.stable_sample(rows, ["user_id"], 0.1, 4).join(other, ["event_id", "user_id"])
+
+
 @register
 def stream_branch_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Valid rows and letters to tables of their own shapes, from one read of each micro-batch."""

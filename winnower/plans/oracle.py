@@ -13,17 +13,20 @@ SELECT event_id,
       ELSE CAST(event_id % 7 AS INT) END AS passenger_count,
  CASE WHEN event_id % 109 = 0 THEN NULL WHEN event_id % 113 = 0 THEN CAST(-value AS FLOAT)
       ELSE CAST(value / 10 AS FLOAT) END AS trip_distance,
- CAST(-73.9 AS FLOAT) AS pickup_longitude, CAST(40.7 AS FLOAT) AS pickup_latitude,
+ CAST(CASE WHEN event_id % 179 = 0 THEN 181.5 WHEN event_id % 181 = 0 THEN -200 ELSE -73.9 END AS FLOAT) AS pickup_longitude,
+ CAST(CASE WHEN event_id % 191 = 0 THEN 90.5 ELSE 40.7 END AS FLOAT) AS pickup_latitude,
  CASE WHEN event_id % 127 = 0 THEN NULL WHEN event_id % 137 = 0 THEN 99
       ELSE CAST(event_id % 6 + 1 AS INT) END AS RateCodeID,
  CASE WHEN event_id % 139 = 0 THEN NULL WHEN event_id % 149 = 0 THEN 'X' WHEN event_id % 50 = 1 THEN 'Y'
       ELSE 'N' END AS store_and_fwd_flag,
- CAST(-73.8 AS FLOAT) AS dropoff_longitude, CAST(40.8 AS FLOAT) AS dropoff_latitude,
+ CAST(CASE WHEN event_id % 193 = 0 THEN -180.5 WHEN event_id % 197 = 0 THEN NULL ELSE -73.8 END AS FLOAT) AS dropoff_longitude,
+ CAST(CASE WHEN event_id % 199 = 0 THEN -91 ELSE 40.8 END AS FLOAT) AS dropoff_latitude,
  CASE WHEN event_id % 151 = 0 THEN NULL ELSE CAST(user_id % 6 + 1 AS INT) END AS payment_type,
  CASE WHEN event_id % 157 = 0 THEN NULL WHEN event_id % 163 = 0 THEN CAST(-value AS FLOAT)
       ELSE CAST(value AS FLOAT) END AS fare_amount,
- CAST(0.5 AS FLOAT) AS extra, CAST(0.5 AS FLOAT) AS mta_tax, CAST(0 AS FLOAT) AS tip_amount,
- CAST(0 AS FLOAT) AS tolls_amount, CAST(0.3 AS FLOAT) AS improvement_surcharge,
+ CAST(0.5 AS FLOAT) AS extra, CAST(0.5 AS FLOAT) AS mta_tax,
+ CASE WHEN event_id % 227 = 0 THEN CAST(-0.5 AS FLOAT) WHEN event_id % 229 = 0 THEN NULL ELSE CAST(value / 5 AS FLOAT) END AS tip_amount,
+ CAST(CASE WHEN event_id % 233 = 0 THEN -2 ELSE 0 END AS FLOAT) AS tolls_amount, CAST(0.3 AS FLOAT) AS improvement_surcharge,
  CASE WHEN event_id % 167 = 0 THEN NULL WHEN event_id % 173 = 0 THEN CAST(-value AS FLOAT)
       ELSE CAST(value + 1.3 AS FLOAT) END AS total_amount,
  CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 5 AS INT) ELSE NULL END AS retry_count
@@ -159,10 +162,18 @@ DOCUMENT_BROKEN = {
     "passenger_count:minimum": "passenger_count < 0",
     "passenger_count:maximum": "passenger_count > 9",
     "trip_distance:minimum": "trip_distance < 0",
+    "pickup_longitude:minimum": "pickup_longitude < -180",
+    "pickup_longitude:maximum": "pickup_longitude > 180",
+    "pickup_latitude:maximum": "pickup_latitude > 90",
+    "dropoff_longitude:minimum": "dropoff_longitude < -180",
+    "dropoff_latitude:minimum": "dropoff_latitude < -90",
     "RateCodeID:enum": "RateCodeID NOT IN (1, 2, 3, 4, 5, 6)",
     "store_and_fwd_flag:pattern": "store_and_fwd_flag NOT IN ('Y', 'N')",
     "payment_type:enum": "payment_type NOT IN (1, 2, 3, 4, 5, 6)",
     "fare_amount:minimum": "fare_amount < 0",
+    "tip_amount:minimum": "tip_amount < 0",
+    "tolls_amount:minimum": "tolls_amount < 0",
+    "tpep_pickup_datetime:format": "event_id % 61 = 0 AND tpep_pickup_datetime IS NOT NULL",
     "total_amount:minimum": "total_amount < 0",
     **_REQUIRED,
     "unknown_property": "retry_count IS NOT NULL",
@@ -258,13 +269,15 @@ ORACLE: dict[str, str] = {
     "malformed_kept": f"""{WITH} SELECT event_id, CAST(malformed AS INT) AS malformed,
         CASE WHEN malformed THEN 'not json' END AS kept_text, {STRICT_BRANCH} AS branch, {ERROR} AS error
         FROM mfixed""",
-    "dirty_document_branches": f"""{WITH}, typed AS (
+    "dirty_document_branches": f"""{WITH}, dated AS (
+          SELECT * REPLACE (CASE WHEN event_id % 59 = 0 OR event_id % 61 <> 0 THEN tpep_pickup_datetime END AS tpep_pickup_datetime)
+          FROM mfixed), typed AS (
           SELECT * REPLACE (CASE WHEN event_id % 59 <> 0 THEN ABS(fare_amount) END AS fare_amount,
             CASE WHEN event_id % 59 <> 0 THEN total_amount END AS total_amount,
             CASE WHEN event_id % 59 <> 0 THEN passenger_count ELSE 0 END AS passenger_count,
-            CASE WHEN event_id % 59 <> 0 THEN RateCodeID ELSE 0 END AS RateCodeID) FROM mfixed)
+            CASE WHEN event_id % 59 <> 0 THEN RateCodeID ELSE 0 END AS RateCodeID) FROM dated)
         SELECT 'text' AS parse, {STRICT_BRANCH} AS branch, COUNT(*) AS rows, {_cents('fare_amount')} AS sum_fare
-        FROM mfixed GROUP BY 1, 2
+        FROM dated GROUP BY 1, 2
         UNION ALL
         SELECT 'typed', {BRANCH}, COUNT(*), {_cents('fare_amount')} FROM typed GROUP BY 1, 2""",
     "event_documents": f"""{WITH} SELECT '{{"index":{{}}}}' AS action, 'INFO' AS level, 'record accepted' AS message,
@@ -284,6 +297,39 @@ ORACLE: dict[str, str] = {
     "unknown_keys": "SELECT event_id, UNNEST(json_keys(props)) AS property FROM events",
     "contract_in_force": f"""{WITH} SELECT event_id, '1.3.0' AS schema_version FROM trips
         WHERE tpep_pickup_datetime >= TIMESTAMP '2024-01-10 00:00:00'""",
+    "contract_versions": """WITH e AS (SELECT *, CASE WHEN event_id % 41 <> 0 THEN ts END AS t FROM events), v AS (
+          SELECT *, CASE WHEN t >= TIMESTAMP '2024-01-20' THEN '2.0.0' WHEN t >= TIMESTAMP '2024-01-12 06:30:00' THEN '1.1.0'
+            WHEN t >= TIMESTAMP '2024-01-05' THEN '1.0.0' END AS schema_version FROM e)
+        SELECT event_id, schema_version, CASE schema_version
+          WHEN '1.0.0' THEN concat_ws(',', CASE WHEN user_id < 1 THEN 'user_id:minimum' END,
+            CASE WHEN event_type NOT IN ('click', 'view', 'error', 'signup') THEN 'event_type:enum' END,
+            CASE WHEN value > 150 THEN 'value:maximum' END)
+          WHEN '1.1.0' THEN concat_ws(',', CASE WHEN event_type NOT IN ('click', 'view') THEN 'event_type:enum' END,
+            CASE WHEN value > 50 THEN 'value:maximum' END)
+          WHEN '2.0.0' THEN concat_ws(',', CASE WHEN user_id < 5 THEN 'user_id:minimum' END,
+            CASE WHEN value < 20 THEN 'value:minimum' END) END AS error FROM v""",
+    "contract_document_versions": """WITH d AS (SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-17 12:00:00' THEN '2'
+            WHEN ts >= TIMESTAMP '2024-01-03' THEN '1' END AS schema_version,
+          event_id % 13 <> 0 AND event_id % 17 = 0 AS odd,
+          CASE WHEN event_id % 13 <> 0 AND event_id % 17 <> 0 THEN CAST(props ->> '$.k' AS INT) END AS k FROM events)
+        SELECT event_id, schema_version, CASE WHEN schema_version IS NULL THEN NULL WHEN odd THEN 'not_an_object'
+          WHEN schema_version = '1' THEN concat_ws(',', CASE WHEN k < 3 THEN 'k:minimum' END, CASE WHEN k > 80 THEN 'k:maximum' END)
+          ELSE concat_ws(',', CASE WHEN k < 3 THEN 'k:minimum' END, CASE WHEN k > 50 THEN 'k:maximum' END,
+            CASE WHEN k IS NULL THEN 'k:required' END, 'note:required') END AS error FROM d""",
+    "table_constraints_processed": _listed("event_id", {
+        "id:required": "event_id % 199 = 0",
+        "message_id:required": "event_id % 211 = 0",
+        "topic:required": "event_id % 31 = 0",
+        "topic:length": "event_id % 31 <> 0 AND length(event_type) * user_id > 255",
+        "partition:required": "event_id % 53 = 0",
+        "offset:required": "event_id % 223 = 0",
+    }, "events"),
+    "table_constraints_failed": _listed("event_id AS id", {
+        "topic:length": "length(event_type) * user_id > 255",
+        "offset:required": "event_id % 227 = 0",
+        "error:required": "event_id % 19 = 0",
+        "retry_count:required": "event_id % 23 = 0",
+    }, "events"),
     "table_constraints": _listed("event_id AS id", {
         "message_id:required": "event_id % 211 = 0",
         "topic:length": "length(event_type) * user_id > 255",
@@ -387,6 +433,15 @@ ORACLE: dict[str, str] = {
     "stream_late_rows": """SELECT event_id, CASE WHEN event_id % 7 <= 3 THEN 'in_time' ELSE 'late' END AS stored_in
         FROM events""",
     "stream_dedupe": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "binary_envelopes": f"""{WITH}, bytes AS (SELECT *, event_id % 7 = 0 OR event_id % 11 = 0 AS broken FROM mfixed)
+        SELECT event_id, CAST(malformed OR broken AS INT) AS malformed, 1 AS same,
+        CASE WHEN event_id % 7 = 0 THEN 'C3FF00' END AS first FROM bytes WHERE broken OR NOT {STRICT_OK}""",
+    "stream_rate_limited": "SELECT 5 AS batches, COUNT(*) AS rows, 0 AS above_limit, COUNT(*) AS stored FROM events",
+    "stream_from_timestamp": "SELECT event_id FROM events WHERE event_id % 2 = 1",
+    "queue_retention": "SELECT event_id, 3 AS removed FROM events",
+    "delivery_outcomes": "SELECT 1 AS queries, COUNT(*) FILTER (WHERE event_id % 10 = 3) AS refused FROM events",
+    "stable_sample": """SELECT event_id, user_id FROM events
+        WHERE CAST('0x' || substr(md5('4|' || user_id), 1, 8) AS UBIGINT) < 429496730""",
     "stream_branch_tables": f"""{WITH} SELECT {IDENTITY} AS message_id, 'trips' AS topic, event_id // 3 AS "offset",
         CASE WHEN {STRICT_OK} THEN 'processed' ELSE 'letters' END AS stored_in FROM mfixed""",
     "stream_event_log": f"""{WITH} SELECT COUNT(*) AS actions, COUNT(*) AS documents, COUNT(*) AS marked

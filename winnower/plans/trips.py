@@ -40,18 +40,18 @@ def trip_columns() -> list[Column]:
         when(223, null).otherwise(later).cast("timestamp").alias("tpep_dropoff_datetime"),
         when(103, null).when(_every(107), -1 - i % 6).otherwise(i % 7).cast("int").alias("passenger_count"),
         when(109, null).when(_every(113), -value).otherwise(value / 10).cast("float").alias("trip_distance"),
-        F.lit(-73.9).cast("float").alias("pickup_longitude"),
-        F.lit(40.7).cast("float").alias("pickup_latitude"),
+        when(179, 181.5).when(_every(181), -200).otherwise(-73.9).cast("float").alias("pickup_longitude"),
+        when(191, 90.5).otherwise(40.7).cast("float").alias("pickup_latitude"),
         when(127, null).when(_every(137), 99).otherwise(i % 6 + 1).cast("int").alias("RateCodeID"),
         when(139, null).when(_every(149), "X").when(i % 50 == 1, "Y").otherwise("N").alias("store_and_fwd_flag"),
-        F.lit(-73.8).cast("float").alias("dropoff_longitude"),
-        F.lit(40.8).cast("float").alias("dropoff_latitude"),
+        when(193, -180.5).when(_every(197), null).otherwise(-73.8).cast("float").alias("dropoff_longitude"),
+        when(199, -91).otherwise(40.8).cast("float").alias("dropoff_latitude"),
         when(151, null).otherwise(F.col("user_id") % 6 + 1).cast("int").alias("payment_type"),
         when(157, null).when(_every(163), -value).otherwise(value).cast("float").alias("fare_amount"),
         F.lit(0.5).cast("float").alias("extra"),
         F.lit(0.5).cast("float").alias("mta_tax"),
-        F.lit(0.0).cast("float").alias("tip_amount"),
-        F.lit(0.0).cast("float").alias("tolls_amount"),
+        when(227, -0.5).when(_every(229), null).otherwise(value / 5).cast("float").alias("tip_amount"),
+        when(233, -2).otherwise(0).cast("float").alias("tolls_amount"),
         F.lit(0.3).cast("float").alias("improvement_surcharge"),
         when(167, null).when(_every(173), -value).otherwise(value + 1.3).cast("float").alias("total_amount"),
         when(3, (i % 5).cast("int")).alias("retry_count"),
@@ -99,7 +99,11 @@ def envelopes(events: DataFrame) -> DataFrame:
 
 
 def dirty_documents(events: DataFrame) -> DataFrame:
-    """Messages in which every 59th document holds all its values as text, the fare with a currency sign."""
+    """Messages in which every 59th document holds all its values as text, the fare with a currency sign.
+
+    Every 61st of the others has a pickup that is no moment.
+    """
+    no_moment = F.regexp_replace(to_document(F.col("trip")), '"tpep_pickup_datetime":"[^"]*"', '"tpep_pickup_datetime":"2024-13-45 soon"')
     as_text = F.struct(*[
         (F.concat(F.lit("$"), F.col(f"trip.{n}")) if n == "fare_amount" else F.col(f"trip.{n}").cast("string")).alias(n)
         for n in TRIP.names
@@ -109,6 +113,7 @@ def dirty_documents(events: DataFrame) -> DataFrame:
         "event_id",
         F.when(_every(97), F.lit("not json"))
         .when(_every(59), to_document(as_text))
+        .when(_every(61), no_moment)
         .otherwise(to_document(F.col("trip"))).alias("value"),
         F.lit(None).cast("string").alias("key"),
         F.lit("trips").alias("topic"),

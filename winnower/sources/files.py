@@ -117,6 +117,16 @@ def describe_frame(df: DataFrame, sample: int = 5) -> tuple[str, DataFrame]:
     return df.schema.treeString(), df.limit(sample)
 
 
+def stable_sample(df: DataFrame, keys: Sequence[str], share: float, seed: int = 0) -> DataFrame:
+    """The rows whose key falls into a share of all keys: the same ones in any file layout, order and run.
+
+    A key is in with all its rows or not at all, and a larger share holds a smaller one. Null keys are one key.
+    """
+    key = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+    place = F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("long")
+    return df.where(place < F.lit(round(share * (1 << 32))))
+
+
 def read_text_objects(spark: SparkSession, path: str) -> DataFrame:
     """One row per object: its path and its whole text. An object must fit in a task's memory."""
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")

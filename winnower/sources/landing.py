@@ -84,7 +84,7 @@ def land_raw(spark: SparkSession, source: str, target: str, formats: Sequence[st
     )
     described.write.parquet(f"{aside}/described")
     described = spark.read.schema(described.schema).parquet(f"{aside}/described")
-    for last in sorted(row.ends for row in described.select("ends").distinct().collect()):
+    for last in sorted(row.ends for row in described.select("ends").distinct().toLocalIterator()):
         _copy(spark, [r.source for r in described.where(F.col("ends") == last).select("source").toLocalIterator()], last, f"{aside}/files")
 
     form = F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1))
@@ -113,7 +113,7 @@ def _copy(spark: SparkSession, paths: Sequence[str], last: str, target: str) ->
 def landed_bytes(spark: SparkSession, target: str) -> DataFrame:
     """The manifest with size and digest of the copies as they are read back, ``stored_size`` and ``stored_sha256``."""
     manifest = landed(spark, target)
-    folders = [_files(_root(target), r.landing) for r in manifest.select("landing").distinct().collect()]
+    folders = [_files(_root(target), r.landing) for r in manifest.select("landing").distinct().toLocalIterator()]
     if not folders:
         return manifest.select("*", F.lit(0).cast("long").alias("stored_size"), F.lit("").alias("stored_sha256"))
     copies = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders).select(
@@ -127,7 +127,7 @@ def landed_bytes(spark: SparkSession, target: str) -> DataFrame:
 def clean_landings(spark: SparkSession, target: str) -> list[int]:
     """Remove landings of which no file is in the newest manifest, when no reader of theirs is left; returns their numbers."""
     numbers = landings(spark, target)
-    used = {r.landing for r in landed(spark, target).select("landing").distinct().collect()} | set(numbers[-1:])
+    used = {r.landing for r in landed(spark, target).select("landing").distinct().toLocalIterator()} | set(numbers[-1:])
     stale = [n for n in numbers if n not in used]
     for n in stale:
         remove_folder(spark, f"{_root(target)}/landing={n:08d}")
@@ -146,7 +146,7 @@ def read_landed_csv(spark: SparkSession, target: str, columns: Sequence[str], en
     """
     files = landed(spark, target).where("format = 'csv'")
     parts = [spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in columns]))]
-    for row in files.select("header").distinct().collect():
+    for row in files.select("header").distinct().toLocalIterator():
         line = bytes(row.header).decode(encoding).removeprefix("﻿").rstrip("\r")
         names = T.StructType([T.StructField(n, T.StringType()) for n in next(csv.reader([line]), [])])
         same = _folders(spark, target, files.where(F.col("header") == F.lit(row.header)))

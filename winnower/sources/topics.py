@@ -7,17 +7,19 @@ every destination.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import UTC, datetime, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from winnower.operators.messages import ENVELOPE
-from winnower.session import is_committed, move_folder, streaming_query_id
+from winnower.operators.messages import ENVELOPE, open_envelope
+from winnower.session import folder_names, is_committed, move_folder, remove_folder, streaming_query_id
 
 # How the publisher talks to the broker.
 PRODUCER_OPTIONS: Mapping[str, str] = {
@@ -26,6 +28,10 @@ PRODUCER_OPTIONS: Mapping[str, str] = {
     "kafka.retries": "5",
     "kafka.compression.type": "lz4",
     "kafka.linger.ms": "500",
+    # This client counts bytes where others count messages: 100,000 messages of 1 KB wait at most, and a batch is as
+    # large as a request that brokers take by default.
+    "kafka.batch.size": "1048576",
+    "kafka.buffer.memory": "104857600",
 }
 
 
@@ -66,11 +72,11 @@ class KafkaTopics:
         return {"kafka.bootstrap.servers": self.bootstrap, **self.client, **self.producer}
 
     def read_stream(self, spark: SparkSession, topic: str) -> DataFrame:
-        return _as_envelope(spark.readStream.format("kafka").options(**self.source_options(topic)).load())
+        return open_envelope(spark.readStream.format("kafka").options(**self.source_options(topic)).load())
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         options = {k: v for k, v in self.source_options(topic).items() if k != "maxOffsetsPerTrigger"}
-        return _as_envelope(spark.read.format("kafka").options(**options).load())
+        return open_envelope(spark.read.format("kafka").options(**options).load())
 
     def write(self, outbound: DataFrame, producer: str = "publish") -> None:
         outbound.select("key", "value", "topic").write.format("kafka").options(**self.sink_options()).save()
@@ -96,6 +102,10 @@ class FileTopics:
     root: str
     format: str = "parquet"
     max_files_per_trigger: int | None = None
+    max_bytes_per_trigger: int | None = None
+    # Milliseconds since the epoch; messages published before are passed over. A read does not open files finished
+    # before it; a stream, for which Spark's readers lack that, opens them once.
+    starting_timestamp: int | None = None
 
     def _pattern(self, topic: str) -> str:
         return f"{self.root}/*/*/*/topic={topic}"
@@ -115,12 +125,26 @@ class FileTopics:
         reader = spark.readStream.schema(self._stored).format(self.format)
         if self.max_files_per_trigger is not None:
             reader = reader.option("maxFilesPerTrigger", self.max_files_per_trigger)
-        return self._envelope(reader.load(self._pattern(topic)), topic)
+        if self.max_bytes_per_trigger is not None:
+            reader = reader.option("maxBytesPerTrigger", self.max_bytes_per_trigger)
+        return self._envelope(self._from_start(reader.load(self._pattern(topic))), topic)
+
+    def _since(self, reader):
+        """A file is finished after the moment its messages carry, so an older file holds older messages only."""
+        if self.starting_timestamp is None:
+            return reader
+        second = datetime.fromtimestamp(self.starting_timestamp // 1000, UTC) - timedelta(seconds=1)
+        return reader.option("modifiedAfter", second.strftime("%Y-%m-%dT%H:%M:%S")).option("timeZone", "UTC")
+
+    def _from_start(self, frame: DataFrame) -> DataFrame:
+        if self.starting_timestamp is None:
+            return frame
+        return frame.where(F.col("timestamp") >= F.timestamp_millis(F.lit(self.starting_timestamp)))
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         """An empty frame when nothing was written to the topic yet."""
         try:
-            frame = spark.read.schema(self._stored).format(self.format).load(self._pattern(topic))
+            frame = self._from_start(self._since(spark.read.schema(self._stored).format(self.format)).load(self._pattern(topic)))
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -138,6 +162,38 @@ class FileTopics:
         stamped.write.partitionBy("topic").format(self.format).save(aside)
         move_folder(outbound.sparkSession, aside, self._folder(producer, run, batch))
 
+    def files(self, spark: SparkSession, topic: str) -> DataFrame:
+        """Path and time of the files of a topic; nothing of them is read."""
+        listing = spark.read.format("binaryFile").option("pathGlobFilter", "part-*")
+        try:
+            frame = listing.load(self._pattern(topic))
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], "path string, modificationTime timestamp")
+        return frame.select("path", "modificationTime")
+
+    def clean(self, spark: SparkSession, topic: str, checkpoints: Sequence[str], before: datetime) -> int:
+        """Remove the batches of a topic that are older than a moment and that every reader has finished; returns how many.
+
+        ``checkpoints`` are those of all streaming queries that read the topic. What a query has taken up, but not
+        committed, it may read again, so only files of its committed batches count. A batch goes when all its files can.
+        """
+        read = [finished_files(spark, c).withColumn("reader", F.lit(n)) for n, c in enumerate(checkpoints)]
+        if not read:
+            return 0
+        finished = reduce(DataFrame.union, read).groupBy("path").agg(F.count_distinct("reader").alias("readers"))
+        files = self.files(spark, topic).withColumn("path", _one_slash(F.col("path")))
+        old = F.col("modificationTime") < F.lit(before)
+        known = F.coalesce(F.col("readers"), F.lit(0)) == len(checkpoints)
+        folders = files.join(finished, "path", "left").groupBy(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder"))
+        gone = folders.agg(F.bool_and(old & known).alias("done")).where("done").select("folder")
+        removed = 0
+        for row in gone.toLocalIterator():
+            remove_folder(spark, row.folder)
+            removed += 1
+        return removed
+
     def write_stream(self, outbound: DataFrame, producer: str) -> DataStreamWriter:
         def write_batch(rows: DataFrame, batch: int) -> None:
             run = streaming_query_id(rows.sparkSession)
@@ -147,9 +203,22 @@ class FileTopics:
         return outbound.writeStream.foreachBatch(write_batch).outputMode("append")
 
 
-Topics = KafkaTopics | FileTopics
+def finished_files(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Paths of the files that a file stream has read in batches it has committed, from the logs in its checkpoint."""
+    done = [int(name) for name in folder_names(spark, f"{checkpoint}/commits/*") if name.isdigit()]
+    if not done:
+        return spark.createDataFrame([], "path string")
+    lines = spark.read.text(f"{checkpoint}/sources/0").where(F.col("value").startswith("{"))
+    entry = F.from_json("value", "path string, batchId long")
+    read = lines.select(entry.alias("e")).where(F.col("e.batchId") <= max(done))
+    # The log escapes paths as addresses, in which a plus is a plus.
+    decoded = F.url_decode(F.replace("e.path", F.lit("+"), F.lit("%2B")))
+    return read.select(_one_slash(decoded).alias("path")).distinct()
 
 
-def _as_envelope(frame: DataFrame) -> DataFrame:
-    return frame.withColumns({"key": F.col("key").cast("string"), "value": F.col("value").cast("string")})
+def _one_slash(path: Column) -> Column:
+    """``file:///a`` and ``file:/a`` are one path."""
+    return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):///", "$1:/")
 
+
+Topics = KafkaTopics | FileTopics

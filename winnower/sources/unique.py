@@ -51,7 +51,7 @@ class UniqueTable:
         if rows is None:
             return none
         hits = bloom.may_contain(keys, self.key, filters, ["filed"], self.blocks)
-        days = [row.filed for row in hits.select("filed").distinct().collect()]
+        days = [row.filed for row in hits.select("filed").distinct().toLocalIterator()]
         if not days:
             return none
         candidates = rows.where(F.col("filed").isin(days)).select(self.key, "filed")

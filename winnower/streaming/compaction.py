@@ -8,7 +8,7 @@ holds the days that changed and a manifest that says which version holds each da
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +45,7 @@ def _newest(spark: SparkSession, root: str, part: str, schema: str) -> DataFrame
     return spark.read.schema(schema).parquet(f"{_version(root, numbers[-1])}/_{part}")
 
 
-def _days(spark: SparkSession, root: str, manifest: Sequence) -> DataFrame:
+def _days(spark: SparkSession, root: str, manifest: Iterable) -> DataFrame:
     """Rows of the days of a manifest, each from the version that holds it."""
     paths = [f"{_version(root, r.version)}/part=rows/filed={r.filed}" for r in manifest]
     if not paths:
@@ -55,7 +55,7 @@ def _days(spark: SparkSession, root: str, manifest: Sequence) -> DataFrame:
 
 def read(spark: SparkSession, root: str) -> DataFrame:
     """The letters as of the last compaction, one per message; empty before the first."""
-    return _days(spark, root, _newest(spark, root, "manifest", MANIFEST).collect()).select(*_LETTER.names)
+    return _days(spark, root, _newest(spark, root, "manifest", MANIFEST).toLocalIterator()).select(*_LETTER.names)
 
 
 def _locate(spark: SparkSession, root: str, keys: DataFrame, manifest: Sequence) -> DataFrame:
@@ -65,13 +65,13 @@ def _locate(spark: SparkSession, root: str, keys: DataFrame, manifest: Sequence)
         return none
     filters = spark.read.option("basePath", root).parquet(f"{root}/version=*/part=filters").select("filed", "block", "bitmap")
     hits = bloom.may_contain(keys, KEY, filters, ["filed"], BLOCKS)
-    days = {row.filed for row in hits.select("filed").distinct().collect()}
+    days = {row.filed for row in hits.select("filed").distinct().toLocalIterator()}
     stored = _days(spark, root, [r for r in manifest if r.filed in days]).select(KEY, "filed")
     return stored.join(hits, [KEY, "filed"], "left_semi")
 
 
 def _new_batches(spark: SparkSession, folder: str, source: str, done: DataFrame) -> list[str]:
-    known = {row.name for row in done.where(F.col("source") == source).collect()}
+    known = {row.name for row in done.where(F.col("source") == source).toLocalIterator()}
     return [name for name in committed_folders(spark, f"{folder}/batch=*") if name not in known]
 
 
@@ -94,7 +94,7 @@ def compact(spark: SparkSession, letters: str, transitions: str, root: str) -> l
         return None
     numbers = versions(spark, root)
     number = numbers[-1] + 1 if numbers else 1
-    manifest = _newest(spark, root, "manifest", MANIFEST).collect()
+    manifest = list(_newest(spark, root, "manifest", MANIFEST).toLocalIterator())
     aside = f"{root}/_writing/{uuid.uuid4().hex}"
 
     def stage(df: DataFrame, name: str, partitions: Sequence[str] = ()) -> DataFrame:
@@ -112,7 +112,7 @@ def compact(spark: SparkSession, letters: str, transitions: str, root: str) -> l
     filed = F.coalesce(F.to_date("timestamp"), F.lit("1970-01-01").cast("date"))
     new = came.join(there, KEY, "left_anti").select(*_LETTER.names, F.lit(None).cast("timestamp").alias("moved_at"), filed.alias("filed"))
     new = stage(new, "_new")
-    touched = {r.filed for r in there.join(latest, KEY, "left_semi").select("filed").union(new.select("filed")).distinct().collect()}
+    touched = {r.filed for r in there.join(latest, KEY, "left_semi").select("filed").union(new.select("filed")).distinct().toLocalIterator()}
     before = _days(spark, root, [r for r in manifest if r.filed in touched]).unionByName(new)
 
     told = latest.select(KEY, F.col("status").alias("_status"), F.col("updated_at").alias("_at"))
@@ -138,7 +138,7 @@ def compact(spark: SparkSession, letters: str, transitions: str, root: str) -> l
 
 def clean(spark: SparkSession, root: str) -> list[int]:
     """Remove the rows of versions that no day of the newest one is read from; their filters stay."""
-    used = {r.version for r in _newest(spark, root, "manifest", MANIFEST).collect()}
+    used = {r.version for r in _newest(spark, root, "manifest", MANIFEST).toLocalIterator()}
     stale = [n for n in versions(spark, root) if n not in used and folder_names(spark, f"{_version(root, n)}/part=rows")]
     for n in stale:
         remove_folder(spark, f"{_version(root, n)}/part=rows")

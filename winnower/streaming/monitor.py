@@ -91,7 +91,9 @@ def reported_backlog(spark: SparkSession, folder: str, query: str) -> int | None
     try:
         rows = progress_table(spark, folder).where(F.col("query") == query)
         last = rows.orderBy(F.desc("stamp")).select("offsets").first()
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
     sources = json.loads(last["offsets"]) if last else []
     known = [s for s in sources if s["end"] and s["latest"]]
@@ -125,5 +127,15 @@ def watch(
         recorder.flush(spark, folder)
 
 
+def admissions(spark: SparkSession, folder: str, query: str, limit: int) -> DataFrame:
+    """Per run of a query: its micro-batches with input, the rows they took in, and how many took more than the limit."""
+    rows = progress_table(spark, folder).where((F.col("query") == query) & (F.col("input_rows") > 0))
+    batches = rows.groupBy("run_id", "batch_id").agg(F.max("input_rows").alias("input_rows"))
+    return batches.groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("input_rows").alias("rows"),
+        F.max("input_rows").alias("largest"), F.count_if(F.col("input_rows") > limit).alias("above_limit"),
+    )
+
+
 def progress_table(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(PROGRESS_SCHEMA).parquet(folder)

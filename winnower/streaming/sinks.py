@@ -107,18 +107,27 @@ class DeliveryError(RuntimeError):
 
 
 def refused_lines(body: bytes, reply: bytes | None) -> tuple[bytes, list[str]]:
-    """The part of a body whose items the reply names as failed, and why. No reply to read means that all went through.
+    """The part of a body that did not go through, and why. A sender that returns no reply at all vouches for the body.
 
-    A body is pairs of an action line and a document line; the reply lists the items in the same order.
+    A body is pairs of an action line and a document line; the reply lists the items in the same order. A reply that
+    cannot be read, or that speaks of errors and does not list every item, says nothing about any item, so the whole
+    body counts as refused.
     """
+    if reply is None:
+        return b"", []
     try:
-        answer = json.loads(reply) if reply else {}
+        answer = json.loads(reply)
     except ValueError:
-        answer = {}
-    if not isinstance(answer, dict) or not answer.get("errors"):
+        answer = None
+    if not isinstance(answer, dict):
+        return body, ["the reply is no JSON object"]
+    if not answer.get("errors"):
         return b"", []
     lines = body.splitlines(keepends=True)
-    outcomes = [next(iter(item.values()), {}) for item in answer.get("items", [])]
+    items = answer.get("items")
+    if not isinstance(items, list) or 2 * len(items) != len(lines) or not all(isinstance(item, dict) for item in items):
+        return body, ["the reply does not list every item"]
+    outcomes = [next(iter(item.values()), {}) for item in items]
     failed = [k for k, outcome in enumerate(outcomes) if outcome.get("error")]
     return b"".join(lines[2 * k] + lines[2 * k + 1] for k in failed), [str(outcomes[k]["error"]) for k in failed]
 
