@@ -15,19 +15,19 @@ ROW = "message_id string, offset long, day date"
 
 def test_filters_find_every_key_and_few_others(spark):
     stored = spark.range(20_000).select(F.concat(F.lit("k"), "id").alias("key"), (F.col("id") % 3).alias("g"))
-    filters = bloom.filter_rows(stored, "key", ["g"], 8)
-    assert filters.count() == 24 and all(len(r.bitmap) == bloom.BITS // 8 for r in filters.collect())
+    filters = bloom.filter_rows(stored, "key", ["g"])
+    assert {r.blocks for r in filters.collect()} == {4} and filters.count() == 12 and all(len(r.bitmap) == bloom.BITS // 8 for r in filters.collect())
     asked = spark.range(40_000).select(F.concat(F.lit("k"), "id").alias("key")).union(spark.sql("SELECT CAST(NULL AS STRING)"))
-    hits = bloom.may_contain(asked, "key", filters, ["g"], 8)
+    hits = bloom.may_contain(asked, "key", filters, ["g"])
     assert hits.join(stored, ["key", "g"]).count() == 20_000
     assert hits.count() < 20_000 + 0.02 * 3 * 40_000
     twice = filters.union(filters)
-    assert bloom.may_contain(asked, "key", twice, ["g"], 8).count() == hits.count()
+    assert bloom.may_contain(asked, "key", twice, ["g"]).count() == hits.count()
 
 
 def test_each_key_is_stored_once_over_batches(spark, tmp_path):
     rng = random.Random(3)
-    table = UniqueTable(str(tmp_path), blocks=4)
+    table = UniqueTable(str(tmp_path))
     days = [None, *[date(2024, 1, d) for d in range(1, 8)]]
     seen: dict[str, int] = {}
     nameless = 0
@@ -56,7 +56,7 @@ def test_a_hot_key_is_one_row(spark, tmp_path):
 
 
 def test_days_that_cannot_hold_a_key_are_not_read(spark, tmp_path):
-    table = UniqueTable(str(tmp_path), blocks=4)
+    table = UniqueTable(str(tmp_path))
     table.append(spark.createDataFrame([(f"old{k}", k, date(2024, 1, 1)) for k in range(20)], ROW), "a")
     table.append(spark.createDataFrame([(f"new{k}", k, date(2024, 1, 2)) for k in range(20)], ROW), "b")
     for path in Path(tmp_path).glob("batches/batch=a/part=rows/filed=2024-01-01/*.parquet"):

@@ -1,7 +1,8 @@
 """Bloom filters as rows: which groups of stored rows may hold a key.
 
-A key falls into one of a fixed number of blocks, and sets a few bits of that block's bitmap. A filter is a row per group
-and block, built by an aggregate that Spark combines in each task, and asked by a join on the block.
+A group's filter has as many blocks as its keys need. A key falls into one block, and sets a few bits of that block's
+bitmap. A filter is a row per group and block, built by an aggregate that Spark combines in each task, and asked by a join
+on the block. Groups are few, such as days.
 """
 
 from __future__ import annotations
@@ -13,24 +14,35 @@ from pyspark.sql import functions as F
 
 #: Bits of a bitmap that Spark's bitmap functions build.
 BITS = 32_768
-#: Bits that a key sets. With ten bits for each key of a block, one in a hundred foreign keys seems to be there.
+#: Bits that a key sets.
 PROBES = 4
+#: Keys that a block is meant for: ten bits each, so that one foreign key in a hundred seems to be there.
+KEYS = 3_000
 
 
-def block_of(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+def _block(key: Column, blocks: Column) -> Column:
+    return F.pmod(F.xxhash64(key), blocks).cast("int")
 
 
 def _position(key: Column, probe: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(probe + 1)), F.lit(BITS))
 
 
-def filter_rows(df: DataFrame, key: str, groups: Sequence[str], blocks: int) -> DataFrame:
-    """(groups, block, bitmap) of the keys of each group; a null key is in none."""
-    known = df.where(F.col(key).isNotNull())
+def filter_rows(df: DataFrame, key: str, groups: Sequence[str]) -> DataFrame:
+    """(groups, blocks, block, bitmap) of the keys of each group; a null key is in none.
+
+    The number of blocks is a power of two that suits the group's rows, so filters of all groups have few sizes.
+    """
+    known = df.where(F.col(key).isNotNull()).select(key, *groups)
+    needed = F.ceil(F.log2(F.greatest(F.count(F.lit(1)) / KEYS, F.lit(1.0))))
+    sizes = known.groupBy(*groups).agg(needed.cast("int").alias("_power"))
+    sizes = sizes.select(*[F.col(g).alias(f"_{g}") for g in groups], F.expr("shiftleft(1, _power)").alias("blocks"))
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in groups]
     positions = F.array(*[_position(F.col(key), n) for n in range(PROBES)])
-    bits = known.select(*groups, block_of(F.col(key), blocks).alias("block"), F.explode(positions).alias("_position"))
-    return bits.groupBy(*groups, "block").agg(F.bitmap_construct_agg("_position").alias("bitmap"))
+    bits = known.join(F.broadcast(sizes), same).select(
+        *groups, "blocks", _block(F.col(key), F.col("blocks")).alias("block"), F.explode(positions).alias("_position")
+    )
+    return bits.groupBy(*groups, "blocks", "block").agg(F.bitmap_construct_agg("_position").alias("bitmap"))
 
 
 def _has(bitmap: Column, position: Column) -> Column:
@@ -38,13 +50,15 @@ def _has(bitmap: Column, position: Column) -> Column:
     return F.getbit(byte, (position % 8).cast("int")) == 1
 
 
-def may_contain(keys: DataFrame, key: str, filters: DataFrame, groups: Sequence[str], blocks: int) -> DataFrame:
+def may_contain(keys: DataFrame, key: str, filters: DataFrame, groups: Sequence[str]) -> DataFrame:
     """(key, groups) for each distinct key and each group whose filter does not rule it out.
 
     A key that is there is always found. Filters may hold several rows of a group and block.
     """
-    asked = keys.where(F.col(key).isNotNull()).select(key).distinct().withColumn("block", block_of(F.col(key), blocks))
-    hits = asked.join(filters, "block")
+    sizes = [row.blocks for row in filters.select("blocks").distinct().toLocalIterator()]
+    asked = keys.where(F.col(key).isNotNull()).select(key).distinct()
+    asked = asked.withColumn("blocks", F.explode(F.array(*[F.lit(n) for n in sizes]).cast("array<int>")))
+    hits = asked.withColumn("block", _block(F.col(key), F.col("blocks"))).join(filters, ["blocks", "block"])
     for n in range(PROBES):
         hits = hits.where(_has(F.col("bitmap"), _position(F.col(key), n)))
     return hits.select(key, *groups).distinct()

@@ -767,7 +767,7 @@ def unique_across_batches(spark: SparkSession, folder: str) -> DataFrame:
     for n in range(3):
         rows.where(part != n).union(rows.where((part == (n + 1) % 3) & (F.col("event_id") % 5 == 0))).write.parquet(f"{base}/in/{n}")
     arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
-    table = UniqueTable(f"{base}/table", key="event_id", blocks=16)
+    table = UniqueTable(f"{base}/table", key="event_id")
     jobs.start_batches(arriving, sinks.unique_table(table), "unique", f"{base}/state", once=True).awaitTermination()
     return table.read(spark).select("event_id", "user_id", "value")
 
@@ -897,7 +897,7 @@ def status_compaction(spark: SparkSession, folder: str) -> DataFrame:
     repairs = {n: {"RateCodeID": usual_code} for n in (1, 2, 3)}
     for half in (0, 1):
         rows = tables.with_day(retry.dead_letter_rows(split), DEAD_LETTER_TABLE).where(F.col("offset") % 2 == half)
-        rows.write.partitionBy(*tables.PARTITIONS[DEAD_LETTER_TABLE.name]).parquet(f"{folders.letters}/batch={half}")
+        rows.hint("rebalance", "day").write.partitionBy(*tables.PARTITIONS[DEAD_LETTER_TABLE.name]).parquet(f"{folders.letters}/batch={half}")
         jobs.current_letters(spark, folders)
         # The letters of the first half are tried again, then those of the second and once more those of the first.
         letters = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{folders.letters}/batch=0"))

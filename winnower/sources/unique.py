@@ -23,13 +23,12 @@ class UniqueTable:
     """Parquet rows by batch and day, with Bloom filters of each day's keys beside them.
 
     A batch goes against the filters first, so only days that may hold one of its keys are read, and of those only the
-    key column. Filters of ``blocks`` bitmaps a day and batch suit 3,000 keys a block.
+    key column.
     """
 
     root: str
     key: str = "message_id"
     order: tuple[str, ...] = ("timestamp", "offset")
-    blocks: int = 256
 
     def _batch(self, name: str) -> str:
         return f"{self.root}/batches/batch={name}"
@@ -50,7 +49,7 @@ class UniqueTable:
         rows, filters = self.read(spark), self._stored(spark, "filters")
         if rows is None:
             return none
-        hits = bloom.may_contain(keys, self.key, filters, ["filed"], self.blocks)
+        hits = bloom.may_contain(keys, self.key, filters, ["filed"])
         days = [row.filed for row in hits.select("filed").distinct().toLocalIterator()]
         if not days:
             return none
@@ -73,8 +72,9 @@ class UniqueTable:
         once = first_per_key(batch.where(F.col(self.key).isNotNull()), [self.key], [c for c in self.order if c in batch.columns])
         arrived = _stage(once.unionByName(keyless).withColumn("filed", filed), f"{aside}/arrived")
         known = self.locate(arrived).select(self.key)
-        new = _stage(arrived.join(known, self.key, "left_anti").select(*arrived.columns), f"{aside}/part=rows", ["filed"])
-        bloom.filter_rows(new, self.key, ["filed"], self.blocks).write.partitionBy("filed").parquet(f"{aside}/part=filters")
+        new = arrived.join(known, self.key, "left_anti").select(*arrived.columns).hint("rebalance", "filed")
+        new = _stage(new, f"{aside}/part=rows", ["filed"])
+        bloom.filter_rows(new, self.key, ["filed"]).hint("rebalance", "filed").write.partitionBy("filed").parquet(f"{aside}/part=filters")
         remove_folder(spark, f"{aside}/arrived")
         move_folder(spark, aside, self._batch(name))
 

@@ -23,8 +23,6 @@ TRANSITION = "message_id string, status string, updated_at timestamp"
 BATCHES = "source string, name string"
 MANIFEST = "filed date, version long"
 KEY = "message_id"
-#: Bitmaps of a day's filter in a version: they suit 3,000 letters each.
-BLOCKS = 256
 
 _LETTER = DEAD_LETTER_TABLE.struct()
 CURRENT = T.StructType([*_LETTER.fields, T.StructField("moved_at", T.TimestampType()), T.StructField("filed", T.DateType())])
@@ -63,8 +61,8 @@ def _locate(spark: SparkSession, root: str, keys: DataFrame, manifest: Sequence)
     none = spark.createDataFrame([], f"{KEY} string, filed date")
     if not manifest or not folder_names(spark, f"{root}/version=*/part=filters/filed=*"):
         return none
-    filters = spark.read.option("basePath", root).parquet(f"{root}/version=*/part=filters").select("filed", "block", "bitmap")
-    hits = bloom.may_contain(keys, KEY, filters, ["filed"], BLOCKS)
+    filters = spark.read.option("basePath", root).parquet(f"{root}/version=*/part=filters").select("filed", "blocks", "block", "bitmap")
+    hits = bloom.may_contain(keys, KEY, filters, ["filed"])
     days = {row.filed for row in hits.select("filed").distinct().toLocalIterator()}
     stored = _days(spark, root, [r for r in manifest if r.filed in days]).select(KEY, "filed")
     return stored.join(hits, [KEY, "filed"], "left_semi")
@@ -122,8 +120,8 @@ def compact(spark: SparkSession, letters: str, transitions: str, root: str) -> l
         "updated_at": F.when(newer, F.col("_at")).otherwise(F.col("updated_at")),
         "moved_at": F.when(newer, F.col("_at")).otherwise(F.col("moved_at")),
     }).select(*CURRENT.names)
-    moved.write.partitionBy("filed").parquet(f"{aside}/part=rows")
-    bloom.filter_rows(new, KEY, ["filed"], BLOCKS).write.partitionBy("filed").parquet(f"{aside}/part=filters")
+    moved.hint("rebalance", "filed").write.partitionBy("filed").parquet(f"{aside}/part=rows")
+    bloom.filter_rows(new, KEY, ["filed"]).hint("rebalance", "filed").write.partitionBy("filed").parquet(f"{aside}/part=filters")
     known = there.select(KEY).union(new.select(KEY))
     latest.join(known, KEY, "left_anti").write.parquet(f"{aside}/_waiting")
     days = [(r.filed, r.version) for r in manifest if r.filed not in touched] + [(day, number) for day in sorted(touched)]
