@@ -220,3 +220,15 @@ def test_digests_follow_from_outputs(table):
     r = bpe.encode(table).where("size(ids) > 3").select("ids", F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("h")).first()
     assert r["h"] == hashlib.sha256(" ".join(map(str, r["ids"])).encode()).hexdigest()
     assert len(COUNTS) == 10
+
+
+def test_words_of_a_kind_that_sums_of_powers_cannot_tell_apart(spark):
+    """Thue-Morse words and their complements have equal polynomials modulo 2**64 from some length on."""
+    rows = []
+    for k, power in enumerate((10, 11, 12)):
+        bits = [bin(n).count("1") % 2 for n in range(1 << power)]
+        rows += [(2 * k, "".join("ab"[b] for b in bits)), (2 * k + 1, "".join("ba"[b] for b in bits))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(r["kept"] and r["n_shingles"] == 1 for r in near_dedup(frame).collect())
+    lines = spark.createDataFrame([(0, "\n".join(t for _, t in rows)), (1, "\n".join([rows[0][1]] * 3))], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_dup_lines"] for r in quality_rules(lines).collect()} == {0: 0, 1: 2}

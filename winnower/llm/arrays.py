@@ -9,13 +9,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Bytes of text that are worked on at once, so that the arrays of a chunk stay small.
 CHUNK_BYTES = 1 << 20
 
-#: Odd multiplier of the positional hash, and its inverse modulo 2**64.
+#: Odd multiplier that keeps the order of what is hashed one after the other.
 BASE = np.uint64(0x9E3779B97F4A7C15)
-BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 #: The ASCII white space that separates words: space, and tab to carriage return.
 SPACE = np.zeros(256, dtype=bool)
@@ -25,8 +25,6 @@ SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_powers: dict[int, np.ndarray] = {}
-
 
 def text_column(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a text column; a null is a row of no bytes."""
@@ -70,18 +68,6 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, apart: np.ndarray = SPACE
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def powers(base: np.uint64, count: int) -> np.ndarray:
-    """base**0 .. base**(count - 1) modulo 2**64."""
-    have = _powers.get(int(base))
-    if have is None or len(have) < count:
-        size = 1 << max(16, int(count - 1).bit_length())
-        have = np.full(size, base, dtype=np.uint64)
-        have[0] = 1
-        np.multiply.accumulate(have, out=have)
-        _powers[int(base)] = have
-    return have[:count]
-
-
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64 bits that spreads every input bit."""
     x = x ^ (x >> np.uint64(33))
@@ -93,11 +79,21 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans that depend on their content only."""
-    total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data)), out=total[1:])
-    spans = (total[ends] - total[starts]) * powers(BASE_INVERSE, len(data) + 1)[starts]
-    return mix64(spans + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    """64-bit hashes (xxh3) of byte spans that depend on their content only; spans lie apart from each other, in order.
+
+    Each different span is hashed once a chunk. No structure of the bytes makes two spans collide, which sums of powers
+    modulo 2**64 cannot rule out; by chance a pair does with probability 2**-64.
+    """
+    if not len(starts):
+        return np.zeros(0, np.uint64)
+    edges = np.zeros(len(data) + 1, np.int8)
+    edges[starts] += 1
+    edges[ends] -= 1
+    inside = np.ascontiguousarray(data[np.cumsum(edges[:-1], dtype=np.int8).astype(bool)])
+    bounds = np.concatenate(([0], np.cumsum(ends - starts)))
+    spans = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(inside)]).dictionary_encode()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, spans.dictionary.to_pylist()), np.uint64, len(spans.dictionary))
+    return hashes[spans.indices.to_numpy()]
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,5 +113,5 @@ def shingles(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndar
     for k in range(width):
         step = np.where(have > k, at + k, 0)
         term = words[step] if len(words) else value
-        value = np.where(have > k, value * BASE + term, value)
+        value = np.where(have > k, mix64(value * BASE + term), value)
     return mix64(value + have.astype(np.uint64)), bounds

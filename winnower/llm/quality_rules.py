@@ -64,7 +64,7 @@ def counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     line_first = np.searchsorted(line_row, np.arange(rows + 1))
     out[:, 5] = np.diff(line_first)
 
-    three = mix64((words[:-2] * BASE + words[1:-1]) * BASE + words[2:]) if len(words) > 2 else words[:0]
+    three = mix64(mix64(mix64(words[:-2]) * BASE + words[1:-1]) * BASE + words[2:]) if len(words) > 2 else words[:0]
     for r in range(rows):
         a, b = first[r], first[r + 1]
         own = lines[line_first[r]:line_first[r + 1]]
