@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import random
 
 import corpora
@@ -66,6 +67,7 @@ def test_block_maxima_give_the_exact_neighbours():
         full = np.zeros((70, 12))
         for k, (t, n) in enumerate(vectors):
             full[k, t] = index.weigh(t, n)
+        index = pickle.loads(pickle.dumps(index))
         for k in range(70):
             t, n = vectors[k]
             cosine = np.round(full @ full[k], 9)
