@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnower.llm.exact_names import exact_dedup
-from winnower.llm.near_dedup import near_dedup
+from winnower.llm.near_dedup import NearDedup, near_dedup
 from winnower.llm.packing import pack
 from winnower.llm.quality_rules import quality_rules
 from winnower.llm.repeats import remove_repeats
@@ -35,8 +35,11 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each component of near-duplicates."""
-    return _only(docs, near_dedup(docs).where("kept"))
+    """Keeps the document with the smallest id of each component of texts that share 80 percent of their shingles.
+
+    A pair at the threshold shares no band of five with probability 3e-6.
+    """
+    return _only(docs, near_dedup(docs, NearDedup(percent=80, rows=5)).where("kept"))
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +66,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table documents; each stage's result is a table in the shared folder, read by the next."""
+    """All stages over the table documents; each stage's result is a table in the shared folder, read by the next.
+
+    Repeated rows count once from the exact stage on, and other columns than those of documents do not come out. No
+    documents give no rows.
+    """
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
