@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import corpora
 import corpus_pipeline
 import pytest
@@ -33,7 +35,7 @@ def test_stages_follow_from_each_other(spark, folder, tmp_path):
             assert len(rows) == len(plain) == len({"".join(corpora.WORD.findall(r["text"])) for r in rows})
         if name == "near dedup":
             known = [(r["doc_id"], r["text"]) for r in before if r["doc_id"] is not None]
-            roots = corpora.near_components(known)
+            roots = corpora.near_components(known, 80)
             assert {r["doc_id"] for r in rows if r["doc_id"] is not None} == {i for i, root in roots.items() if i == root}
         if name == "repeated passages":
             gone = corpora.repeated_bytes([r["text"] for r in before])
@@ -53,3 +55,25 @@ def test_stages_follow_from_each_other(spark, folder, tmp_path):
 def test_every_operator_is_registered_once():
     assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLE) <= set(QUERIES)
+
+
+def test_pairs_between_80_and_85_percent_are_near(spark):
+    rng = random.Random(6)
+    rows = []
+    for k in range(40):
+        words = corpora.prose(rng, 120).split(" ")
+        # Each changed word is in five shingles of 116.
+        other = list(words)
+        for at in rng.sample(range(10, 110, 12), 2):
+            other[at] = f"changed{k}x{at}"
+        sets = [corpora.shingle_set(" ".join(w)) for w in (words, other)]
+        share = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+        assert 0.80 <= share < 0.85
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in corpus_pipeline.near_stage(spark, docs, "").collect()} == set(range(0, 80, 2))
+
+
+def test_no_documents(spark, tmp_path):
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
