@@ -156,23 +156,6 @@ class Index:
         self.cells = np.concatenate(([0], np.cumsum(spread, dtype=np.int32))).astype(np.int32)
         self.bounds = np.maximum.reduceat(self.weight, self.first[:-1]) if len(sizes) else np.zeros(0)
 
-    def __getstate__(self) -> dict:
-        """What cannot be computed from the rest: every executor and the driver keep a copy of it on disk."""
-        state = dict(self.__dict__)
-        first, cells = state.pop("first"), state.pop("cells")
-        del state["bounds"]
-        state["sizes"] = np.diff(first).astype(np.min_scalar_type(self.p.block))
-        spread = np.diff(cells)
-        state["spread"] = spread.astype(np.min_scalar_type(int(spread.max(initial=0))))
-        return state
-
-    def __setstate__(self, state: dict) -> None:
-        sizes, spread = state.pop("sizes"), state.pop("spread")
-        self.__dict__.update(state)
-        self.first = np.concatenate(([0], np.cumsum(sizes, dtype=np.int32))).astype(np.int32)
-        self.cells = np.concatenate(([0], np.cumsum(spread, dtype=np.int32))).astype(np.int32)
-        self.bounds = np.maximum.reduceat(self.weight, self.first[:-1]) if len(sizes) else np.zeros(0)
-
     def weigh(self, term: np.ndarray, count: np.ndarray, others: np.ndarray | None = None) -> np.ndarray:
         """Weights of the terms of a text; others: counts of its terms that no example has, which are part of its norm."""
         w = (1 + np.log(count)) * self.idf[term]
