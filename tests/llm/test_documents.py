@@ -19,7 +19,7 @@ from winnower.llm import bpe, packing
 from winnower.llm.exact_names import exact_dedup, normalised
 from winnower.llm.near_dedup import NearDedup, near_dedup
 from winnower.llm.packing import decompose, pack
-from winnower.llm.quality_rules import COUNTS, estimate, posterior, quality_rules
+from winnower.llm.quality_rules import COUNTS, Supervision, estimate, posterior, quality_rules
 from winnower.llm.repeats import Repeats, covered, remove_repeats
 
 
@@ -140,6 +140,84 @@ def test_rules_that_speak_against_different_documents(shares, size):
             assert (post[:rules] < 0.5).all() and (post[rules:rules + 2] > 0.9).all() and post[-1] < 0.5
 
 
+@pytest.mark.parametrize("size", [1000, 10_000, 1_000_000])
+@pytest.mark.parametrize("rare", [1, 2, 3, 5, 100, 10_000])
+def test_verdicts_do_not_depend_on_how_rare_a_pattern_is(size, rare):
+    if rare > size // 10:
+        return
+    # Beside the rest and what one rule objects to, documents that one to eight rules object to.
+    for single in (0.0, 0.02, 0.2):
+        for others in (1, 2):
+            patterns = np.full((10, 8), 2)
+            for k in range(1, 9):
+                patterns[k + 1, :k] = 0
+                patterns[k + 1, k:] = others
+            patterns[1, 7] = 0
+            for k in range(1, 9):
+                number = np.zeros(10)
+                number[0], number[1], number[k + 1] = size * (1 - single) - rare, size * single, rare
+                post = posterior(patterns, *estimate(patterns, number))
+                assert post[0] == 1 and (np.diff(post[2:]) <= 1e-12).all()
+                assert (post[3:] < 0.5).all()
+                # What is rarer than false alarms stays, if the other rules vote for it.
+                if rare <= 0.003 * size and k == 1 and others == 2:
+                    assert post[2] > 0.5
+                if rare >= 0.01 * size and k == 1:  # what is not, goes
+                    assert post[2] < 0.5
+
+
+def test_the_same_shares_give_the_same_verdicts():
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        patterns = rng.choice(3, (12, 8), p=[0.15, 0.15, 0.7])
+        number = rng.integers(1, 1000, 12).astype(float)
+        one = posterior(patterns, *estimate(patterns, number))
+        assert np.allclose(one, posterior(patterns, *estimate(patterns, number * 1000)))
+
+
+def plain_posterior(documents: list[tuple[int, ...]], p: Supervision) -> list[float]:
+    """The same estimation document by document: class 0 is good, the others are (rule, learned)."""
+    size, rules = len(documents), len(documents[0])
+    bad = [(k, learned) for learned in (True, False) for k in range(rules)]
+    belief = []
+    for votes in documents:
+        objectors = [k for k, v in enumerate(votes) if v == 0]
+        belief.append([0.05 if objectors else 1.0, *(0.95 / len(objectors) if learned and k in objectors else 0.0 for k, learned in bad)])
+
+    def heard(c: int, j: int, vote: int) -> float:
+        return sum(b[c] for b, v in zip(belief, documents, strict=True) if v[j] == vote) / size
+
+    for _ in range(p.rounds):
+        alarms = [(heard(0, j, 0) + p.false_alarms) / (heard(0, j, 0) + heard(0, j, 2) + 1) for j in range(rules)]
+        share, accuse = [sum(b[0] for b in belief) / size + p.least], [alarms]
+        for c, (k, learned) in enumerate(bad, 1):
+            share.append(max(sum(b[c] for b in belief) / size - p.cost, 0.0) if learned else p.least)
+            row = []
+            for j in range(rules):
+                if j == k:
+                    row.append((heard(c, j, 0) + 1 - p.false_alarms) / (heard(c, j, 0) + heard(c, j, 2) + 1) if learned else 1 - p.false_alarms)
+                else:
+                    row.append(max((heard(c, j, 0) + p.others * p.weight) / (heard(c, j, 0) + heard(c, j, 2) + p.weight) if learned else p.others, alarms[j]))
+            accuse.append(row)
+        old, belief = belief, []
+        for votes in documents:
+            like = [s * np.prod([{0: a, 1: 1.0, 2: 1 - a}[v] for a, v in zip(row, votes, strict=True)]) for s, row in zip(share, accuse, strict=True)]
+            belief.append([x / sum(like) for x in like] if 0 in votes else [1.0, *[0.0] * len(bad)])
+        if max(abs(x - y) for a, b in zip(old, belief, strict=True) for x, y in zip(a, b, strict=True)) < 1e-9:
+            break
+    return [b[0] for b in belief]
+
+
+def test_patterns_give_what_single_documents_give():
+    rng = np.random.default_rng(6)
+    for _ in range(4):
+        documents = [tuple(map(int, rng.choice(3, 4, p=[0.1, 0.1, 0.8]))) for _ in range(60)]
+        patterns, number = np.unique(np.array(documents), axis=0, return_counts=True)
+        p = Supervision(rounds=60)
+        post = {tuple(map(int, k)): v for k, v in zip(patterns, posterior(patterns, *estimate(patterns, number.astype(float), p)), strict=True)}
+        assert np.allclose([post[d] for d in documents], plain_posterior(documents, p), atol=1e-6)
+
+
 def test_shouted_and_repetitive_texts_leave_the_rest(spark):
     prose = [corpora.prose(random.Random(k), 80) for k in range(400)]
     texts = [*prose[:340], *(" ".join(f"{w} |" for w in t.split()) for t in prose[340:370]), *(t.upper() for t in prose[370:])]

@@ -8,6 +8,7 @@ being good rather than by passing every rule.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,23 @@ OTHER = "n_other"
 
 FEATURES = ", ".join(f"{c} long" for c in (*COUNTS, OTHER))
 
+
+@dataclass(frozen=True)
+class Supervision:
+    """What is expected of the rules beforehand; shares of all documents where nothing else is said."""
+    #: Share of the good documents that a rule objects to.
+    false_alarms: float = 0.001
+    #: Share of a bad class that a rule of another class objects to, and what this weighs.
+    others: float = 0.1
+    weight: float = 0.002
+    #: What a bad class costs, so that rarer votes against are taken for false alarms.
+    cost: float = 0.0005
+    #: Share of what each rule objects to and is not seen often enough for a class: documents that several rules object
+    #: to belong there, however rare they are.
+    least: float = 0.0002
+    rounds: int = 1000
+
+
 _SYMBOL = np.zeros(256, dtype=bool)
 _SYMBOL[[ord(c) for c in SYMBOLS]] = True
 
@@ -140,7 +158,7 @@ def posterior(patterns: np.ndarray, share: np.ndarray, right: np.ndarray) -> np.
     """Probability of each vote pattern's documents being good; an abstention says nothing.
 
     share: of each class, the good one first; right: how often a rule's vote in a class is the one expected there, for
-    good documents (row 0) a vote for, for bad ones a vote against.
+    good documents (row 0) a vote for, for bad ones a vote against. Without a vote against it is one.
     """
     return _classes(patterns, share, right)[:, 0]
 
@@ -150,37 +168,44 @@ def _classes(patterns: np.ndarray, share: np.ndarray, right: np.ndarray) -> np.n
     says = np.concatenate((1 - right[:1], right[1:]))
     odds = against @ np.log(says).T + for_ @ np.log(1 - says).T + np.log(np.maximum(share, 1e-300))
     odds = np.exp(odds - odds.max(1, keepdims=True))
+    # What no rule objects to is good.
+    odds[:, 1:] *= against.any(1, keepdims=True)
+    odds[~against.any(1), 0] = 1
     return odds / odds.sum(1, keepdims=True)
 
 
-def estimate(patterns: np.ndarray, number: np.ndarray, rounds: int = 1000) -> tuple[np.ndarray, np.ndarray]:
+def estimate(patterns: np.ndarray, number: np.ndarray, p: Supervision = Supervision()) -> tuple[np.ndarray, np.ndarray]:
     """Expectation-maximisation over vote patterns.
 
     patterns: a row of votes (0, 1, 2) each; number: how many documents have it. There is a class of good documents and
     for each rule one of bad documents, which that rule speaks against: rules see their own kinds of bad documents only,
-    and one class of all kinds would have to give up the good votes to hold them. Returns the shares of the classes and
-    the rules' accuracies in them. It starts from bad where any rule votes against, as rules rarely speak against prose.
+    and one class of all kinds would have to give up the good votes to hold them. A second class of each rule is not
+    learned and stands for what is not seen yet. Returns the shares of the classes and the rules' accuracies in them. It
+    starts from bad where any rule votes against, as rules rarely speak against prose.
+
+    What is expected beforehand weighs as shares of all documents, so the same shares give the same verdicts at any number.
     """
     rules = patterns.shape[1]
     against, for_ = (patterns == 0).astype(float), (patterns == 2).astype(float)
     objecting = against.sum(1, keepdims=True)
-    post = np.concatenate((np.where(objecting > 0, 0.05, 1.0), 0.95 * against / np.maximum(objecting, 1)), axis=1)
-    share, right = np.full(rules + 1, 1 / (rules + 1)), np.full((rules + 1, rules), 0.5)
-    own = np.arange(rules)
-    for _ in range(rounds):
-        held = post.T * number
-        # Votes against good documents are rare: one in a thousand is expected, which weighs as much as all documents
-        # seen; else a rule that alone speaks up could not be told right. The same holds votes for what is of a rule's
-        # own class, so that class cannot grow over documents that the rule does not object to. Of the other rules one
-        # in ten is expected to object to them, which weighs as much as one document; none objects to them less often than
-        # to good ones, so one more vote against never speaks for a document.
-        prior = number.sum() + 10
+    post = np.concatenate((np.where(objecting > 0, 0.05, 1.0), 0.95 * against / np.maximum(objecting, 1), 0 * against), axis=1)
+    total = number.sum()
+    number, own = number / total if total > 0 else np.zeros(len(number)), np.arange(rules)
+    for _ in range(p.rounds):
+        held = post.T[:1 + rules] * number
         no, yes = held @ against, held @ for_
-        good = (yes[:1] + 0.999 * prior) / (no[:1] + yes[:1] + prior)
-        right = np.concatenate((good, np.maximum((no[1:] + 0.1) / (no[1:] + yes[1:] + 1), 1 - good)))
-        right[1 + own, own] = (no[1 + own, own] + 0.999 * prior) / (no[1 + own, own] + yes[1 + own, own] + prior)
-        # A bad class costs half a document, so that a few stray votes do not make one.
-        share = np.concatenate(([held[0].sum() + 1], np.maximum(held[1:].sum(1) - 0.5, 0)))
+        # Votes against good documents are rare, which weighs as much as all documents seen; else a rule that alone
+        # speaks up could not be told right. The same holds votes for what is of a rule's own class, so that class
+        # cannot grow over documents that the rule does not object to.
+        good = (yes[:1] + 1 - p.false_alarms) / (no[:1] + yes[:1] + 1)
+        # No rule objects to the bad less often than to the good, so one more vote against never speaks for a document.
+        right = np.concatenate((good, np.maximum((no[1:] + p.others * p.weight) / (no[1:] + yes[1:] + p.weight), 1 - good)))
+        right[1 + own, own] = (no[1 + own, own] + 1 - p.false_alarms) / (no[1 + own, own] + yes[1 + own, own] + 1)
+        unseen = np.tile(np.maximum(p.others, 1 - good), (rules, 1))
+        unseen[own, own] = 1 - p.false_alarms
+        right = np.concatenate((right, unseen))
+        # Stray votes do not make a class.
+        share = np.concatenate(([held[0].sum() + p.least], np.maximum(held[1:].sum(1) - p.cost, 0), np.full(rules, p.least)))
         share /= share.sum()
         new = _classes(patterns, share, right)
         change, post = np.abs(new - post).max(initial=0), new
