@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import pickle
 import random
+from collections import Counter
 
 import corpora
 import numpy as np
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 
 from winnower.llm.language import Mixture, identify, mixtures
 from winnower.llm.quality_rank import Ranker, Ranking, rank_quality
-from winnower.llm.site_tree import SiteTree, extract, host_of, main_text
+from winnower.llm.site_tree import SiteTree, extract, host_of, importances, main_text, parse
 from winnower.llm.toxicity import Index, Nearest, score_toxicity
 
 BAD = ["moronic", "scummy", "trashy"]
@@ -146,5 +148,79 @@ def test_main_text_of_a_site(spark):
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+BODY = "<h1>The head</h1><p>This is the first paragraph of the text.</p><p>And this one is the second, a little longer.</p>"
+TEXT = "The head\nThis is the first paragraph of the text.\nAnd this one is the second, a little longer."
+AROUND = "<nav><ul><li><a href='/'>Home</a><li><a href='/b'>News</a></ul></nav>{}<div class='sidebar'>Read more</div><footer>All rights</footer>"
+
+
+@pytest.mark.parametrize("body", [
+    f"<body class='page has-sidebar'>{AROUND.format(BODY)}</body>",
+    f"<body class='page has-sidebar'>{AROUND.format('<article>' + BODY + '</article>')}</body>",
+    f"<body><div id='content' class='with-sidebar'>{BODY}</div></body>",
+    f"<body>{AROUND.format('<div class=with-sidebar>' + BODY + '</div>')}</body>",
+    f"<body><form id='aspnetForm'>{AROUND.format(BODY)}</form></body>",
+    f"<body><form id='aspnetForm'>{AROUND.format('<main>' + BODY + '</main>')}<button>Send</button></form></body>",
+    f"<body>{AROUND.format('<main><section class=social-history>' + BODY + '</section></main>')}</body>",
+    f"<body><article><header class='entry-header'>{BODY.replace('</h1>', '</h1></header>')}</article></body>",
+    f"<body>{AROUND.format('<article class=teaser><p>Another text</p></article><div class=text>' + BODY + '</div>')}</body>",
+    f"<body class='comments-open'><div class='modal'><form>{AROUND.format('<article>' + BODY + '</article>')}</form></div></body>",
+])
+def test_names_of_wrappers_do_not_empty_a_page(body):
+    assert main_text(f"<!DOCTYPE html><html class='nav-open'><head><title>T</title></head>{body}</html>", {}, SiteTree()) == TEXT
+
+
+def test_an_article_beside_the_text_is_not_all():
+    page = f"<article><p>Short words</p></article><div>{BODY}</div>"
+    assert main_text(page, {}, SiteTree()) == f"Short words\n{TEXT}"
+
+
+@pytest.mark.parametrize("body", [
+    "<article><p>Short.</p></article><div class='comments'><p>" + "A long comment. " * 30 + "</p></div>",
+    "<article><p>Short.</p></article><section id='comment-list'><p>" + "A long comment. " * 30 + "</p></section>",
+    "<article><p>Short.</p><form><p>" + "Say what you think. " * 30 + "</p></form></article>",
+    "<article><p>Short.</p></article><form><p>" + "Say what you think. " * 30 + "</p></form>",
+    "<p>Short.</p><footer><p>" + "All rights reserved. " * 30 + "</p></footer>",
+    "<p>Short.</p><aside><p>" + "Read this too. " * 30 + "</p></aside>",
+])
+def test_furniture_longer_than_the_text_goes(body):
+    assert main_text(f"<html><body>{body}</body></html>", {}, SiteTree()) == "Short."
+
+
+@pytest.mark.parametrize("body", ["<nav><a href='/'>Home</a></nav>", "<form>Name <input> <button>Send</button></form>", "<div class='comments'><p>Well said.</p></div>", "<footer>All rights</footer>"])
+def test_a_page_of_furniture_has_no_text(body):
+    assert main_text(f"<html><body>{body}</body></html>", {}, SiteTree()) == ""
+
+
+def test_importances_are_those_of_a_plain_count(spark):
+    rng = random.Random(4)
+    pages = []
+    for k in range(60):
+        host = f"{'abc'[rng.randrange(3)]}.example"
+        parts = [f"<div class='{rng.choice(['x', 'y', f'post-z{chr(97 + k % 26)}{k}'])}'><p>{rng.choice(['one', 'two', str(k)])}</p></div>" for _ in range(rng.randrange(4))]
+        pages.append((host, "<body>" + "".join(parts) + "<footer>same</footer></body>"))
+    seen: dict[tuple[str, int, int], Counter] = {}
+    for host, html in pages:
+        nodes, blocks = parse(html, SiteTree())
+        texts: dict[int, set] = {}
+        looks: dict[int, set] = {}
+        for n in nodes:
+            if n.children or not n.blocks:
+                looks.setdefault(n.key, set()).add(tuple(n.style))
+        for at, text in blocks:
+            texts.setdefault(nodes[at].key, set()).add(text)
+        for kind, found in ((0, looks), (1, texts)):
+            for key, features in found.items():
+                for f in features:
+                    seen.setdefault((host, key, kind), Counter())[f] += 1
+    want: dict[tuple[str, int], float] = {}
+    for (host, key, _), number in seen.items():
+        m = sum(number.values())
+        value = 1.0 if m == 1 else max(0.0, -sum(n / m * math.log(n / m) for n in number.values()) / math.log(m))
+        want[host, key] = max(want.get((host, key), 0.0), value)
+    got = {(r["host"], x["node"]): x["importance"] for r in importances(spark.createDataFrame(pages, "host string, html string"), SiteTree()).collect() for x in r["nodes"]}
+    assert got.keys() <= want.keys() and len(got) > 10
+    assert all(abs(got.get(k, 1.0) - v) < 1e-9 for k, v in want.items())
+
+
 def test_a_text_shared_by_all_pages_stays_if_there_is_no_other():
     assert main_text("<article><p>same</p></article>", {}, SiteTree()) == "same"

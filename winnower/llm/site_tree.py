@@ -3,7 +3,8 @@
 The element trees of a site's pages are merged: elements with the same path of tags and classes are one node. A node
 is important as far as its pages differ in it: in the children they give it, and in the texts they put there. A page
 then adds up the importance of each branch from these nodes, and branches that say the same all over the site, that
-are mostly links, or that are named as page furniture go.
+are mostly links, or that are named as page furniture go. A name does not count against a branch that holds most of the
+page's important text: it wraps the page.
 """
 
 from __future__ import annotations
@@ -29,6 +30,12 @@ class SiteTree:
     share: float = 0.25
     #: A branch without a name goes if more than this share of its letters lies in links.
     links: float = 0.5
+    #: A branch named like furniture is a wrapper if it holds more than this share of the page's important text ...
+    wraps: float = 0.5
+    #: ... and what lies outside of all such branches is at most this share of what it holds.
+    beside: float = 0.25
+    #: Named articles are the main text if they hold this share of the important text outside of furniture.
+    articles: float = 0.5
     #: Elements nested deeper count as their ancestor at this depth.
     depth: int = 24
 
@@ -53,9 +60,14 @@ CLOSES = {"li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "
 FURNITURE_TAGS = frozenset("nav header footer aside form button select dialog menu search fieldset head option".split())
 FURNITURE = frozenset("""nav navbar navigation menu header masthead footer sidebar aside widget ad ads advert adverts advertisement banner promo
 sponsor sponsored cookie cookies consent notice alert popup modal overlay newsletter subscribe signup login share sharing social related
-recommended comment comments reply replies respond disqus breadcrumb breadcrumbs pagination pager toolbar search form skip copyright legal
+recommended teaser teasers comment comments reply replies respond disqus breadcrumb breadcrumbs pagination pager toolbar search form skip copyright legal
 complementary contentinfo""".split())
 ARTICLE = frozenset("article main story".split())
+ARTICLE_TAGS = frozenset("article main".split())
+#: Names of readers' comments, which may be longer than the article.
+COMMENTS = frozenset("comment comments reply replies respond disqus".split())
+#: How far a branch is furniture: not at all, by a part of a name, by a whole name or as a form, by its element.
+NOT, PARTLY, NAMED, ALWAYS = range(4)
 
 
 @dataclass
@@ -63,7 +75,8 @@ class Node:
     key: int
     parent: int
     tag: str
-    named: int = 0
+    furniture: int = NOT
+    article: bool = False
     depth: int = 0
     children: list[int] = field(default_factory=list)
     style: list[str] = field(default_factory=list)
@@ -72,6 +85,22 @@ class Node:
     linked: int = 0
 
 
+def _kind(tag: str, names: dict[str, str], inside: bool) -> tuple[int, bool]:
+    """How far an element is furniture, and whether it is named as an article; inside: whether it lies in one."""
+    if tag in ("html", "body"):
+        return NOT, False
+    whole = {n.strip("0123456789-_") for v in names.values() for n in v.split()}
+    parts = set(_TOKENS.findall(" ".join(names.values())))
+    article = tag in ARTICLE_TAGS or bool(parts & ARTICLE)
+    if inside:  # an article has a header of its own
+        whole, parts = whole - {"header"}, parts - {"header"}
+    if tag in FURNITURE_TAGS and not (tag == "header" and inside) and not (tag == "form" and not inside):
+        return ALWAYS, article
+    if tag == "form" or whole & FURNITURE or parts & COMMENTS:
+        return NAMED, article
+    return PARTLY if parts & FURNITURE else NOT, article
+
+
 def parse(page: str, p: SiteTree) -> tuple[list[Node], list[tuple[int, str]]]:
     """The tree of a page's block elements, root first, and its blocks of text, each with its node."""
     nodes = [Node(0, -1, "")]
@@ -119,19 +148,14 @@ def parse(page: str, p: SiteTree) -> tuple[list[Node], list[tuple[int, str]]]:
         while len(stack) > 1 and nodes[stack[-1]].tag in closes:
             stack.pop()
         names = {k.lower(): v.strip("\"'").lower() for k, v in _NAMES.findall(m["attrs"])}
-        tokens = set(_TOKENS.findall(" ".join(names.values())))
         parent = nodes[stack[-1]]
-        inside = any(nodes[s].named > 0 for s in stack)
-        if (tag in FURNITURE_TAGS and not (tag == "header" and inside)) or tokens & FURNITURE:
-            named = -1
-        else:
-            named = 1 if tag in ("article", "main") or tokens & ARTICLE else 0
+        furniture, article = _kind(tag, names, any(nodes[s].article for s in stack))
         # Digits in names number things; without them the elements of different pages meet.
         look = f"{tag}.{re.sub('[0-9]+', '', names.get('class', ''))}"
         key = parent.key if parent.depth >= p.depth else xxhash.xxh3_64_intdigest(f"{parent.key}/{look}") >> 1
         parent.children.append(len(nodes))
         parent.style.append(look)
-        nodes.append(Node(key, stack[-1], tag, named, parent.depth + 1))
+        nodes.append(Node(key, stack[-1], tag, furniture, article, parent.depth + 1))
         stack.append(len(nodes) - 1)
     if at < len(page) and not page.startswith("<", at):
         add(page[at:])
@@ -175,9 +199,47 @@ def importances(pages: DataFrame, p: SiteTree) -> DataFrame:
     # The sum over features of n log n gives both: the entropy of the styles, and the mean entropy of the texts.
     entropy = F.when(F.col("m") <= 1, 1.0).otherwise(F.greatest(F.lit(0.0), 1 - F.col("nlogn") / (F.col("m") * F.log("m"))))
     node = by_kind.withColumn("value", entropy).groupBy("host", "node").agg(F.max("value").alias("importance"))
+    # A node that is missing counts as important, so nodes of one page, which have no bound, are left out.
+    node = node.where("importance < 1")
     return node.groupBy("host").agg(F.collect_list(F.struct("node", "importance")).alias("nodes"))
 
 
+def _furniture(nodes: list[Node], blocks: list[tuple[int, str]], value: list[float], letters: list[int], linked: list[int], p: SiteTree) -> list[bool]:
+    """Whether each node lies in furniture. A branch that holds most of the important text and leaves little outside is
+    none, though named so; where all of its name or its being a form says so, it also has to hold an article or a first
+    heading, or, if a form, its text in paragraphs, and no article may lie outside."""
+    mass, prose, size = [0.0] * len(nodes), [0.0] * len(nodes), [0] * len(nodes)
+    article, heading = [n.article for n in nodes], [n.tag == "h1" for n in nodes]
+    for at, text in blocks:
+        size[at] += len(text)
+        mass[at] += len(text) * value[at]
+        if nodes[at].tag in ("p", "h1"):
+            prose[at] += len(text) * value[at]
+    within = [n.furniture > NOT for n in nodes]
+    for k in range(1, len(nodes)):
+        within[k] = within[k] or within[nodes[k].parent]
+    outside = sum(m for m, w in zip(mass, within, strict=True) if not w)
+    inside = [n.article for n in nodes]
+    for k in range(1, len(nodes)):
+        inside[k] = inside[k] or inside[nodes[k].parent]
+    apart = any(m > 0 and a and not w for m, a, w in zip(mass, inside, within, strict=True))
+    for k in range(len(nodes) - 1, 0, -1):
+        up = nodes[k].parent
+        for part in (mass, prose, size):
+            part[up] += part[k]
+        article[up], heading[up] = article[up] or article[k], heading[up] or heading[k]
+    held = [False] * len(nodes)
+    for k in range(1, len(nodes)):
+        kind = nodes[k].furniture
+        held[k] = held[nodes[k].parent] or kind > NOT
+        if held[nodes[k].parent] or kind in (NOT, ALWAYS):
+            continue
+        most = mass[k] > p.wraps * mass[0] and outside <= p.beside * mass[k]
+        if most and mass[k] >= p.share * size[k] and linked[k] <= p.links * letters[k]:
+            held[k] = kind == NAMED and (apart or not (article[k] or heading[k] or (nodes[k].tag == "form" and 2 * prose[k] > mass[k])))
+    return held
+
+
 def main_text(page: str, importance: dict[int, float], p: SiteTree) -> str:
     """The blocks of the important branches, in page order. A node that the tree lacks is important."""
     nodes, blocks = parse(page, p)
@@ -188,16 +250,21 @@ def main_text(page: str, importance: dict[int, float], p: SiteTree) -> str:
             value[k] = (1 - p.children) * value[k] + p.children * sum(value[c] for c in nodes[k].children) / len(nodes[k].children)
         letters[nodes[k].parent] += letters[k]
         linked[nodes[k].parent] += linked[k]
-    named = [0] * len(nodes)
+    held = _furniture(nodes, blocks, value, letters, linked, p)
+    article = [False] * len(nodes)
     for k in range(1, len(nodes)):
-        above = named[nodes[k].parent]
-        named[k] = -1 if above < 0 or nodes[k].named < 0 else max(above, nodes[k].named)
+        article[k] = article[nodes[k].parent] or nodes[k].article
     # A branch is noise if nothing in it is important.
     best = value.copy()
     for k in range(len(nodes) - 1, 0, -1):
         best[nodes[k].parent] = max(best[nodes[k].parent], best[k])
-    article = any(named[at] > 0 for at, _ in blocks)
-    good = [(at, text) for at, text in blocks if (named[at] > 0 if article else named[at] == 0 and linked[at] <= p.links * letters[at])]
+    free = [(at, text) for at, text in blocks if not held[at]]
+    mass = [len(text) * value[at] for at, text in free]
+    some = [m for (at, _), m in zip(free, mass, strict=True) if article[at]]
+    if some and sum(some) >= p.articles * sum(mass):
+        good = [(at, text) for at, text in free if article[at]]
+    else:
+        good = [(at, text) for at, text in free if article[at] or linked[at] <= p.links * letters[at]]
     least = p.share * max((best[at] for at, _ in good), default=0.0)
     return "\n".join(text for at, text in good if best[at] >= least)
 
