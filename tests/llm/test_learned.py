@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import pickle
 import random
+import re
+import zlib
 from collections import Counter
 
 import corpora
@@ -14,8 +16,9 @@ from pyspark.sql import functions as F
 
 from winnower.llm.language import Mixture, identify, mixtures
 from winnower.llm.quality_rank import Ranker, Ranking, rank_quality
+from winnower.llm.scratch import Scratch
 from winnower.llm.site_tree import SiteTree, extract, host_of, importances, main_text, parse
-from winnower.llm.toxicity import Index, Nearest, score_toxicity
+from winnower.llm.toxicity import Index, Nearest, build, score_toxicity
 
 BAD = ["moronic", "scummy", "trashy"]
 
@@ -92,6 +95,55 @@ def test_neighbours_are_those_of_whole_texts(spark):
         assert got[1000 + k]["neighbours"][0] == k and got[1000 + k]["cosines"][0] > 0.9
 
 
+def test_cosines_and_votes_are_those_of_a_plain_search(spark):
+    rng = random.Random(21)
+    vocabulary = ["".join(rng.choices("abcdeé", k=3)) for _ in range(90)]
+    texts = [" ".join(rng.choices(vocabulary, k=rng.randrange(1, 30))) for _ in range(150)] + ["", "12 34", "the " * 3000 + "end", "The the-the"]
+    docs = [(k, t) for k, t in enumerate(texts)] + [(200, None), (3, texts[3])]
+    labels = {k: int("a" in texts[k][:3]) for k in range(0, 140)} | {150: 0, 151: 1}
+    p = Nearest(neighbours=6, ranks=(2, 5, 40))
+    got = {r["doc_id"]: r for r in score_toxicity(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"), p).collect()}
+
+    bags = {k: Counter(re.findall("[a-zé]+", (t or "").lower())) for k, t in docs}
+    df = Counter(w for k, t in docs for w in set(bags[k]))
+    weight = {}
+    for k, bag in bags.items():
+        raw = {w: (1 + math.log(n)) * math.log((len(docs) + 1) / (df[w] + 0.5)) for w, n in bag.items()}
+        norm = math.sqrt(sum(v * v for v in raw.values()))
+        weight[k] = {w: v / norm for w, v in raw.items()}
+    known = [k for k in labels if zlib.crc32(str(k).encode()) % 5]
+
+    def near(k: int, side: int, left: int = -1) -> list[float]:
+        found = [sum(v * weight[j].get(w, 0.0) for w, v in weight[k].items()) for j in known if labels[j] == side and j != left]
+        return sorted(found, reverse=True)
+
+    def votes(k: int, left: int = -1) -> list[float]:
+        return [math.log(sum(near(k, side, left)[:r]) / max(1, min(r, len(near(k, side, left)))) + 1e-4) for side in (0, 1) for r in p.ranks]
+
+    for k in bags:
+        cosines = [c for c in sorted(near(k, 0) + near(k, 1), reverse=True) if c > 1e-9][:6]
+        assert np.allclose(got[k]["cosines"], cosines, atol=1e-5)
+        assert np.allclose([sum(v * weight[j].get(w, 0.0) for w, v in weight[k].items()) for j in got[k]["neighbours"]], cosines, atol=1e-5)
+    some = [k for k in known if bags[k]]
+    x, y = np.array([votes(k, k) for k in some]), np.array([labels[k] for k in some], dtype=float)
+    mean, spread = x.mean(0), x.std(0)
+    plane = np.zeros(x.shape[1] + 1)
+    z = np.column_stack(((x - mean) / spread, np.ones(len(x))))
+    for _ in range(20_000):  # plain descent
+        plane += 0.02 * (z.T @ (y - 1 / (1 + np.exp(-z @ plane))) - 0.1 * plane)
+    for k in range(140, 150):
+        assert abs(got[k]["score"] - 1 / (1 + np.exp(-(np.append((np.array(votes(k)) - mean) / spread, 1) @ plane)))) < 1e-3
+    assert got[200]["score"] == got[150]["score"] == got[151]["score"] and got[200]["neighbours"] == []
+
+
+def test_examples_are_bounded_in_bytes(spark):
+    docs = spark.createDataFrame([(k, "word " * (4000 if k % 50 == 7 else 20)) for k in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(300)], "doc_id long, toxic int")
+    index = build(docs, labels, Nearest(bytes=16_000), Scratch(spark, "toxicity"))
+    ids = [k for side in index.sides for k in side.ids.tolist()]
+    assert 100 < len(ids) <= 160 and not any(k % 50 == 7 for k in ids)
+
+
 def test_languages_of_held_out_documents(corpus):
     docs, _ = corpus
     got = identify(docs)

@@ -1,24 +1,25 @@
 """Toxicity by the nearest labelled examples.
 
-Examples are TF-IDF vectors over all their terms, with document frequencies of the whole table; a term weighs more the
-better it tells the labels apart. Their inverted index keeps, for each term and
-each block of examples, the largest weight; a query visits blocks in falling order of the bound these give and stops
-once no block can change its nearest examples, so the neighbours are exact. Votes weigh by similarity and are
-calibrated on the examples themselves, each left out in turn; the neighbours come along as evidence.
+Examples are TF-IDF vectors over all their terms, with document frequencies of the whole table, and are compared by
+plain cosines. Their inverted index keeps, for each term and each block of examples, the largest weight; a query visits blocks in falling order of the bound these give and stops
+once no block can change its nearest examples, so the neighbours are exact. The nearest examples of either label vote by
+their similarity, as toxic ones are few; the votes are calibrated on the examples themselves, each left out in turn, and
+the nearest of both come along as evidence.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .arrays import LOWER, chunks, mix64, shingles, span_hashes, text_column, word_bounds
+from .arrays import LOWER, chunks, mix64, span_hashes, text_column, word_bounds
 from .language import held_out
 from .scratch import Scratch
 
@@ -31,15 +32,16 @@ APART[[*range(65, 91), *range(97, 123), *range(128, 256)]] = False
 class Nearest:
     #: Labelled documents used as examples, at most: those with the smallest hash of their id.
     examples: int = 20_000
-    #: A term weighs 1 + association * z ** 2 times its TF-IDF; z: standard errors between its shares in both labels.
-    association: float = 0.25
+    #: Bytes of their texts, at most; no example is longer than a sixteenth of that.
+    bytes: int = 8 << 20
+    #: Nearest examples that come along as evidence.
     neighbours: int = 16
+    #: How many of the nearest examples of each label vote; a vote is their mean cosine.
+    ranks: tuple[int, ...] = (4, 16, 64, 256)
     #: Examples of a block of the index.
     block: int = 64
     #: Examples whose votes are calibrated on, each left out in turn.
-    calibrate: int = 4000
-    #: Weight of the base rate among the votes.
-    prior: float = 0.25
+    calibrate: int = 2000
     at: float = 0.5
 
 
@@ -49,24 +51,6 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return span_hashes(LOWER[data], starts, ends).view(np.int64), first
 
 
-def _term_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each text and term in it, with the text's family: its least shingle.
-
-    Near copies mostly agree in that, so a text that was copied often does not make its every word look telling.
-    """
-    for batch in batches:
-        data, offsets = text_column(batch, "text")
-        for start, end in chunks(offsets):
-            own = offsets[start:end + 1]
-            found, first = terms(data[own[0]:own[-1]], own - own[0])
-            each = [np.unique(found[a:b], return_counts=True) for a, b in zip(first[:-1], first[1:], strict=True)]
-            hashes, bounds = shingles(LOWER[data[own[0]:own[-1]]], own - own[0], 5)
-            family = np.array([hashes[a:b].min(initial=np.iinfo(np.uint64).max) for a, b in zip(bounds[:-1], bounds[1:], strict=True)], dtype=np.uint64).view(np.int64)
-            number = [len(t) for t, _ in each]
-            row = pa.array(np.repeat(np.arange(start, end), number))
-            yield pa.record_batch([*(batch.column(c).take(row) for c in ("label",)), pa.array(np.concatenate([t for t, _ in each])), pa.array(np.repeat(family, number))], names=["label", "term", "family"])
-
-
 def _vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The sorted terms of each text and their counts, as bytes of int64 and int32."""
     for batch in batches:
@@ -110,9 +94,8 @@ class Index:
     """Inverted index of examples with block maxima."""
 
     def __init__(self, term_ids: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray, idf: np.ndarray, p: Nearest, unseen: float = 0.0):
-        """term_ids: sorted hashes; vectors: of each example, term numbers and counts; idf: of each term, with its
-        association; unseen: that of terms that no example has."""
-        self.p, self.term_ids, self.idf, self.labels, self.ids, self.unseen = p, term_ids, idf, labels.astype(float), ids, unseen
+        """term_ids: sorted hashes; vectors: of each example, term numbers and counts; idf: of each term; unseen: that of terms that no example has."""
+        self.p, self.term_ids, self.idf, self.labels, self.ids, self.unseen = p, term_ids, idf, labels, ids, unseen
         self.blocks = -(-len(labels) // p.block)
         example = np.repeat(np.arange(len(vectors), dtype=np.int32), [len(t) for t, _ in vectors]) if vectors else np.zeros(0, np.int32)
         term = np.concatenate([t for t, _ in vectors]) if vectors else np.zeros(0, np.int64)
@@ -128,16 +111,6 @@ class Index:
         self.cell_block, self.bounds = block[new].astype(np.min_scalar_type(self.blocks)), np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0)
         self.first = np.append(new, len(term)).astype(np.int32)
         self.cells = np.searchsorted(term[new], np.arange(len(term_ids) + 1)).astype(np.int32)
-        empty = np.array([len(t) == 0 for t, _ in vectors], dtype=bool)
-        self.base = (self.labels.sum() + 0.01) / (len(labels) + 1) if len(labels) else 0.0
-        # What shares no term with an example gets the rate of the examples without any.
-        self.blank = (self.labels[empty].sum() + self.base) / (empty.sum() + 1) if len(labels) else 0.0
-        self.line = (1.0, 0.0)
-        if len(labels):
-            # Examples come in the order of a hash, so the first ones are a fair share.
-            some = np.flatnonzero(~empty)[:p.calibrate]
-            votes = np.array([self.vote(*vectors[k], leave=int(k))[0] for k in some])
-            self.line = self._calibrate(votes, self.labels[some])
 
     def __getstate__(self) -> dict:
         """What cannot be computed from the rest: every executor and the driver keep a copy of it on disk."""
@@ -162,8 +135,9 @@ class Index:
         rest = 0.0 if others is None else (((1 + np.log(others)) * self.unseen) ** 2).sum()
         return w / np.sqrt((w * w).sum() + rest) if len(w) else w
 
-    def nearest(self, term: np.ndarray, weight: np.ndarray, leave: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The most similar examples and their cosines; of ties the first examples."""
+    def nearest(self, term: np.ndarray, weight: np.ndarray, leave: int = -1, number: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """The most similar examples, all but one, and their cosines; of ties the first examples."""
+        number = number or self.p.neighbours
         low, high = self.cells[term].astype(np.int64), self.cells[term + 1].astype(np.int64)
         cell = _ranges(low, high)
         own, block = np.repeat(weight, high - low), self.cell_block[cell]
@@ -172,11 +146,11 @@ class Index:
         order = order[bound[order] > 0]
         best, score, done, step = np.zeros(0, np.int64), np.zeros(0), 0, 8
         while done < len(order):
-            if len(best) == self.p.neighbours and bound[order[done]] < score[-1] - 1e-9:
+            if len(best) == number and bound[order[done]] < score[-1] - 1e-9:
                 break
             # Several blocks at a time, more each time; those under the bar are left out.
             part = order[done:done + step]
-            if len(best) == self.p.neighbours:
+            if len(best) == number:
                 part = part[bound[part] >= score[-1] - 1e-9]
             done, step = done + step, step * 4
             # A slot for each example of the blocks at hand.
@@ -191,68 +165,127 @@ class Index:
             found = part[hit // self.p.block] * self.p.block + hit % self.p.block
             keep = found != leave
             best, score = np.concatenate((best, found[keep])), np.concatenate((score, sums[hit[keep]]))
-            if len(best) > self.p.neighbours:
-                near = score >= np.partition(score, -self.p.neighbours)[-self.p.neighbours] - 1e-8
+            if len(best) > number:
+                near = score >= np.partition(score, -number)[-number] - 1e-8
                 best, score = best[near], score[near]
-            top = np.lexsort((best, -np.round(score, 9)))[:self.p.neighbours]
+            top = np.lexsort((best, -np.round(score, 9)))[:number]
             best, score = best[top], score[top]
         return best, score
 
-    def vote(self, term: np.ndarray, count: np.ndarray, leave: int = -1, others: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray]:
-        best, score = self.nearest(term, self.weigh(term, count, others), leave)
-        return (float(score @ self.labels[best]) + self.p.prior * self.base) / (float(score.sum()) + self.p.prior), best, score
+
+class Voters:
+    """An index for each label, and what their votes are worth."""
+
+    def __init__(self, term_ids: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, ids: np.ndarray, idf: np.ndarray, p: Nearest, unseen: float = 0.0):
+        self.p, self.term_ids = p, term_ids
+        rows = [np.flatnonzero(labels == label) for label in (0, 1)]
+        self.sides = [Index(term_ids, [vectors[k] for k in r.tolist()], labels[r], ids[r], idf, p, unseen) for r in rows]
+        empty = np.array([len(t) == 0 for t, _ in vectors], dtype=bool)
+        base = (labels.sum() + 0.01) / (len(labels) + 1) if len(labels) else 0.0
+        # What shares no term with an example gets the rate of the examples without any.
+        self.blank = float((labels[empty].sum() + base) / (empty.sum() + 1)) if len(labels) else 0.0
+        # Examples come in the order of a hash, so the first ones are a fair share.
+        some = np.flatnonzero(~empty)[:p.calibrate]
+        place = np.zeros(len(labels), np.int64)
+        for r in rows:
+            place[r] = np.arange(len(r))
+        votes = np.array([self.votes(*vectors[k], leave=(int(labels[k]), int(place[k])))[0] for k in some]).reshape(len(some), 2 * len(p.ranks))
+        self.mean, self.spread = (votes.mean(0), votes.std(0) + 1e-9) if len(some) else (0.0, 1.0)
+        self.line = self._calibrate((votes - self.mean) / self.spread, labels[some].astype(float))
+
+    def votes(self, term: np.ndarray, count: np.ndarray, others: np.ndarray | None = None, leave: tuple[int, int] = (-1, -1)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Logarithms of the mean cosines of the nearest examples by label and rank; the nearest of all and their cosines."""
+        votes, near, cosines = [], [], []
+        for label, side in enumerate(self.sides):
+            mine = leave[0] == label
+            best, score = side.nearest(term, side.weigh(term, count, others), leave[1] if mine else -1, self.p.ranks[-1])
+            for rank in self.p.ranks:
+                votes.append(np.log(score[:rank].sum() / max(min(rank, len(side.ids) - mine), 1) + 1e-4))
+            near.append(side.ids[best[:self.p.neighbours]])
+            cosines.append(score[:self.p.neighbours])
+        near, cosines = np.concatenate(near), np.concatenate(cosines)
+        top = np.argsort(-np.round(cosines, 9), kind="stable")[:self.p.neighbours]
+        return np.array(votes), near[top], cosines[top]
 
     @staticmethod
-    def _calibrate(votes: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-        """Logistic line through the votes, by Newton steps with a slight ridge."""
-        x, w = np.stack((votes, np.ones_like(votes)), axis=1), np.array([4.0, -2.0])
+    def _calibrate(votes: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        """Logistic plane through the votes, by Newton steps with a slight ridge."""
+        x, w = np.concatenate((votes, np.ones((len(votes), 1))), axis=1), np.zeros(votes.shape[1] + 1)
         for _ in range(25):
             q = 1 / (1 + np.exp(-x @ w))
-            step = np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + 0.1 * np.eye(2), x.T @ (labels - q) - 0.1 * w)
+            step = np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + 0.1 * np.eye(len(w)), x.T @ (labels - q) - 0.1 * w)
             w = w + step
             if np.abs(step).max() < 1e-8:
                 break
-        return float(w[0]), float(w[1])
+        return w
 
     def score(self, term: np.ndarray, count: np.ndarray, others: np.ndarray | None = None) -> tuple[float, np.ndarray, np.ndarray]:
-        if not len(term) or not len(self.labels):
-            return float(self.blank), np.zeros(0, np.int64), np.zeros(0)
-        vote, best, score = self.vote(term, count, others=others)
-        a, b = self.line
-        return float(1 / (1 + np.exp(-(a * vote + b)))), best, score
-
-
-def build(docs: DataFrame, labels: DataFrame, p: Nearest, scratch: Scratch) -> Index:
-    """The index of the labelled sample. What reaches the driver are the terms of at most `examples` documents, with
-    their counts over all documents."""
-    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
-    known = known.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(p.examples)
-    sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select(F.col("doc_id").alias("example"), "label", "text")
-    found = scratch.table(sample.mapInArrow(_term_rows, "label int, term long, family long"), "terms")
-    vectors = scratch.table(sample.mapInArrow(_vectors, "example long, label int, terms binary, counts binary").groupBy("example").agg(F.min("label").alias("label"), F.min(F.struct("terms", "counts")).alias("v")).select("example", "label", "v.*"), "examples")
-    every = scratch.table(docs.select("text").mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")), "frequencies")
-    number = docs.count()
-    kinds = found.groupBy("family").agg(F.max("label").alias("label")).agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("t")).first()
-    total, toxic = max(int(kinds["n"]), 1), float(kinds["t"])
-    rate = F.col("t") / max(toxic, 1.0) - (F.col("n") - F.col("t")) / max(total - toxic, 1.0)
-    # The spread of the difference if the term had nothing to do with the label, one occurrence added to be safe.
-    spread = F.sqrt(((F.col("n") + 1) / total) * (1 - F.col("n") / (total + 1)) * (1 / max(toxic, 1.0) + 1 / max(total - toxic, 1.0)))
-    told = found.groupBy("term").agg(F.countDistinct("family").alias("n"), F.countDistinct(F.when(F.col("label") == 1, F.col("family"))).alias("t")).withColumn("z", F.abs(rate) / spread)
-    told = told.join(every, "term").select("term", "z", "df").toPandas().sort_values("term")
-    term_ids = told["term"].to_numpy(np.int64)
-    idf = np.log((number + 1) / (told["df"].to_numpy(float) + 0.5)) * (1 + p.association * told["z"].to_numpy(float) ** 2)
-    del told
-    # Arrow's bytes are read in place and let go before the index is built, so that few copies are held at once.
-    held = vectors.toArrow().combine_chunks()
-    ids, label = held["example"].to_numpy().astype(np.int64), held["label"].to_numpy().astype(np.int64)
-    order = np.argsort(mix64(ids.view(np.uint64)), kind="stable")
-    texts, counts = held["terms"], held["counts"]
-    own = [(np.searchsorted(term_ids, np.frombuffer(texts[k].as_buffer(), np.int64)).astype(np.int32), np.frombuffer(counts[k].as_buffer(), np.int32).copy()) for k in order.tolist()]
-    del held, texts, counts
-    return Index(term_ids, own, label[order], ids[order], idf, p, float(np.log((number + 1) / 1.5)))
-
-
-def _score(shared: Broadcast[Index]):
+        if not len(term):
+            return self.blank, np.zeros(0, np.int64), np.zeros(0)
+        votes, near, cosines = self.votes(term, count, others)
+        x = float((votes - self.mean) / self.spread @ self.line[:-1] + self.line[-1])
+        return float(1 / (1 + np.exp(-x))), near, cosines
+
+
+#: What the index is built from: vectors of examples, and terms with the number of texts that have them.
+PARTS = "example long, label int, terms binary, counts binary, term long, df long"
+
+
+def _build(p: Nearest, number: int):
+    """The index, pickled, from all rows of PARTS."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, labels, vectors, terms, df = [], [], [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for batch in batches:
+            rows = batch.filter(batch.column("terms").is_valid())
+            ids += rows.column("example").to_pylist()
+            labels += rows.column("label").to_pylist()
+            vectors += zip(rows.column("terms").to_pylist(), rows.column("counts").to_pylist(), strict=True)
+            rows = batch.filter(batch.column("terms").is_null())
+            terms.append(rows.column("term").to_numpy(zero_copy_only=False).astype(np.int64))
+            df.append(rows.column("df").to_numpy(zero_copy_only=False).astype(np.int64))
+        term, texts = np.concatenate(terms), np.concatenate(df)
+        order = np.argsort(term)
+        term, texts = term[order], texts[order]
+        # Examples come in the order of a hash, so their numbers tell nothing of them.
+        order = np.argsort(mix64(np.array(ids, dtype=np.int64).view(np.uint64)), kind="stable")
+        own = [(np.searchsorted(term, np.frombuffer(vectors[k][0], np.int64)).astype(np.int32), np.frombuffer(vectors[k][1], np.int32).copy()) for k in order.tolist()]
+        index = Voters(term, own, np.array(labels, dtype=np.int64)[order], np.array(ids, dtype=np.int64)[order], np.log((number + 1) / (texts + 0.5)), p, float(np.log((number + 1) / 1.5)))
+        yield pa.record_batch([pa.array([pickle.dumps(index)], pa.binary())], names=["index"])
+
+    return run
+
+
+def build(docs: DataFrame, labels: DataFrame, p: Nearest, scratch: Scratch) -> Voters:
+    """The index of the labelled sample, built in one task from examples of at most `bytes`; the driver passes it on."""
+    order = F.struct(F.xxhash64("example"), "example")
+    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("example"), F.col("toxic").cast("int").alias("label"))
+    known = known.where(~held_out(F.col("example"))).groupBy("example").agg(F.min("label").alias("label")).orderBy(order).limit(p.examples)
+    texts = docs.select(F.col("doc_id").cast("long").alias("example"), F.coalesce("text", F.lit("")).alias("text"))
+    # At most `examples` rows of numbers are broadcast and added up in one task.
+    sizes = texts.join(F.broadcast(known), "example").groupBy("example", "label").agg(F.max(F.octet_length("text")).alias("size")).where(F.col("size") <= p.bytes // 16)
+    chosen = scratch.table(sizes.withColumn("sum", F.sum("size").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))).where(F.col("sum") <= p.bytes).select("example", "label"), "chosen")
+    # Of repeated rows with different texts the least vector counts.
+    vectors = texts.join(F.broadcast(chosen), "example").mapInArrow(_vectors, "example long, label int, terms binary, counts binary")
+    vectors = scratch.table(vectors.groupBy("example", "label").agg(F.min(F.struct("terms", "counts")).alias("v")).select("example", "label", "v.*"), "examples")
+    own = vectors.mapInArrow(_distinct, "term long").distinct()
+    every = docs.select("text").mapInArrow(_frequencies, "term long, df long")
+    every = every.join(F.broadcast(own), "term").groupBy("term").agg(F.sum("df").alias("df"))
+    none = {c: F.lit(None).cast(t) for c, t in (x.split() for x in PARTS.split(", "))}
+    parts = vectors.select("example", "label", "terms", "counts", none["term"].alias("term"), none["df"].alias("df")).unionByName(every.select(*[none[c].alias(c) for c in ("example", "label", "terms", "counts")], "term", "df"))
+    built = scratch.table(parts.repartition(1).mapInArrow(_build(p, docs.count()), "index binary"), "index")
+    held = built.first()
+    return pickle.loads(held["index"]) if held is not None else Voters(np.zeros(0, np.int64), [], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), p)
+
+
+def _distinct(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The terms of the examples of a batch."""
+    for batch in batches:
+        found = [np.frombuffer(t, np.int64) for t in batch.column("terms").to_pylist()]
+        yield pa.record_batch([pa.array(np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64))], names=["term"])
+
+
+def _score(shared: Broadcast[Voters]):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         blank = index.score(np.zeros(0, np.int64), np.zeros(0))[0]
@@ -267,7 +300,7 @@ def _score(shared: Broadcast[Index]):
                     at = np.minimum(np.searchsorted(index.term_ids, term), max(len(index.term_ids) - 1, 0))
                     hit = index.term_ids[at] == term if len(index.term_ids) else np.zeros(len(term), dtype=bool)
                     score[k], best, similar = index.score(at[hit], count[hit], count[~hit])
-                    near[k], cosines[k] = index.ids[best].tolist(), similar.tolist()
+                    near[k], cosines[k] = best.tolist(), similar.tolist()
                 yield pa.record_batch([batch.column("doc_id").slice(start, rows), batch.column("held_out").slice(start, rows), pa.array(score), pa.array((score >= index.p.at).astype(np.int32)), pa.array(near, pa.list_(pa.int64())), pa.array(cosines, pa.list_(pa.float64()))],
                                       names=["doc_id", "held_out", "score", "predicted", "neighbours", "cosines"])
 
@@ -277,7 +310,7 @@ def _score(shared: Broadcast[Index]):
 def score_toxicity(docs: DataFrame, labels: DataFrame, p: Nearest = Nearest(), scratch: Scratch | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted, neighbours (doc_ids of the nearest examples) and their cosines, for each row.
 
-    labels has doc_id and toxic (0 or 1); examples come from rows that are not held out. A text that shares no
+    labels has doc_id and toxic (0 or 1; of several the least); examples come from rows that are not held out. A text that shares no
     term with an example, null and empty ones too, has no neighbours and gets the rate of such examples; without labels every
     score is 0. Repeated rows are scored alike; a null doc_id is never an example.
     """
