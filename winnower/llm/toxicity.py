@@ -38,8 +38,10 @@ class Nearest:
     neighbours: int = 16
     #: How many of the nearest examples of each label vote; a vote is their mean cosine.
     ranks: tuple[int, ...] = (4, 16, 64, 256)
+    #: Terms of at least this share of the examples are summed up for all of them before the bounds are taken.
+    common: float = 0.1
     #: Examples of a block of the index.
-    block: int = 64
+    block: int = 256
     #: Examples whose votes are calibrated on, each left out in turn.
     calibrate: int = 2000
     at: float = 0.5
@@ -71,7 +73,7 @@ def _frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = offsets[start:end + 1]
             found, first = terms(data[own[0]:own[-1]], own - own[0])
             row = np.repeat(np.arange(end - start), np.diff(first))
-            order = np.lexsort((row, found))
+            order = np.argsort(found, kind="stable")
             found, row = found[order], row[order]
             new = np.append(True, (found[1:] != found[:-1]) | (row[1:] != row[:-1])) if len(found) else np.zeros(0, bool)
             seen, n = np.unique(found[new], return_counts=True)
@@ -103,6 +105,15 @@ class Index:
         order = np.argsort(term, kind="stable")
         example, self.weight, term = example[order], weight[order].astype(np.float32), term[order]
         del order, weight
+        # Common terms have a weight for every example, and no postings.
+        number = np.bincount(term, minlength=len(term_ids))
+        often = np.flatnonzero(number >= max(p.common * len(labels), 2))
+        self.row = np.full(len(term_ids), -1, np.int32)
+        self.row[often] = np.arange(len(often))
+        at = self.row[term]
+        self.often = np.zeros((len(often), len(labels)), np.float32)
+        self.often[at[at >= 0], example[at >= 0]] = self.weight[at >= 0]
+        example, self.weight, term = example[at < 0], self.weight[at < 0], term[at < 0]
         # A cell is the postings of a term in a block; first: where it begins, cells: the first cell of each term.
         block = example // p.block
         # Every executor gets a copy of this: examples are kept by their place in the block, numbers as small as they fit.
@@ -111,12 +122,13 @@ class Index:
         self.cell_block, self.bounds = block[new].astype(np.min_scalar_type(self.blocks)), np.maximum.reduceat(self.weight, new) if len(new) else np.zeros(0)
         self.first = np.append(new, len(term)).astype(np.int32)
         self.cells = np.searchsorted(term[new], np.arange(len(term_ids) + 1)).astype(np.int32)
+        self.place = example.astype(np.int64)
 
     def __getstate__(self) -> dict:
         """What cannot be computed from the rest: every executor and the driver keep a copy of it on disk."""
         state = dict(self.__dict__)
         first, cells = state.pop("first"), state.pop("cells")
-        del state["bounds"]
+        del state["bounds"], state["place"]
         state["sizes"] = np.diff(first).astype(np.min_scalar_type(self.p.block))
         spread = np.diff(cells)
         state["spread"] = spread.astype(np.min_scalar_type(int(spread.max(initial=0))))
@@ -128,6 +140,7 @@ class Index:
         self.first = np.concatenate(([0], np.cumsum(sizes, dtype=np.int32))).astype(np.int32)
         self.cells = np.concatenate(([0], np.cumsum(spread, dtype=np.int32))).astype(np.int32)
         self.bounds = np.maximum.reduceat(self.weight, self.first[:-1]) if len(sizes) else np.zeros(0)
+        self.place = np.repeat(self.cell_block.astype(np.int64) * self.p.block, sizes) + self.example
 
     def weigh(self, term: np.ndarray, count: np.ndarray, others: np.ndarray | None = None) -> np.ndarray:
         """Weights of the terms of a text; others: counts of its terms that no example has, which are part of its norm."""
@@ -138,10 +151,21 @@ class Index:
     def nearest(self, term: np.ndarray, weight: np.ndarray, leave: int = -1, number: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """The most similar examples, all but one, and their cosines; of ties the first examples."""
         number = number or self.p.neighbours
-        low, high = self.cells[term].astype(np.int64), self.cells[term + 1].astype(np.int64)
+        at = self.row.take(term)
+        rows, rare = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        sums = np.einsum("i,ij->j", weight[rows], self.often.take(at[rows], axis=0).astype(float))
+        if len(sums):
+            base = np.maximum.reduceat(sums, np.arange(0, len(sums), self.p.block))
+        else:
+            base = np.zeros(0)
+        term, weight = term[rare], weight[rare]
+        low = self.cells[term].astype(np.int64)
+        high = self.cells[term + 1].astype(np.int64)
         cell = _ranges(low, high)
-        own, block = np.repeat(weight, high - low), self.cell_block[cell]
-        bound = np.bincount(block, own * self.bounds[cell], self.blocks)
+        own, block = np.repeat(weight, high - low), self.cell_block.take(cell)
+        bound = base + np.bincount(block, own * self.bounds.take(cell), self.blocks)
+        first = self.first.take(cell).astype(np.int64)
+        size = self.first.take(cell + 1) - first
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         best, score, done, step = np.zeros(0, np.int64), np.zeros(0), 0, 8
@@ -153,18 +177,15 @@ class Index:
             if len(best) == number:
                 part = part[bound[part] >= score[-1] - 1e-9]
             done, step = done + step, step * 4
-            # A slot for each example of the blocks at hand.
-            place = np.full(self.blocks, -1)
-            place[part] = np.arange(len(part))
-            use = np.flatnonzero(place[block] >= 0)
-            low, high = self.first[cell[use]].astype(np.int64), self.first[cell[use] + 1].astype(np.int64)
-            at = _ranges(low, high)
-            slot = np.repeat(place[block[use]] * self.p.block, high - low) + self.example[at]
-            sums = np.bincount(slot, np.repeat(own[use], high - low) * self.weight[at], len(part) * self.p.block)
-            hit = np.flatnonzero(sums)
-            found = part[hit // self.p.block] * self.p.block + hit % self.p.block
-            keep = found != leave
-            best, score = np.concatenate((best, found[keep])), np.concatenate((score, sums[hit[keep]]))
+            chosen = np.zeros(self.blocks, dtype=bool)
+            chosen[part] = True
+            use = chosen.take(block)
+            low, length = first[use], size[use]
+            at = _ranges(low, low + length)
+            full = sums + np.bincount(self.place.take(at), np.repeat(own[use], length) * self.weight.take(at), len(sums))
+            found = np.flatnonzero(np.repeat(chosen, self.p.block)[:len(sums)] & (full > 0))
+            found = found[found != leave]
+            best, score = np.concatenate((best, found)), np.concatenate((score, full[found]))
             if len(best) > number:
                 near = score >= np.partition(score, -number)[-number] - 1e-8
                 best, score = best[near], score[near]
