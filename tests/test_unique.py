@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from winnower.operators import bloom
+from winnower.plans import catalog
 from winnower.sources.unique import UniqueTable
 
 ROW = "message_id string, offset long, day date"
@@ -76,3 +77,45 @@ def test_an_empty_batch(spark, tmp_path):
     table.append(spark.createDataFrame([], ROW), "a")
     table.append(spark.createDataFrame([("x", 1, None)], ROW), "b")
     assert [r.message_id for r in table.read(spark).collect()] == ["x"]
+
+
+def test_many_keys_are_not_all_asked_of_every_day(spark, tmp_path, monkeypatch):
+    table = UniqueTable(str(tmp_path))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 4).cast("int"))
+    stored = spark.range(20_000).select(F.concat(F.lit("m"), "id").alias("message_id"), F.col("id").alias("offset"), day.alias("day"))
+    table.append(stored, "a")
+    pairs, ask = [], bloom.may_contain
+
+    def counted(keys, key, filters, groups):
+        pairs.append(keys.count() * filters.select(*groups).distinct().count())
+        return ask(keys, key, filters, groups)
+
+    monkeypatch.setattr(bloom, "may_contain", counted)
+    assert table.locate(stored.select("message_id")).exceptAll(stored.select("message_id", "day")).count() == 0
+    assert table.locate(stored.select("message_id")).count() == 20_000
+    assert sum(pairs) < 20_000
+
+
+def test_one_known_key_among_many_new_ones_is_found(spark, tmp_path):
+    table = UniqueTable(str(tmp_path))
+    for n in range(1, 6):
+        table.append(spark.createDataFrame([(f"old{n}", n, date(2024, 1, n))], ROW), f"b{n}")
+    new = spark.range(30_000).select(F.concat(F.lit("new"), "id").alias("message_id"))
+    for n in range(1, 6):
+        keys = new.union(spark.createDataFrame([(f"old{n}",), (None,)], "message_id string"))
+        assert [(r.message_id, r.day) for r in table.locate(keys).collect()] == [(f"old{n}", date(2024, 1, n))]
+        assert bloom.groups_to_read(keys, "message_id", table._stored(spark, "filters"), "filed") == [date(2024, 1, n)]
+    assert bloom.groups_to_read(new.where("false"), "message_id", table._stored(spark, "filters"), "filed") == []
+
+
+def test_a_delivery_of_many_files_is_one_batch(spark, tmp_path, monkeypatch):
+    events = spark.range(300).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(1_704_100_000 + F.col("id") * 600).alias("ts"),
+        (F.col("id") % 7).alias("user_id"), (F.col("id") / 2).alias("value"),
+    )
+    events.repartition(3).write.parquet(f"{tmp_path}/in/events.parquet")
+    monkeypatch.setattr(catalog, "fresh_folder", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    got = catalog.QUERIES["unique_across_batches"](spark, f"{tmp_path}/in")
+    assert sorted(map(tuple, got.collect())) == [(n, n % 7, n / 2) for n in range(300)]
+    assert len(list(tmp_path.glob("unique/in/*/*.parquet"))) > 3
+    assert len(list(tmp_path.glob("unique/table/batches/batch=*"))) == 3

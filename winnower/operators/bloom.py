@@ -18,6 +18,8 @@ BITS = 32_768
 PROBES = 4
 #: Keys that a block is meant for: ten bits each, so that one foreign key in a hundred seems to be there.
 KEYS = 3_000
+#: Keys that are asked first, about, and by how much the following share of the keys is larger.
+FIRST, STEP = 1_000, 16
 
 
 def _block(key: Column, blocks: Column) -> Column:
@@ -62,3 +64,25 @@ def may_contain(keys: DataFrame, key: str, filters: DataFrame, groups: Sequence[
     for n in range(PROBES):
         hits = hits.where(_has(F.col("bitmap"), _position(F.col(key), n)))
     return hits.select(key, *groups).distinct()
+
+
+def groups_to_read(keys: DataFrame, key: str, filters: DataFrame, group: str) -> list:
+    """The groups whose filter does not rule out all of the keys.
+
+    A group is settled by the first key that hits it, so a small share of the keys is asked first, then larger ones, and
+    in the end all keys, each share only of the groups that no key has hit yet. Many keys, which hit nearly every group, are
+    not all asked of all groups then.
+    """
+    known = keys.where(F.col(key).isNotNull())
+    total, every = known.count(), 1
+    while total > FIRST * every:
+        every *= STEP
+    found: list = []
+    while every:
+        left = filters.where(~F.col(group).isin(found)) if found else filters
+        if left.isEmpty():
+            break
+        asked = known.where(F.pmod(F.xxhash64(key, F.lit(0)), F.lit(every)) == 0)
+        found += [row[0] for row in may_contain(asked, key, left, [group]).select(group).distinct().toLocalIterator()]
+        every //= STEP
+    return found

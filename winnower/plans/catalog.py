@@ -760,15 +760,18 @@ def stream_dedupe_replay(spark: SparkSession, folder: str) -> DataFrame:
 
 @register
 def unique_across_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Three overlapping batches of a stream, each event in two of them and some in no order; each is stored once."""
+    """Three overlapping batches of a stream, each event in two of them and some in no order; each is stored once.
+
+    The job runs after each delivery and takes it as one batch, however many files it has.
+    """
     base = fresh_folder(spark, "unique")
     rows = events_of(spark, folder).select("event_id", "user_id", "value", F.to_date("ts").alias("day"))
     part = F.col("event_id") % 3
+    table = UniqueTable(f"{base}/table", key="event_id")
     for n in range(3):
         rows.where(part != n).union(rows.where((part == (n + 1) % 3) & (F.col("event_id") % 5 == 0))).write.parquet(f"{base}/in/{n}")
-    arriving = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
-    table = UniqueTable(f"{base}/table", key="event_id")
-    jobs.start_batches(arriving, sinks.unique_table(table), "unique", f"{base}/state", once=True).awaitTermination()
+        arriving = spark.readStream.schema(rows.schema).parquet(f"{base}/in/*")
+        jobs.start_batches(arriving, sinks.unique_table(table), "unique", f"{base}/state", once=True).awaitTermination()
     return table.read(spark).select("event_id", "user_id", "value")
 
 

@@ -49,12 +49,11 @@ class UniqueTable:
         rows, filters = self.read(spark), self._stored(spark, "filters")
         if rows is None:
             return none
-        hits = bloom.may_contain(keys, self.key, filters, ["filed"])
-        days = [row.filed for row in hits.select("filed").distinct().toLocalIterator()]
+        days = bloom.groups_to_read(keys, self.key, filters, "filed")
         if not days:
             return none
         candidates = rows.where(F.col("filed").isin(days)).select(self.key, "filed")
-        return candidates.join(hits, [self.key, "filed"], "left_semi").distinct().withColumnRenamed("filed", DAY)
+        return candidates.join(keys.select(self.key), self.key, "left_semi").distinct().withColumnRenamed("filed", DAY)
 
     def append(self, batch: DataFrame, name: str) -> None:
         """Store the rows of a batch whose key is new, the first of each by ``order``; a repeated batch changes nothing.
