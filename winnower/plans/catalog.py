@@ -340,7 +340,7 @@ def table_constraints_failed(spark: SparkSession, folder: str) -> DataFrame:
     """Row constraints of the table of failed messages: an error and a counter are required there."""
     i = F.col("event_id")
     rows = events_of(spark, folder).select(
-        i.alias("id"), i.cast("string").alias("message_id"), F.expr("repeat(event_type, cast(user_id as int))").alias("topic"),
+        i.alias("id"), i.cast("string").alias("message_id"), _long_topic(FAILED_TABLE).alias("topic"),
         (i % 3).cast("int").alias("partition"), F.when(i % 227 != 0, i).alias("offset"),
         F.when(i % 19 != 0, F.col("event_type")).alias("error"), F.when(i % 23 != 0, (i % 4).cast("int")).alias("retry_count"),
         F.when(i % 2 == 0, F.col("ts").cast("timestamp")).alias("failed_at"),
