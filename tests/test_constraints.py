@@ -14,7 +14,7 @@ USERS = (0, 1, 42, 43, 51, 52, 63, 64, 127, 128, 255, 256, 1_500, 2_000_000_000,
 KINDS = ("", "x", "äé", "click", "signup", "k" * 255, "k" * 256)
 
 
-@pytest.mark.parametrize("name", ["table_constraints", "table_constraints_failed"])
+@pytest.mark.parametrize("name", ["table_constraints", "table_constraints_failed", "table_constraints_processed"])
 def test_users_of_any_number(spark, tmp_path, name):
     rows = [(user, kind) for user in USERS for kind in KINDS]
     events = [(n, datetime(2024, 1, 1), user, kind, 1.0, "{}") for n, (user, kind) in enumerate(rows, 1)]

@@ -327,7 +327,7 @@ def table_constraints_processed(spark: SparkSession, folder: str) -> DataFrame:
     rows = events_of(spark, folder).select(
         F.when(i % 199 != 0, i).alias("id"), i.alias("event_id"),
         F.when(i % 211 != 0, i.cast("string")).alias("message_id"),
-        F.when(i % 31 != 0, F.expr("repeat(event_type, cast(user_id as int))")).alias("topic"),
+        F.when(i % 31 != 0, _long_topic(PROCESSED_TABLE)).alias("topic"),
         F.when(i % 53 != 0, (i % 3).cast("int")).alias("partition"),
         F.when(i % 223 != 0, i).alias("offset"),
         F.lit(None).cast("timestamp").alias("processed_at"),
